@@ -119,7 +119,8 @@ def downcast_plan(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for f in fields:
         c = F.col(f.name).cast("double")
-        aggs += [F.min(c).alias(f"{f.name}__min"), F.max(c).alias(f"{f.name}__max")]
+        # "+ 0.0" folds a negative zero into 0.0 so reports compare equal
+        aggs += [(F.min(c) + 0.0).alias(f"{f.name}__min"), (F.max(c) + 0.0).alias(f"{f.name}__max")]
     stats = df.agg(*aggs)
     rows = []
     for f in fields:

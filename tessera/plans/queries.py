@@ -43,3 +43,274 @@ SELECT work_type, split, count(*) AS n_rows,
 FROM prep GROUP BY work_type, split""")
 def q_flagship(spark, sf_dir):
     return flagship(wide(spark, sf_dir), WIDE_CFG)
+
+
+# ---------------------------------------------------------------- frames
+from ..functions.expressions import cut, hash_key, numeric_columns, string_columns  # noqa: E402
+from ..functions.features import WORK_TYPE_EDGES, WORK_TYPE_LABELS  # noqa: E402
+from ..operators import clean as C  # noqa: E402
+from ..operators import encode as EN  # noqa: E402
+from ..operators import ordinal as O  # noqa: E402
+from ..operators import profile as P  # noqa: E402
+
+PREP_SKIP = ("row_id", "label", "split")
+
+
+def tree_frame(spark, sf_dir):
+    """Prepared frame with string columns label-encoded from the train split."""
+    p = prepared(spark, sf_dir)
+    cats = string_columns(p, PREP_SKIP)
+    vocab = EN.fit_vocabulary(p.filter(F.col("split") == "train"), cats)
+    return EN.label_encode(p, vocab, cats), numeric_columns(p, PREP_SKIP), cats
+
+
+def _round_doubles(df, digits=6, skip=()):
+    from pyspark.sql import types as T
+    return df.select([rnd(F.col(f.name), digits).alias(f.name)
+                      if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in skip
+                      else F.col(f.name) for f in df.schema.fields])
+
+
+def _union_sql(parts):
+    return "\nUNION ALL\n".join(parts)
+
+
+# ---------------------------------------------------------------- S1 / F1 / A1-A4
+@register("load_profile", "WITH " + S.WIDE + "\n" + _union_sql([
+    f"SELECT '{c}' AS column, '{t}' AS data_type, count(*) AS rows, count(*) - count({c}) AS nulls, "
+    f"count(DISTINCT {c}) AS distinct_values FROM wide"
+    for c, t in [("row_id", "bigint"), ("age", "double"), ("fnlwgt", "double"), ("education_num", "double"),
+                 ("hours_per_week", "double"), ("capital_gain", "double"), ("capital_loss", "double"),
+                 ("relationship", "string"), ("sex", "string"), ("marital_status", "string"),
+                 ("native_country", "string"), ("income", "string")]]))
+def q_load_profile(spark, sf_dir):
+    return P.load_profile(wide(spark, sf_dir))
+
+
+@register("clean_missing", "WITH " + S.IMPUTED + "\nSELECT row_id, label, "
+          + ", ".join(f"{S.rnd_sql(c, 6)} AS {c}" for c in S.WIDE_NUM) + ", "
+          + ", ".join(S.WIDE_STR) + " FROM imputed")
+def q_clean_missing(spark, sf_dir):
+    df, _ = EN.encode_target(wide(spark, sf_dir), "income", "label")
+    out = C.smart_impute(df.drop("income"), exclude=("row_id", "label"))
+    return _round_doubles(out)
+
+
+@register("null_census", "WITH " + S.WIDE + ",\nc AS (SELECT row_id, age, fnlwgt, education_num, hours_per_week, "
+          "capital_gain, capital_loss, " + ", ".join(f"CASE WHEN {c} = '?' THEN NULL ELSE {c} END AS {c}"
+                                                     for c in S.WIDE_STR + ("income",)) + " FROM wide)\n"
+          + _union_sql([f"SELECT '{c}' AS column, CAST(count(*) - count({c}) AS BIGINT) AS nulls FROM c"
+                        for c in ("row_id",) + S.WIDE_NUM + S.WIDE_STR + ("income",)]
+                       + ["SELECT '__total__' AS column, CAST(" + " + ".join(
+                           f"(count(*) - count({c}))" for c in ("row_id",) + S.WIDE_NUM + S.WIDE_STR + ("income",))
+                          + " AS BIGINT) AS nulls FROM c"]))
+def q_null_census(spark, sf_dir):
+    return C.null_census(C.replace_sentinel(wide(spark, sf_dir)))
+
+
+_LI_NUM = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
+           ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"),
+           ("l_discount", "double"), ("l_tax", "double")]
+_W = {"tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8}
+
+
+def _downcast_sql():
+    parts = []
+    for c, t in _LI_NUM:
+        lo, hi = f"(CAST(min({c}) AS DOUBLE) + 0.0)", f"(CAST(max({c}) AS DOUBLE) + 0.0)"
+        if t in ("bigint", "int"):
+            new = (f"CASE WHEN {lo} > -128 AND {hi} < 127 THEN 'tinyint' "
+                   f"WHEN {lo} > -32768 AND {hi} < 32767 THEN 'smallint' "
+                   f"WHEN {lo} > -2147483648 AND {hi} < 2147483647 THEN 'int' ELSE 'bigint' END")
+        else:
+            new = (f"CASE WHEN {lo} > -{C.FLOAT32_MAX!r} AND {hi} < {C.FLOAT32_MAX!r} "
+                   f"THEN 'float' ELSE 'double' END")
+        wmap = " ".join(f"WHEN '{k}' THEN {v}" for k, v in _W.items())
+        parts.append(f"SELECT \"column\", old_type, new_type, min_value, max_value, rows, rows * {_W[t]} AS old_bytes, "
+                     f"rows * CASE new_type {wmap} END AS new_bytes FROM (SELECT '{c}' AS column, '{t}' AS old_type, "
+                     f"{new} AS new_type, {lo} AS min_value, {hi} AS max_value, count(*) AS rows FROM lineitem) x")
+    return _union_sql(parts)
+
+
+@register("downcast_report", _downcast_sql())
+def q_downcast_report(spark, sf_dir):
+    from ..sources.tables import read_table
+    return C.downcast_plan(read_table(spark, sf_dir, "lineitem").drop("l_shipdate"))
+
+
+# ---------------------------------------------------------------- E1 / X / E5-E7 / F9
+@register("target_encode", "WITH " + S.WIDE + """
+SELECT income, CAST(dense_rank() OVER (ORDER BY income) - 1 AS INTEGER) AS label, count(*) AS n_rows
+FROM wide GROUP BY income""")
+def q_target_encode(spark, sf_dir):
+    enc, _classes = EN.encode_target(wide(spark, sf_dir), "income", "label")
+    return enc.groupBy("income", "label").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+_CUSTOM = ("edu_age_inter", "work_hours_edu", "net_capital", "has_capital_activity", "work_type",
+           "sex_rel_inter", "is_married", "net_capital_log")
+
+
+@register("custom_features", "WITH " + S.PREP + "\nSELECT row_id, " + ", ".join(
+    f"{S.rnd_sql(c, 6)} AS {c}" if c in ("edu_age_inter", "work_hours_edu", "net_capital", "net_capital_log") else c
+    for c in _CUSTOM) + " FROM prep")
+def q_custom_features(spark, sf_dir):
+    return _round_doubles(prepared(spark, sf_dir).select("row_id", *_CUSTOM))
+
+
+@register("work_type_bins", "WITH " + S.WIDE + """
+SELECT CASE WHEN hours_per_week > 0 AND hours_per_week <= 35 THEN 'part_time'
+            WHEN hours_per_week > 35 AND hours_per_week <= 45 THEN 'full_time'
+            WHEN hours_per_week > 45 AND hours_per_week <= 100 THEN 'overtime'
+            ELSE 'nan' END AS work_type, count(*) AS n_rows
+FROM wide GROUP BY 1""")
+def q_work_type_bins(spark, sf_dir):
+    w = wide(spark, sf_dir)
+    return (w.select(cut(F.col("hours_per_week"), WORK_TYPE_EDGES, WORK_TYPE_LABELS).alias("work_type"))
+             .groupBy("work_type").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def _scale_sql():
+    stats = ", ".join(f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 OR stddev_pop({c}) IS NULL "
+                      f"THEN 1.0 ELSE stddev_pop({c}) END AS s_{c}" for c in S.PREP_NUM)
+    cols = ", ".join(f"{S.rnd_sql(f'(p.{c} - st.m_{c}) / st.s_{c}', 6)} AS {c}" for c in S.PREP_NUM)
+    return ("WITH " + S.PREP + f",\nst AS (SELECT {stats} FROM prep WHERE split = 'train')\n"
+            f"SELECT p.row_id, p.split, {cols} FROM prep p, st")
+
+
+@register("standard_scale", _scale_sql())
+def q_standard_scale(spark, sf_dir):
+    p = prepared(spark, sf_dir)
+    num = numeric_columns(p, PREP_SKIP)
+    out = EN.standard_scale(p, num, F.col("split") == "train")
+    return _round_doubles(out.select("row_id", "split", *num))
+
+
+@register("split_assign", "WITH " + S.WIDE + f"\nSELECT row_id, {S.split_sql('row_id')} AS split FROM wide")
+def q_split_assign(spark, sf_dir):
+    return O.split_assign(wide(spark, sf_dir).select("row_id"))
+
+
+@register("fold_assign", "WITH " + S.WIDE + f"\nSELECT row_id, CAST({S.hash_sql('row_id')} % 5 AS INTEGER) AS fold FROM wide")
+def q_fold_assign(spark, sf_dir):
+    return O.fold_assign(wide(spark, sf_dir).select("row_id"), k=5)
+
+
+@register("stratified_fold_assign", "WITH " + S.PREP + f"""
+SELECT row_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY {S.hash_sql('row_id')}, row_id) - 1) % 5 AS INTEGER) AS fold
+FROM prep WHERE split = 'train'""")
+def q_stratified_fold_assign(spark, sf_dir):
+    p = prepared(spark, sf_dir).filter(F.col("split") == "train").select("row_id", "label")
+    return O.stratified_fold_assign(p, "label", k=5)
+
+
+@register("sample_rows", "WITH " + S.WIDE + f"""
+SELECT row_id, income, native_country FROM wide ORDER BY {S.hash_sql('row_id')}, row_id LIMIT 1000""")
+def q_sample_rows(spark, sf_dir):
+    return O.sample_rows(wide(spark, sf_dir).select("row_id", "income", "native_country"), 1000)
+
+
+# ---------------------------------------------------------------- E2 / E3 / J1
+@register("label_encode", "WITH " + S.PREP + ",\n" + S.vocab_sql(S.PREP_STR, "prep", "split = 'train'") + ",\n"
+          + S.tree_sql() + "\nSELECT row_id, split, " + ", ".join(S.PREP_STR) + " FROM tree")
+def q_label_encode(spark, sf_dir):
+    t, _num, cats = tree_frame(spark, sf_dir)
+    return t.select("row_id", "split", *cats)
+
+
+def _one_hot_sql():
+    order = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(S.PREP_STR))
+    return ("WITH " + S.PREP + ",\n" + S.vocab_sql(S.PREP_STR, "prep", "split = 'train'") + f""",
+sizes AS (SELECT "column", count(*) AS k, CASE "column" {order} END AS pos FROM vocab GROUP BY "column"),
+offs AS (SELECT "column", {len(S.PREP_NUM)} + COALESCE(sum(k) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM sizes),
+fv AS (SELECT v."column", v.value, CAST(o.off + v.code AS BIGINT) AS feature_index, v."column" || '_' || v.value AS feature
+       FROM vocab v JOIN offs o ON o."column" = v."column"),
+long AS (""" + _union_sql([f"SELECT row_id, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM prep" for c in S.PREP_STR])
+            + """)
+SELECT l.row_id, fv.feature_index, fv.feature FROM long l JOIN fv ON fv."column" = l."column" AND fv.value = l.value""")
+
+
+@register("one_hot", _one_hot_sql())
+def q_one_hot(spark, sf_dir):
+    p = prepared(spark, sf_dir)
+    num, cats = numeric_columns(p, PREP_SKIP), string_columns(p, PREP_SKIP)
+    vocab = EN.fit_vocabulary(p.filter(F.col("split") == "train"), cats, keep_missing=False)
+    return EN.one_hot_long(p, vocab, cats, len(num)).withColumn("feature_index", F.col("feature_index").cast("long"))
+
+
+# ---------------------------------------------------------------- A6 / A7 / A8 / L1
+@register("class_balance", "WITH " + S.WIDE + """
+SELECT CAST(income AS VARCHAR) AS class, count(*) AS count,
+       """ + S.rnd_sql("count(*) / sum(count(*)) OVER () * 100", 2) + """ AS percent
+FROM wide GROUP BY income""")
+def q_class_balance(spark, sf_dir):
+    return P.class_balance(wide(spark, sf_dir), "income")
+
+
+@register("class_balance_topn", "WITH " + S.WIDE + """,
+g AS (SELECT native_country, count(*) AS count FROM wide GROUP BY native_country),
+r AS (SELECT *, row_number() OVER (ORDER BY count DESC, native_country NULLS FIRST) AS rn, count(*) OVER () AS k FROM g),
+k AS (SELECT CASE WHEN k <= 10 OR rn <= 10 THEN CAST(native_country AS VARCHAR) ELSE 'Other' END AS class,
+             CASE WHEN k <= 10 OR rn <= 10 THEN rn ELSE 11 END AS position, count FROM r)
+SELECT class, sum(count) AS count, """ + S.rnd_sql("sum(count) / sum(sum(count)) OVER () * 100", 2)
+          + """ AS percent, position FROM k GROUP BY class, position""")
+def q_class_balance_topn(spark, sf_dir):
+    out = P.class_balance_topn(wide(spark, sf_dir), "native_country", 10)
+    return out.withColumn("position", F.col("position").cast("long"))
+
+
+_CORR_COLS = ("age", "education_num", "hours_per_week", "capital_gain", "capital_loss", "relationship", "sex",
+              "marital_status", "label", "edu_age_inter", "work_hours_edu", "net_capital", "has_capital_activity",
+              "work_type", "sex_rel_inter", "is_married", "net_capital_log")
+
+
+def _corr_sql():
+    enc = ", ".join(f"CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS DOUBLE) AS {c}" if c in S.PREP_STR
+                    else f"CAST({c} AS DOUBLE) AS {c}" for c in _CORR_COLS)
+    cols = list(_CORR_COLS)
+    aggs = [f"stddev_pop({c}) AS s{i}" for i, c in enumerate(cols)]
+    for i in range(len(cols)):
+        for j in range(i, len(cols)):
+            aggs.append(f"covar_pop({cols[i]}, {cols[j]}) AS c{i}_{j}")
+    parts = []
+    for i in range(len(cols)):
+        for j in range(len(cols)):
+            a, b = min(i, j), max(i, j)
+            parts.append(f"SELECT '{cols[i]}' AS col_a, '{cols[j]}' AS col_b, "
+                         f"{S.rnd_sql(f'c{a}_{b} / NULLIF(s{i} * s{j}, 0)', 6)} AS corr FROM agg")
+    return ("WITH " + S.PREP + f",\ncenc AS (SELECT {enc} FROM prep),\nagg AS (SELECT {', '.join(aggs)} FROM cenc)\n"
+            + _union_sql(parts))
+
+
+@register("corr_matrix", _corr_sql())
+def q_corr_matrix(spark, sf_dir):
+    p = prepared(spark, sf_dir).drop("row_id", "split")
+    enc, _ = P.encode_for_correlation(p)
+    return P.corr_matrix(enc, list(_CORR_COLS))
+
+
+def _mi_sql():
+    feats = S.PREP_NUM + S.PREP_STR
+    long = _union_sql([f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, label AS y FROM tree WHERE split = 'train'"
+                       for c in feats])
+    return ("WITH " + S.PREP + ",\n" + S.vocab_sql(S.PREP_STR, "prep", "split = 'train'") + ",\n" + S.tree_sql() + f""",
+long AS ({long}),
+cells AS (SELECT feature, value, y, count(*) AS n_xy FROM long GROUP BY ALL),
+vals AS (SELECT feature, value, sum(n_xy) AS n_v FROM cells GROUP BY ALL),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY feature) AS levels, sum(n_v) OVER (PARTITION BY feature) AS n,
+                  COALESCE(sum(n_v) OVER (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+           FROM vals),
+binned AS (SELECT feature, value, CASE WHEN levels > 32 THEN CAST(floor(32 * before / n) AS DOUBLE) ELSE value END AS xbin FROM ranked),
+c2 AS (SELECT c.feature, b.xbin, c.y, sum(c.n_xy) AS n_xy FROM cells c JOIN binned b USING (feature, value) GROUP BY ALL),
+t AS (SELECT feature, n_xy / sum(n_xy) OVER (PARTITION BY feature)
+             * ln(n_xy * sum(n_xy) OVER (PARTITION BY feature)
+                  / (sum(n_xy) OVER (PARTITION BY feature, xbin) * sum(n_xy) OVER (PARTITION BY feature, y))) AS t FROM c2),
+mi AS (SELECT feature, {S.rnd_sql('greatest(sum(t), 0.0)', 6)} AS mutual_info FROM t GROUP BY feature)
+SELECT feature, mutual_info, CASE WHEN mutual_info > 0.5 THEN 'HIGH' WHEN mutual_info > 0 THEN 'ok' ELSE 'zero' END AS alert,
+       CAST(row_number() OVER (ORDER BY mutual_info DESC, feature) AS INTEGER) AS rank FROM mi""")
+
+
+@register("mutual_info", _mi_sql())
+def q_mutual_info(spark, sf_dir):
+    t, num, cats = tree_frame(spark, sf_dir)
+    return P.mutual_info(t.filter(F.col("split") == "train"), num + cats, "label")

@@ -94,3 +94,27 @@ prep AS (SELECT feat.*, {split_sql('row_id')} AS split FROM feat)"""
 
 
 PREP = IMPUTED + ",\n" + features_sql()
+
+
+PREP_NUM = ("age", "education_num", "hours_per_week", "capital_gain", "capital_loss",
+            "edu_age_inter", "work_hours_edu", "net_capital", "has_capital_activity",
+            "is_married", "net_capital_log")
+PREP_STR = ("relationship", "sex", "marital_status", "work_type", "sex_rel_inter")
+
+
+def vocab_sql(cols, src: str, where: str = "TRUE", name: str = "vocab") -> str:
+    """(column, value, code) from distinct values of ``src`` rows."""
+    parts = [f"SELECT DISTINCT '{c}' AS \"column\", COALESCE(CAST({c} AS VARCHAR), 'nan') AS value "
+             f"FROM {src} WHERE {where}" for c in cols]
+    return (f"{name} AS (SELECT \"column\", value, CAST(row_number() OVER (PARTITION BY \"column\" ORDER BY value) - 1 AS INTEGER) AS code "
+            f"FROM ({' UNION ALL '.join(parts)}) v)")
+
+
+def tree_sql(src: str = "prep", vocab: str = "vocab", name: str = "tree") -> str:
+    """Label-encoded frame: string columns replaced by train codes, unseen -1."""
+    joins, sel = [], []
+    for i, c in enumerate(PREP_STR):
+        joins.append(f"LEFT JOIN {vocab} v{i} ON v{i}.\"column\" = '{c}' AND v{i}.value = COALESCE(CAST(p.{c} AS VARCHAR), 'nan')")
+        sel.append(f"COALESCE(v{i}.code, -1) AS {c}")
+    return (f"{name} AS (SELECT p.row_id, p.label, p.split, " + ", ".join(f"p.{c}" for c in PREP_NUM)
+            + ", " + ", ".join(sel) + f" FROM {src} p " + " ".join(joins) + ")")
