@@ -12,7 +12,7 @@ HASH_DIGITS = 7          # hex digits of md5 kept: 28 bits
 HASH_SPACE = 16 ** HASH_DIGITS
 
 
-def rnd(c: Column | str, digits: int) -> Column:
+def rnd(c: Column | str, digits: int | None) -> Column:
     """Round half up as ``floor(x * 10^d + 0.5) / 10^d``.
 
     A single IEEE multiply, floor and divide give the same bits in every
@@ -20,6 +20,8 @@ def rnd(c: Column | str, digits: int) -> Column:
     string and other engines apply to the scaled double.
     """
     c = F.col(c) if isinstance(c, str) else c
+    if digits is None:
+        return c
     scale = float(10 ** digits)
     return (F.floor(c.cast("double") * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale))
 

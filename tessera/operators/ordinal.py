@@ -90,10 +90,11 @@ def fold_assign(df: DataFrame, k: int = 5, id_col: str = "row_id", seed: int = 4
 
 def stratified_fold_assign(df: DataFrame, label_col: str = "label", k: int = 5,
                            id_col: str = "row_id", seed: int = 42, out_col: str = "fold",
-                           n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                           n_buckets: int = DEFAULT_BUCKETS, group_cols: Sequence[str] = ()) -> DataFrame:
     """Folds balanced per class: ordinal within the class in hash order,
-    taken modulo k, so every fold's class count differs by at most one."""
-    x = hash_ordinal(df, id_col, seed, [label_col], n_buckets, "__ord")
+    taken modulo k, so every fold's class count differs by at most one.
+    ``group_cols`` keeps independent copies (e.g. one per model) apart."""
+    x = hash_ordinal(df, id_col, seed, [*group_cols, label_col], n_buckets, "__ord")
     return x.withColumn(out_col, F.pmod(F.col("__ord") - 1, F.lit(k)).cast("int")).drop("__ord")
 
 

@@ -314,3 +314,161 @@ SELECT feature, mutual_info, CASE WHEN mutual_info > 0.5 THEN 'HIGH' WHEN mutual
 def q_mutual_info(spark, sf_dir):
     t, num, cats = tree_frame(spark, sf_dir)
     return P.mutual_info(t.filter(F.col("split") == "train"), num + cats, "label")
+
+
+# ---------------------------------------------------------------- metrics
+from ..operators import evaluate as EV  # noqa: E402
+from ..operators import metrics as M  # noqa: E402
+from ..sources.fixtures import scored_models  # noqa: E402
+
+SM = "WITH " + S.WIDE + ",\n" + S.scored_models_sql()
+
+
+def _val(spark, sf_dir, split="val"):
+    return scored_models(spark, sf_dir).filter(F.col("split") == split)
+
+
+@register("confusion_matrix", SM + """,
+v AS (SELECT * FROM sm WHERE split = 'val'),
+cls AS (SELECT DISTINCT label AS c FROM v UNION SELECT DISTINCT prediction FROM v),
+grid AS (SELECT m.model, a.c AS actual, p.c AS predicted FROM (SELECT DISTINCT model FROM v) m, cls a, cls p),
+cnt AS (SELECT model, label AS actual, prediction AS predicted, count(*) AS n FROM v GROUP BY ALL)
+SELECT g.model, g.actual, g.predicted, CAST(COALESCE(cnt.n, 0) AS BIGINT) AS count
+FROM grid g LEFT JOIN cnt USING (model, actual, predicted)""")
+def q_confusion_matrix(spark, sf_dir):
+    return M.confusion_matrix(_val(spark, sf_dir), ["model"])
+
+
+@register("classification_metrics", SM + "\nSELECT * FROM " + S.cls_report_sql("(SELECT * FROM sm WHERE split = 'val')", ["model"]) + " r")
+def q_classification_metrics(spark, sf_dir):
+    return M.classification_report(_val(spark, sf_dir), ["model"])
+
+
+@register("roc_auc", SM + "\nSELECT * FROM " + S.auc_sql("(SELECT * FROM sm WHERE split = 'val')", ["model"]) + " r")
+def q_roc_auc(spark, sf_dir):
+    return M.roc_auc(_val(spark, sf_dir), ["model"])
+
+
+@register("roc_points", SM + "\nSELECT model, score AS threshold, " + S.rnd_sql("cum_neg / sum(neg) OVER (PARTITION BY model)", 6)
+          + " AS fpr, " + S.rnd_sql("cum_pos / sum(pos) OVER (PARTITION BY model)", 6) + " AS tpr FROM "
+          + S.score_table_sql("(SELECT * FROM sm WHERE split = 'val')", ["model"])
+          + " st\nUNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), 0.0, 0.0 FROM sm WHERE split = 'val'")
+def q_roc_points(spark, sf_dir):
+    return M.roc_points(_val(spark, sf_dir), ["model"])
+
+
+_MINORITY_SQL = "(SELECT label FROM sm WHERE split = 'val' GROUP BY label ORDER BY count(*), label LIMIT 1)"
+
+
+def _bin_sql(src, groups, pos):
+    g = ", ".join(groups)
+    return f"""(SELECT {g}, {S.rnd_sql(S.safe_div_sql('tp', 'tp + fp'), 6)} AS precision,
+       {S.rnd_sql(S.safe_div_sql('tp', 'tp + fn'), 6)} AS recall,
+       {S.rnd_sql(S.safe_div_sql('2 * tp', '2 * tp + fp + fn'), 6)} AS f1
+FROM (SELECT {g}, sum(CASE WHEN label = {pos} AND prediction = {pos} THEN 1 ELSE 0 END) AS tp,
+             sum(CASE WHEN label <> {pos} AND prediction = {pos} THEN 1 ELSE 0 END) AS fp,
+             sum(CASE WHEN label = {pos} AND prediction <> {pos} THEN 1 ELSE 0 END) AS fn FROM {src} GROUP BY ALL) x)"""
+
+
+@register("binary_metrics", SM + "\nSELECT b.*, " + _MINORITY_SQL + " AS positive_class FROM "
+          + _bin_sql("(SELECT * FROM sm WHERE split = 'val')", ["model"], _MINORITY_SQL) + " b")
+def q_binary_metrics(spark, sf_dir):
+    v = _val(spark, sf_dir)
+    pos = P.minority_class(v).first()["label"]      # one row: the class value
+    return M.binary_metrics(v, pos, ["model"]).withColumn("positive_class", F.lit(pos))
+
+
+def _fold_metrics_sql():
+    pos = "(SELECT label FROM tr GROUP BY label ORDER BY count(*), label LIMIT 1)"
+    return (SM + f""",
+tr AS (SELECT * FROM sm WHERE split = 'train'),
+f AS (SELECT *, CAST((row_number() OVER (PARTITION BY model, label ORDER BY {S.hash_sql('row_id')}, row_id) - 1) % 5 AS INTEGER) AS fold FROM tr),
+acc AS (SELECT model, fold, 'accuracy' AS metric, accuracy AS value FROM {S.cls_report_sql('f', ['model', 'fold'], None)} r),
+fb AS (SELECT model, fold, sum(CASE WHEN label = {pos} AND prediction = {pos} THEN 1 ELSE 0 END) AS tp,
+              sum(CASE WHEN label <> {pos} AND prediction = {pos} THEN 1 ELSE 0 END) AS fp,
+              sum(CASE WHEN label = {pos} AND prediction <> {pos} THEN 1 ELSE 0 END) AS fn FROM f GROUP BY ALL),
+lng AS (SELECT * FROM acc
+        UNION ALL SELECT model, fold, 'precision', {S.safe_div_sql('tp', 'tp + fp')} FROM fb
+        UNION ALL SELECT model, fold, 'recall', {S.safe_div_sql('tp', 'tp + fn')} FROM fb
+        UNION ALL SELECT model, fold, 'f1', {S.safe_div_sql('2 * tp', '2 * tp + fp + fn')} FROM fb)
+SELECT model, metric, {S.rnd_sql('avg(value)', 6)} AS mean, {S.rnd_sql('stddev_pop(value)', 6)} AS std FROM lng GROUP BY ALL""")
+
+
+@register("metrics_by_fold", _fold_metrics_sql())
+def q_metrics_by_fold(spark, sf_dir):
+    return fold_metrics(_val(spark, sf_dir, "train"), k=5)
+
+
+def fold_metrics(preds, k=5):
+    """V7's scoring half: per-fold accuracy and minority-class P/R/F1, then
+    mean and population sd per model and metric."""
+    f = O.stratified_fold_assign(preds, "label", k=k, group_cols=["model"])
+    pos = P.minority_class(preds).first()["label"]
+    acc = M.classification_report(f, ["model", "fold"], digits=None).select(
+        "model", "fold", F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value"))
+    b = M.binary_metrics(f, pos, ["model", "fold"], digits=None)
+    long = acc.unionByName(b.unpivot(["model", "fold"], ["precision", "recall", "f1"], "metric", "value"))
+    return M.summarize_scores(long, ["model", "metric"])
+
+
+@register("leaderboard", SM + """,
+t AS (SELECT * FROM sm WHERE split = 'test'),
+m AS (SELECT r.*, a.roc_auc FROM """ + S.cls_report_sql("t", ["model"]) + " r LEFT JOIN " + S.auc_sql("t", ["model"])
+          + """ a USING (model))
+SELECT *, CAST(row_number() OVER (ORDER BY f1 DESC NULLS LAST, model) AS INTEGER) AS rank FROM m""")
+def q_leaderboard(spark, sf_dir):
+    return EV.leaderboard(_val(spark, sf_dir, "test"))
+
+
+@register("metric_long_form", SM + "\nSELECT model, metric, score FROM (SELECT * FROM "
+          + S.cls_report_sql("(SELECT * FROM sm WHERE split = 'val')", ["model"]) + """ r)
+UNPIVOT (score FOR metric IN (accuracy AS 'Accuracy', precision AS 'Precision', recall AS 'Recall', f1 AS 'F1'))""")
+def q_metric_long_form(spark, sf_dir):
+    return M.metric_long_form(M.classification_report(_val(spark, sf_dir), ["model"]))
+
+
+THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.7)
+
+
+def _search_sql():
+    vals = ", ".join(f"({i}, {t!r})" for i, t in enumerate(THRESHOLDS))
+    return (SM + f""",
+tr AS (SELECT * FROM sm WHERE split = 'train'),
+f AS (SELECT *, CAST((row_number() OVER (PARTITION BY model, label ORDER BY {S.hash_sql('row_id')}, row_id) - 1) % 3 AS INTEGER) AS fold FROM tr),
+c AS (SELECT * FROM (VALUES {vals}) v(candidate, threshold)),
+x AS (SELECT f.model, f.label, f.fold, c.candidate, CAST(c.threshold AS DOUBLE) AS threshold,
+             CAST(f.score >= c.threshold AS INTEGER) AS prediction FROM f, c),
+pf AS (SELECT * FROM {S.cls_report_sql('x', ['model', 'candidate', 'threshold', 'fold'], None)} r),
+search AS (SELECT model, candidate, threshold, {', '.join(S.rnd_sql(f'avg({m})', 6) + f' AS {m}' for m in ('accuracy', 'precision', 'recall', 'f1'))}
+           FROM pf GROUP BY ALL)""")
+
+
+@register("tuning_top3", _search_sql() + """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY f1 DESC, candidate) AS position FROM search) WHERE position <= 3""")
+def q_tuning_top3(spark, sf_dir):
+    s = EV.threshold_search(_val(spark, sf_dir, "train"), THRESHOLDS, k=3)
+    return EV.top_candidates(s, "f1", 3).withColumn("position", F.col("position").cast("long"))
+
+
+@register("param_curve", _search_sql() + "\nSELECT threshold, " + S.rnd_sql("avg(f1)", 6) + " AS mean_f1, "
+          + S.rnd_sql("max(f1)", 6) + " AS max_f1, count(*) AS candidates FROM search GROUP BY threshold")
+def q_param_curve(spark, sf_dir):
+    s = EV.threshold_search(_val(spark, sf_dir, "train"), THRESHOLDS, k=3)
+    return EV.param_curve(s, "threshold", "f1")
+
+
+@register("regression_metrics", """
+WITH x AS (SELECT l_returnflag, l_extendedprice AS label, l_quantity * p_retailprice AS prediction
+           FROM lineitem JOIN part ON p_partkey = l_partkey)
+SELECT l_returnflag, """ + S.rnd_sql("sqrt(avg((prediction - label) * (prediction - label)))", 4) + " AS rmse, "
+          + S.rnd_sql("avg(abs(prediction - label))", 4) + " AS mae, "
+          + S.rnd_sql("1 - sum((prediction - label) * (prediction - label)) / NULLIF(count(*) * var_pop(label), 0)", 4)
+          + " AS r2 FROM x GROUP BY l_returnflag")
+def q_regression_metrics(spark, sf_dir):
+    from ..sources.tables import read_table
+    li = read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag", "l_quantity", "l_extendedprice")
+    pt = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    x = li.join(pt, li.l_partkey == pt.p_partkey).select(
+        "l_returnflag", F.col("l_extendedprice").alias("label"),
+        (F.col("l_quantity") * F.col("p_retailprice")).alias("prediction"))
+    return M.regression_report(x, ["l_returnflag"])

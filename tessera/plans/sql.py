@@ -118,3 +118,57 @@ def tree_sql(src: str = "prep", vocab: str = "vocab", name: str = "tree") -> str
         sel.append(f"COALESCE(v{i}.code, -1) AS {c}")
     return (f"{name} AS (SELECT p.row_id, p.label, p.split, " + ", ".join(f"p.{c}" for c in PREP_NUM)
             + ", " + ", ".join(sel) + f" FROM {src} p " + " ".join(joins) + ")")
+
+
+def safe_div_sql(a: str, b: str) -> str:
+    return f"COALESCE(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0), 0.0)"
+
+
+def cls_report_sql(src: str, groups, digits=6) -> str:
+    """V1 as a subquery over ``src`` with label/prediction columns."""
+    g = ", ".join(groups)
+    gc = (g + ", ") if groups else ""
+    r = (lambda e: rnd_sql(e, digits)) if digits is not None else (lambda e: e)
+    return f"""(WITH cells AS (SELECT {gc}label, prediction, count(*) AS n FROM {src} GROUP BY ALL),
+  pl AS (SELECT {gc}label AS c, sum(n) AS support, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp FROM cells GROUP BY ALL),
+  pp AS (SELECT {gc}prediction AS c, sum(n) AS npred FROM cells GROUP BY ALL),
+  pc AS (SELECT {gc}COALESCE(support, 0) AS support, COALESCE(tp, 0) AS tp, COALESCE(npred, 0) AS npred
+         FROM pl FULL JOIN pp USING ({gc}c)),
+  a AS (SELECT {gc}sum(support) AS n, sum(tp) AS tp,
+               sum(support * {safe_div_sql('tp', 'npred')}) AS wp,
+               sum(support * {safe_div_sql('tp', 'support')}) AS wr,
+               sum(support * {safe_div_sql('2 * tp', 'support + npred')}) AS wf FROM pc GROUP BY ALL)
+  SELECT {gc}{r(safe_div_sql('tp', 'n'))} AS accuracy, {r(safe_div_sql('wp', 'n'))} AS precision,
+         {r(safe_div_sql('wr', 'n'))} AS recall, {r(safe_div_sql('wf', 'n'))} AS f1 FROM a)"""
+
+
+def score_table_sql(src: str, groups) -> str:
+    g = ", ".join(groups)
+    gc = (g + ", ") if groups else ""
+    part = f"PARTITION BY {g} " if groups else ""
+    return f"""(WITH t AS (SELECT {gc}score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
+                          sum(CASE WHEN label <> 1 THEN 1 ELSE 0 END) AS neg FROM {src} GROUP BY ALL)
+  SELECT *, sum(pos) OVER ({part}ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,
+            sum(neg) OVER ({part}ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg
+  FROM t)"""
+
+
+def auc_sql(src: str, groups, digits=6) -> str:
+    g = ", ".join(groups)
+    gc = (g + ", ") if groups else ""
+    return (f"(SELECT {gc}{rnd_sql('sum(neg * (cum_pos - pos + pos / 2.0)) / NULLIF(sum(pos) * sum(neg), 0)', digits)} "
+            f"AS roc_auc FROM {score_table_sql(src, groups)} st GROUP BY ALL)")
+
+
+def scored_models_sql() -> str:
+    """(model, row_id, split, label, score, prediction) for the analytic scorers."""
+    e, h, a = "COALESCE(education_num, 8.0)", "COALESCE(hours_per_week, 60.0)", "COALESCE(age, 40.0)"
+    z = {"edu_hours": f"0.25 * {e} + 0.05 * {h} - 8", "edu_only": f"0.3 * {e} - 3",
+         "hours_age": f"0.04 * {h} + 0.02 * {a} - 4"}
+    parts = []
+    for name, lin in z.items():
+        sc = rnd_sql(f"1 / (1 + exp(-({lin})))", 4)
+        parts.append(f"SELECT '{name}' AS model, row_id, {split_sql('row_id')} AS split, "
+                     f"CASE WHEN income = '>50K' THEN 1 ELSE 0 END AS label, {sc} AS score FROM wide")
+    return ("sm0 AS (" + " UNION ALL ".join(parts) + "),\n"
+            "sm AS (SELECT *, CAST(score >= 0.5 AS INTEGER) AS prediction FROM sm0)")

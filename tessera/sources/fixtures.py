@@ -83,3 +83,32 @@ def scored(spark: SparkSession, sf_dir: str, wide_df: DataFrame | None = None) -
     return w.select("row_id",
                     F.when(F.col("income") == ">50K", 1).otherwise(0).alias("label"),
                     rnd(1 / (1 + F.exp(-z)), 4).alias("score"))
+
+
+def _sigmoid(z):
+    return 1 / (1 + F.exp(-z))
+
+
+# Analytic scorers over `wide` (no fitted model): name -> linear term.
+SCORERS = (
+    ("edu_hours", lambda e, h, a: 0.25 * e + 0.05 * h - 8),
+    ("edu_only", lambda e, h, a: 0.3 * e - 3),
+    ("hours_age", lambda e, h, a: 0.04 * h + 0.02 * a - 4),
+)
+
+
+def scored_models(spark: SparkSession, sf_dir: str, wide_df: DataFrame | None = None) -> DataFrame:
+    """Long predictions ``(model, row_id, split, label, score, prediction)``
+    for three analytic scorers; rows expand by a fixed factor of three."""
+    from ..operators.ordinal import split_assign
+    w = wide_df if wide_df is not None else wide(spark, sf_dir)
+    e = F.coalesce(F.col("education_num"), F.lit(8.0))
+    h = F.coalesce(F.col("hours_per_week"), F.lit(60.0))
+    a = F.coalesce(F.col("age"), F.lit(40.0))
+    arr = F.array(*[F.struct(F.lit(n).alias("model"), rnd(_sigmoid(fn(e, h, a)), 4).alias("score"))
+                    for n, fn in SCORERS])
+    x = split_assign(w.select("row_id", "education_num", "hours_per_week", "age", "income"))
+    x = x.select("row_id", "split", F.when(F.col("income") == ">50K", 1).otherwise(0).alias("label"),
+                 F.explode(arr).alias("m"))
+    return x.select("m.model", "row_id", "split", "label", "m.score",
+                    (F.col("m.score") >= 0.5).cast("int").alias("prediction"))
