@@ -472,3 +472,31 @@ def q_regression_metrics(spark, sf_dir):
         "l_returnflag", F.col("l_extendedprice").alias("label"),
         (F.col("l_quantity") * F.col("p_retailprice")).alias("prediction"))
     return M.regression_report(x, ["l_returnflag"])
+
+
+# ---------------------------------------------------------------- O1
+from ..operators.outliers import dbscan_flags  # noqa: E402
+
+_CW_NUM = ("acctbal", "n_orders", "spend", "max_order")
+
+
+def _dbscan_sql(eps=0.5, m=3):
+    st = ", ".join(f"avg({c}) AS m{i}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS s{i}"
+                   for i, c in enumerate(_CW_NUM))
+    z = ", ".join(f"(CAST({c} AS DOUBLE) - m{i}) / s{i} AS z{i}" for i, c in enumerate(_CW_NUM))
+    d2 = " + ".join(f"(a.z{i} - b.z{i}) * (a.z{i} - b.z{i})" for i in range(len(_CW_NUM)))
+    e2 = repr(eps * eps)
+    return ("WITH " + S.CUSTOMER_WIDE + f""",
+st AS (SELECT {st} FROM customer_wide),
+z AS (SELECT row_id, {z} FROM customer_wide, st),
+nb AS (SELECT a.row_id, count(*) AS n FROM z a JOIN z b ON {d2} <= {e2} GROUP BY a.row_id),
+core AS (SELECT row_id FROM nb WHERE n >= {m}),
+border AS (SELECT DISTINCT a.row_id FROM z a JOIN z b ON {d2} <= {e2} JOIN core c ON c.row_id = b.row_id)
+SELECT z.row_id, z.row_id IN (SELECT row_id FROM core) AS is_core,
+       NOT (z.row_id IN (SELECT row_id FROM core)) AND NOT (z.row_id IN (SELECT row_id FROM border)) AS is_noise
+FROM z""")
+
+
+@register("outlier_noise", _dbscan_sql())
+def q_outlier_noise(spark, sf_dir):
+    return dbscan_flags(customer_wide(spark, sf_dir), list(_CW_NUM), eps=0.5, min_samples=3)
