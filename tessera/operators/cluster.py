@@ -18,18 +18,22 @@ CLUSTER_COLUMNS = ("age", "education_num", "hours_per_week", "capital_gain")
 
 
 def kmeans_best_of(df: DataFrame, features_col: str, k: int = 5, restarts: int = 10, seed: int = 42,
-                   max_iter: int = 300):
-    """k-means with ``restarts`` seeds, keeping the lowest training cost
-    (Spark has no ``n_init``). The input is persisted once for all restarts."""
+                   max_iter: int = 300, parallelism: int = 4):
+    """k-means with ``restarts`` seeds, keeping the lowest training cost (ties
+    to the lower seed; Spark has no ``n_init``). The input is persisted once;
+    restarts are independent jobs submitted from a bounded thread pool."""
+    from concurrent.futures import ThreadPoolExecutor
     x = df.select(features_col).persist()
-    best = None
-    for r in range(restarts):
+    x.count()
+
+    def fit(r):
         m = KMeans(k=k, seed=seed + r, featuresCol=features_col, maxIter=max_iter, initMode="k-means||").fit(x)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, m)
+        return m.summary.trainingCost, r, m
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        fits = list(pool.map(fit, range(restarts)))
     x.unpersist()
-    return best[1]
+    return min(fits, key=lambda t: (t[0], t[1]))[2]
 
 
 def add_clustering_features(df: DataFrame, n_clusters: int = 5, id_col: str = "row_id", seed: int = 42,

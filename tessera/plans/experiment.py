@@ -27,6 +27,7 @@ from ..operators.encode import (apply_standard_scaler, assemble, feature_pipelin
 from ..operators.models import BOOSTER_KEYS, build, features_for, score
 from ..operators.ordinal import stratified_fold_assign
 from ..operators.profile import minority_class
+from ..session import cut_lineage
 from .preprocessing import PrepConfig, clean_and_engineer, feature_columns
 
 
@@ -49,6 +50,10 @@ def build_feature_set(prep: DataFrame, cfg: PrepConfig | None = None) -> Feature
     """
     cfg = cfg or PrepConfig()
     num, cats = feature_columns(prep, cfg)
+    # the encoders below and every later model fit read these rows: write
+    # them once to the shared checkpoint folder (also cuts the lineage of
+    # the joins and imputation upstream)
+    prep = cut_lineage(prep)
     train = prep.filter(F.col("split") == "train")
     pipe = feature_pipeline(num, cats).fit(train)
     x = tree_codes(pipe, pipe.transform(prep), cats)
@@ -64,7 +69,7 @@ def build_feature_set(prep: DataFrame, cfg: PrepConfig | None = None) -> Feature
     scale = [1.0] * len(num) + [1.0 / math.sqrt(p * (1 - p)) if 0 < p < 1 else 1.0 for p in mean[len(num):]]
     x = ElementwiseProduct(scalingVec=Vectors.dense(scale), inputCol="__lin", outputCol="features_linear").transform(x)
     x = x.withColumn("is_val", F.col("split") == "val")
-    df = x.select("row_id", "label", "split", "is_val", "features_tree", "features_linear")
+    df = cut_lineage(x.select("row_id", "label", "split", "is_val", "features_tree", "features_linear"))
     return FeatureSet(df, order, lin_names, pipe, stats)
 
 

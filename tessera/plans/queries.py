@@ -500,3 +500,141 @@ FROM z""")
 @register("outlier_noise", _dbscan_sql())
 def q_outlier_noise(spark, sf_dir):
     return dbscan_flags(customer_wide(spark, sf_dir), list(_CW_NUM), eps=0.5, min_samples=3)
+
+
+# ---------------------------------------------------------------- model-based (rows-only: solver-dependent values)
+from ..operators import cluster as K  # noqa: E402
+from ..operators import explain as X  # noqa: E402
+from ..operators.models import DEFAULT_PARAMS  # noqa: E402
+from . import experiment as XP  # noqa: E402
+
+
+def feature_set(spark, sf_dir):
+    return XP.build_feature_set(prepared(spark, sf_dir), WIDE_CFG)
+
+
+def _val_predictions(spark, sf_dir, key, params):
+    fs = feature_set(spark, sf_dir)
+    model = XP.train_model(key, params, fs)
+    return XP.predictions(model, fs.df.filter(F.col("split") == "val"), key)
+
+
+@register("kmeans_clusters")
+def q_kmeans_clusters(spark, sf_dir):
+    p = clean_and_engineer(wide(spark, sf_dir), PrepConfig(married_values=WIDE_MARRIED))
+    return K.add_clustering_features(p, 5, restarts=10).select("row_id", "cluster_feature")
+
+
+@register("cluster_distribution")
+def q_cluster_distribution(spark, sf_dir):
+    return K.cluster_distribution(q_kmeans_clusters(spark, sf_dir))
+
+
+@register("pca_2d")
+def q_pca_2d(spark, sf_dir):
+    k = q_kmeans_clusters(spark, sf_dir)
+    p = prepared(spark, sf_dir).join(k, "row_id")
+    cols = numeric_columns(p, ("row_id", "cluster_feature", "split"))
+    return K.pca_2d(p, cols, "cluster_feature", sample_n=3000)
+
+
+@register("logistic_regression")
+def q_logistic_regression(spark, sf_dir):
+    return _val_predictions(spark, sf_dir, "logistic_regression", DEFAULT_PARAMS["logistic_regression"])
+
+
+@register("decision_tree")
+def q_decision_tree(spark, sf_dir):
+    return _val_predictions(spark, sf_dir, "decision_tree", {"max_depth": 10, "min_samples_leaf": 2})
+
+
+@register("random_forest")
+def q_random_forest(spark, sf_dir):
+    return _val_predictions(spark, sf_dir, "random_forest", DEFAULT_PARAMS["random_forest"])
+
+
+@register("adaboost")
+def q_adaboost(spark, sf_dir):
+    return _val_predictions(spark, sf_dir, "adaboost", {"n_estimators": 50, "learning_rate": 1.0})
+
+
+@register("gradient_boosting")
+def q_gradient_boosting(spark, sf_dir):
+    return _val_predictions(spark, sf_dir, "gradient_boosting", {"n_estimators": 100, "learning_rate": 0.1,
+                                                                 "max_depth": 3})
+
+
+@register("booster_presets")
+def q_booster_presets(spark, sf_dir):
+    fs = feature_set(spark, sf_dir)
+    val = fs.df.filter(F.col("split") == "val")
+    out = None
+    for key in ("xgboost", "lightgbm", "catboost"):
+        m = XP.train_model(key, DEFAULT_PARAMS[key], fs)
+        p = XP.evaluate_model(m, val, key)
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+_SMALL_GRIDS = {"random_forest": {"n_estimators": [20, 50], "max_depth": [5, 10], "min_samples_leaf": [5],
+                                  "max_features": ["sqrt"], "bootstrap": [True]}}
+
+
+@register("tuning_search")
+def q_tuning_search(spark, sf_dir):
+    from ..operators.tuning import random_search
+    fs = feature_set(spark, sf_dir)
+    s = random_search("logistic_regression", fs.df.filter(F.col("split") == "train"), n_iter=10, k=3, refit=False)
+    return s.results
+
+
+@register("n_trees_curve")
+def q_n_trees_curve(spark, sf_dir):
+    from ..operators.tuning import n_estimators_curve, random_search
+    fs = feature_set(spark, sf_dir)
+    s = random_search("random_forest", fs.df.filter(F.col("split") == "train"), _SMALL_GRIDS["random_forest"],
+                      n_iter=4, k=3, refit=False)
+    return n_estimators_curve(s)
+
+
+_TOP3 = {"logistic_regression": ("logistic_regression", DEFAULT_PARAMS["logistic_regression"]),
+         "lightgbm": ("lightgbm", {"n_estimators": 50, "learning_rate": 0.1}),
+         "random_forest": ("random_forest", {"n_estimators": 50, "max_depth": 10})}
+
+
+@register("blending")
+def q_blending(spark, sf_dir):
+    from ..operators.ensemble import Blending
+    fs = feature_set(spark, sf_dir)
+    bases = {n: XP.train_model(k, p, fs, name=n) for n, (k, p) in _TOP3.items()}
+    model = Blending(bases).fit(fs.df.filter(F.col("split") == "val"))
+    return XP.predictions(model, fs.df.filter(F.col("split") == "test"), "blending_ensemble")
+
+
+@register("stacking")
+def q_stacking(spark, sf_dir):
+    from ..operators.ensemble import Stacking
+    fs = feature_set(spark, sf_dir)
+    model = Stacking(_TOP3, n_splits=5).fit(fs.df.filter(F.col("split") == "train"))
+    return XP.predictions(model, fs.df.filter(F.col("split") == "val"), "stacking_ensemble")
+
+
+@register("cv_stability")
+def q_cv_stability(spark, sf_dir):
+    fs = feature_set(spark, sf_dir)
+    return XP.cross_validation_stability("random_forest", DEFAULT_PARAMS["random_forest"], fs, k=5,
+                                         splits=("train", "val"))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    fs = feature_set(spark, sf_dir)
+    m = XP.train_model("random_forest", DEFAULT_PARAMS["random_forest"], fs)
+    return X.feature_importance(spark, m, fs.tree_names, top_n=15)
+
+
+@register("attribution")
+def q_attribution(spark, sf_dir):
+    fs = feature_set(spark, sf_dir)
+    m = XP.train_model("random_forest", DEFAULT_PARAMS["random_forest"], fs)
+    return X.attribution(fs.df.filter(F.col("split") == "val"), m, fs.tree_names, kind="mean").limit(10)
