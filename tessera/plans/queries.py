@@ -638,3 +638,16 @@ def q_attribution(spark, sf_dir):
     fs = feature_set(spark, sf_dir)
     m = XP.train_model("random_forest", DEFAULT_PARAMS["random_forest"], fs)
     return X.attribution(fs.df.filter(F.col("split") == "val"), m, fs.tree_names, kind="mean").limit(10)
+
+
+@register("experiment_run")
+def q_experiment_run(spark, sf_dir):
+    """§3.1 end to end on the whole `wide` table (small search grids): the
+    test leaderboard of every family and both ensembles."""
+    grids = {"decision_tree": {"max_depth": [5, 10], "min_samples_leaf": [2], "criterion": ["gini"]},
+             "random_forest": _SMALL_GRIDS["random_forest"],
+             "lightgbm": {"n_estimators": [30], "learning_rate": [0.1], "num_leaves": [31],
+                          "feature_fraction": [0.8]}}
+    res = XP.run_experiment(prepared(spark, sf_dir), WIDE_CFG, tree_keys=("decision_tree", "random_forest",
+                            "lightgbm"), n_iter=2, k=3, grids=grids, stack_folds=3, deep=False)
+    return res["test_leaderboard"]
