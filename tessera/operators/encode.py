@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import nan_string
+from ..session import cut_lineage
 
 MAX_VOCAB_ROWS = 1_000_000
+LOCAL_VOCAB_ROWS = 20_000
 
 
 def fit_vocabulary(df: DataFrame, columns: Sequence[str], max_rows: int = MAX_VOCAB_ROWS,
@@ -38,7 +40,13 @@ def fit_vocabulary(df: DataFrame, columns: Sequence[str], max_rows: int = MAX_VO
     if n > max_rows:
         raise ValueError(f"vocabulary has {n} entries, above max_rows={max_rows}")
     w = Window.partitionBy("column").orderBy("value")
-    return long.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    vocab = long.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    # fitted state is materialised, as an ML fit is: small vocabularies come
+    # to the driver (size checked above), larger ones are written to the
+    # shared checkpoint folder; either way lookups never re-run the input
+    if n <= LOCAL_VOCAB_ROWS:
+        return df.sparkSession.createDataFrame(vocab.collect(), "column string, value string, code int")
+    return cut_lineage(vocab)
 
 
 def _lookup(df: DataFrame, vocab: DataFrame, col: str, out_col: str, missing_code=-1) -> DataFrame:

@@ -17,6 +17,7 @@ from ..functions.features import MARRIED_VALUES, add_custom_features
 from ..operators.clean import smart_impute
 from ..operators.encode import encode_target
 from ..operators.ordinal import split_assign
+from ..session import cut_lineage
 
 
 @dataclass
@@ -31,12 +32,21 @@ class PrepConfig:
     clusters: bool = False
     n_clusters: int = 5
     exact_split: bool = False
+    materialize: bool = True
     drop: tuple = ("fnlwgt", "native_country")
     extra: dict = field(default_factory=dict)
 
 
 def clean_and_engineer(df: DataFrame, cfg: PrepConfig) -> DataFrame:
-    """Encode target, impute, (outliers), (clusters), custom features, split."""
+    """Encode target, impute, (outliers), (clusters), custom features, split.
+
+    With ``materialize`` the input is written once to the shared checkpoint
+    folder: the fits below (target classes, fill values, later encoders) each
+    read it, instead of re-running the joins that built it; it also bounds
+    recomputation after a lost executor.
+    """
+    if cfg.materialize:
+        df = cut_lineage(df)
     df, _classes = encode_target(df, cfg.target_col, "label")
     df = df.drop(cfg.target_col)
     df = smart_impute(df, exclude=(cfg.id_col, "label"))
