@@ -72,6 +72,12 @@ def _out(est, name: str):
     return est
 
 
+# Tree induction settings: more nodes split per pass over the data (fewer
+# passes for deep trees), node ids cached with periodic checkpoints.
+TREE_TUNING = dict(maxBins=32, maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
+BOOST_TUNING = dict(maxBins=32, maxMemoryInMB=1024)
+
+
 def _depth(v):
     return MAX_DEPTH if v is None else min(int(v), MAX_DEPTH)
 
@@ -97,7 +103,7 @@ def build_logistic_regression(task="classification", n_rows: int | None = None,
 def build_decision_tree(task="classification", name="decision_tree", **p):
     """M2."""
     kw = dict(featuresCol=TREE_FEATURES, labelCol="label", maxDepth=_depth(p.get("max_depth")),
-              minInstancesPerNode=_leaf(p.get("min_samples_leaf", 1)), seed=SEED, maxBins=64)
+              minInstancesPerNode=_leaf(p.get("min_samples_leaf", 1)), seed=SEED, **TREE_TUNING)
     if task == "classification":
         return _out(DecisionTreeClassifier(impurity=p.get("criterion", "gini"), **kw), name)
     return _out(DecisionTreeRegressor(**kw), name)
@@ -108,7 +114,7 @@ def build_random_forest(task="classification", name="random_forest", **p):
     kw = dict(featuresCol=TREE_FEATURES, labelCol="label", numTrees=int(p.get("n_estimators", 100)),
               maxDepth=_depth(p.get("max_depth")), minInstancesPerNode=_leaf(p.get("min_samples_leaf", 1)),
               featureSubsetStrategy=str(p.get("max_features", "sqrt")), bootstrap=bool(p.get("bootstrap", True)),
-              seed=SEED, maxBins=64)
+              seed=SEED, **TREE_TUNING)
     if task == "classification":
         return _out(RandomForestClassifier(**kw), name)
     return _out(RandomForestRegressor(**kw), name)
@@ -124,7 +130,7 @@ def build_adaboost(task="classification", name="adaboost", **p):
 def _gbt(task, name, iters, rate, depth, subsample=1.0, min_leaf=1, feature_subset="all", val_col=None):
     kw = dict(featuresCol=TREE_FEATURES, labelCol="label", maxIter=int(iters), stepSize=float(rate),
               maxDepth=_depth(depth), subsamplingRate=float(subsample), minInstancesPerNode=_leaf(min_leaf),
-              featureSubsetStrategy=feature_subset, seed=SEED, maxBins=64)
+              featureSubsetStrategy=feature_subset, seed=SEED, **BOOST_TUNING)
     if val_col:
         kw["validationIndicatorCol"] = val_col
     est = GBTClassifier(**kw) if task == "classification" else GBTRegressor(**kw)

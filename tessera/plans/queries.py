@@ -91,7 +91,8 @@ def q_load_profile(spark, sf_dir):
           + ", ".join(f"{S.rnd_sql(c, 6)} AS {c}" for c in S.WIDE_NUM) + ", "
           + ", ".join(S.WIDE_STR) + " FROM imputed")
 def q_clean_missing(spark, sf_dir):
-    df, _ = EN.encode_target(wide(spark, sf_dir), "income", "label")
+    from ..session import cut_lineage
+    df, _ = EN.encode_target(cut_lineage(wide(spark, sf_dir)), "income", "label")
     out = C.smart_impute(df.drop("income"), exclude=("row_id", "label"))
     return _round_doubles(out)
 
