@@ -652,3 +652,27 @@ def q_experiment_run(spark, sf_dir):
     res = XP.run_experiment(prepared(spark, sf_dir), WIDE_CFG, tree_keys=("decision_tree", "random_forest",
                             "lightgbm"), n_iter=2, k=3, grids=grids, stack_folds=3, deep=False)
     return res["test_leaderboard"]
+
+
+@register("outlier_filter")
+def q_outlier_filter(spark, sf_dir):
+    """O1 + F4 in the pipeline's setting: every numeric column of the imputed
+    `wide` table (target included, as in the reference), eps 2.5, min 3."""
+    from ..operators.outliers import dbscan_filter
+    from ..session import cut_lineage
+    df, _ = EN.encode_target(cut_lineage(wide(spark, sf_dir)), "income", "label")
+    imp = C.smart_impute(df.drop("income"), exclude=("row_id", "label"))
+    return dbscan_filter(imp, numeric_columns(imp, ("row_id",)), eps=2.5, min_samples=3)
+
+
+@register("experiment_summary", SM + """,
+v AS (SELECT * FROM sm WHERE split = 'val')
+SELECT r.model, r.accuracy, r.f1, r.precision, r.recall, a.roc_auc FROM """ + S.cls_report_sql("v", ["model"])
+          + " r LEFT JOIN " + S.auc_sql("v", ["model"]) + " a USING (model)")
+def q_experiment_summary(spark, sf_dir):
+    """H5: long (model, split, metric, value) rows pivoted to one row per model."""
+    p = scored_models(spark, sf_dir)
+    rep = EV.model_metrics(p, ["model", "split"])
+    long = rep.unpivot(["model", "split"], list(EV.SUMMARY_METRICS), "metric", "value").withColumn(
+        "train_time", F.lit(None).cast("double"))
+    return EV.experiment_summary(long, "val").drop("train_time")
