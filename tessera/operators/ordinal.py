@@ -17,7 +17,17 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import HASH_SPACE, hash_key
 
-DEFAULT_BUCKETS = 256
+DEFAULT_BUCKETS = None          # None: sized from the row count
+ROWS_PER_BUCKET = 2_000_000     # rows one window task sorts, at most about
+MIN_BUCKETS, MAX_BUCKETS = 16, 1 << 18
+
+
+def auto_buckets(rows: int, groups: int = 1) -> int:
+    """Bucket count so each (group, bucket) window holds ~ROWS_PER_BUCKET
+    rows; the bucket-total table stays bounded by ``groups * MAX_BUCKETS``."""
+    import math
+    per_group = max(1, rows // max(1, groups))
+    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(per_group / ROWS_PER_BUCKET))))
 
 
 def _thresholds(fractions: Sequence[float]) -> list[int]:
@@ -57,6 +67,8 @@ def hash_ordinal(df: DataFrame, id_col: str = "row_id", seed: int = 42,
     n_buckets`` rows, bounded by the parameter) are turned into offsets.
     """
     part = list(partition_cols)
+    if n_buckets is None:
+        n_buckets = auto_buckets(df.count())
     h = hash_key(id_col, seed)
     x = df.withColumns({"__h": h, "__b": (h * n_buckets / HASH_SPACE).cast("int")})
     counts = x.groupBy(*part, "__b").agg(F.count(F.lit(1)).alias("__n"))
@@ -98,28 +110,44 @@ def stratified_fold_assign(df: DataFrame, label_col: str = "label", k: int = 5,
     return x.withColumn(out_col, F.pmod(F.col("__ord") - 1, F.lit(k)).cast("int")).drop("__ord")
 
 
-def sample_rows(df: DataFrame, n: int, id_col: str = "row_id", seed: int = 42) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, id_col: str = "row_id", seed: int = 42,
+                oversample: float = 4.0) -> DataFrame:
     """uniform sample of ``n`` rows without replacement, only above the cap.
 
-    The sample is the ``n`` smallest keyed hashes (TakeOrderedAndProject: a
-    per-partition top-n, then a merge of n rows per partition), so it is
-    repeatable and never sorts the whole table. A sampling operator: the limit
-    is the feature.
+    The sample is the ``n`` rows with the smallest keyed hash (ties by id), so
+    it is repeatable and independent of partitioning. The hash is uniform, so
+    a per-row filter ``hash < t`` with ``t`` sized for ~``oversample * n``
+    survivors keeps every row of the sample; only the survivors are sorted.
+    The filter is widened if it ever keeps fewer than ``n``. A sampling
+    operator: the limit is the feature.
     """
+    import math
+    total = df.count()
+    if total <= n:
+        return df
     h = hash_key(id_col, seed)
-    return (df.withColumn("__h", h).orderBy("__h", id_col).limit(n).drop("__h"))
+    x = df.withColumn("__h", h)
+    t = HASH_SPACE
+    while True:
+        t = min(HASH_SPACE, int(math.ceil(HASH_SPACE * min(1.0, oversample * n / total))))
+        cand = x.filter(F.col("__h") < t)
+        if t >= HASH_SPACE or cand.count() >= n:
+            break
+        oversample *= 4
+    return cand.orderBy("__h", id_col).limit(n).drop("__h")
 
 
 def value_prefix_sums(df: DataFrame, part_cols: Sequence[str], value_col: str,
                       weight_cols: Sequence[str], descending: bool = False,
-                      n_buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+                      n_buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
     """Running totals of ``weight_cols`` in value order within each group.
 
     ``df`` holds one row per (group, distinct value) with its weights (already
     aggregated, so a hot value is one row). Adds ``cum_<w>`` (inclusive) and
     ``before_<w>`` (exclusive). Buckets come from approximate quantiles of the
-    value per group; equal values always share a bucket, so the result is
-    exact whatever the quantiles are. Only the bucket totals (groups x
+    value per group (count sized from the data when ``n_buckets`` is None);
+    equal values always share a bucket, so the result is exact whatever the
+    quantiles are. Only the bucket totals (groups x
     n_buckets rows) are ordered globally.
     """
     part = list(part_cols)
@@ -128,6 +156,9 @@ def value_prefix_sums(df: DataFrame, part_cols: Sequence[str], value_col: str,
     x = df.withColumn("__k", key.cast("double"))
     if not part:                       # a single group: a constant key column
         x, part = x.withColumn("__g", F.lit(0)), ["__g"]
+    if n_buckets is None:
+        # rows here are distinct (group, value) pairs, already aggregated
+        n_buckets = auto_buckets(x.count(), x.select(*part).distinct().count())
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = x.groupBy(*part).agg(F.percentile_approx("__k", probs, accuracy).alias("__bounds"))
     x = x.join(F.broadcast(bounds), on=part, how="inner")
