@@ -53,6 +53,72 @@ def load_or_compute(spark: SparkSession, root: str, config: dict, input_path: st
 
 
 def save_model(model, path: str) -> str:
-    """ML persistence of a fitted model (overwrite)."""
+    """Persist a fitted model (overwrite).
+
+    ``pyspark.ml`` models use ML persistence. AdaBoost is its node tables and
+    weights as one JSON document; blending/stacking models are a folder with
+    each base model, the meta model and a manifest.
+    """
+    from ..operators.adaboost import AdaBoostModel
+    from ..operators.ensemble import BlendingModel
+    spark = SparkSession.getActiveSession()
+    if isinstance(model, AdaBoostModel):
+        doc = {"kind": "adaboost", "trees": model.trees, "alphas": model.alphas, "task": model.task,
+               "featuresCol": model.featuresCol, "name": model.name,
+               "importances": [list(map(float, i)) for i in model.importances]}
+        spark.createDataFrame([(json.dumps(doc),)], "doc string").coalesce(1).write.mode("overwrite").text(path)
+        return path
+    if isinstance(model, BlendingModel):
+        names = list(model.bases)
+        for n in names:
+            save_model(model.bases[n], f"{path}/base_{n}")
+        model.meta.model.write().overwrite().save(f"{path}/meta")
+        doc = {"kind": "ensemble", "name": model.name, "bases": names, "meta_cols": model.meta.cols,
+               "base_kinds": {n: _kind(model.bases[n]) for n in names}}
+        spark.createDataFrame([(json.dumps(doc),)], "doc string").coalesce(1).write.mode("overwrite").text(
+            f"{path}/manifest")
+        return path
     model.write().overwrite().save(path)
     return path
+
+
+def _kind(model) -> str:
+    from ..operators.adaboost import AdaBoostModel
+    if isinstance(model, AdaBoostModel):
+        return "adaboost"
+    return f"{type(model).__module__}.{type(model).__name__}"
+
+
+def load_model(path: str, kind: str | None = None):
+    """S4 round trip of ``save_model``."""
+    import importlib
+    from ..operators.adaboost import AdaBoostModel
+    from ..operators.ensemble import BlendingModel, _MetaModel
+    from pyspark.ml.classification import LogisticRegressionModel
+    spark = SparkSession.getActiveSession()
+    if kind is None:
+        try:
+            doc = json.loads(spark.read.text(f"{path}/manifest").first()[0])
+            kind = "ensemble"
+        except Exception:
+            kind = "ml"
+            try:
+                doc = json.loads(spark.read.text(path).first()[0])
+                kind = doc.get("kind", "ml")
+            except Exception:
+                pass
+    if kind == "adaboost":
+        doc = json.loads(spark.read.text(path).first()[0])
+        trees = [[tuple(n) for n in t] for t in doc["trees"]]
+        return AdaBoostModel(trees, doc["alphas"], doc["task"], doc["featuresCol"], doc["name"], doc["importances"])
+    if kind == "ensemble":
+        doc = json.loads(spark.read.text(f"{path}/manifest").first()[0])
+        bases = {n: load_model(f"{path}/base_{n}", "adaboost" if doc["base_kinds"][n] == "adaboost" else None)
+                 for n in doc["bases"]}
+        meta = _MetaModel(LogisticRegressionModel.load(f"{path}/meta"), doc["meta_cols"])
+        return BlendingModel(bases, meta, doc["name"])
+    from pyspark.ml.util import DefaultParamsReader
+    meta = DefaultParamsReader.loadMetadata(path, spark.sparkContext)
+    module, cls = meta["class"].rsplit(".", 1)
+    py_module = module.replace("org.apache.spark.ml", "pyspark.ml")
+    return getattr(importlib.import_module(py_module), cls).load(path)
