@@ -50,9 +50,14 @@ def fit_vocabulary(df: DataFrame, columns: Sequence[str], max_rows: int = MAX_VO
 
 
 def _lookup(df: DataFrame, vocab: DataFrame, col: str, out_col: str, missing_code=-1) -> DataFrame:
-    """Broadcast left join of one column to its vocabulary; unseen gets -1."""
-    v = F.broadcast(vocab.filter(F.col("column") == col)
-                         .select(F.col("value").alias("__v"), F.col("code").alias("__code")))
+    """Left join of one column to its vocabulary; unseen gets -1.
+
+    No hint: a collected vocabulary is a local relation whose exact size the
+    planner sees (it broadcasts it); a large checkpointed one is measured by
+    AQE at run time before any broadcast.
+    """
+    v = (vocab.filter(F.col("column") == col)
+              .select(F.col("value").alias("__v"), F.col("code").alias("__code")))
     j = df.join(v, nan_string(col) == F.col("__v"), "left")
     return j.withColumn(out_col, F.coalesce(F.col("__code"), F.lit(missing_code))).drop("__v", "__code")
 
@@ -87,8 +92,8 @@ def one_hot_long(df: DataFrame, vocab: DataFrame, cat_cols: Sequence[str], n_num
     offsets = (sizes.withColumn("__ord", order[F.col("column")])
                     .withColumn("offset", F.lit(n_numeric) + F.coalesce(F.sum("k").over(w), F.lit(0)))
                     .select("column", "offset"))
-    v = F.broadcast(vocab.join(F.broadcast(offsets), "column")
-                         .select("column", "value", (F.col("offset") + F.col("code")).alias("feature_index"),
+    v = (vocab.join(F.broadcast(offsets), "column")
+              .select("column", "value", (F.col("offset") + F.col("code")).alias("feature_index"),
                                  F.concat(F.col("column"), F.lit("_"), F.col("value")).alias("feature")))
     long = df.select(id_col, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                                                  for c in cat_cols])).alias("kv")).select(id_col, "kv.*")

@@ -106,12 +106,18 @@ def roc_points(df: DataFrame, group_cols: Sequence[str] = (), label_col: str = "
     (threshold NULL). All points are kept (no collinear-point dropping)."""
     g = list(group_cols)
     t = score_table(df, g, label_col, score_col)
-    tot = Window.partitionBy(*g) if g else Window.partitionBy()
+    if not g:
+        t, g = t.withColumn("__g", F.lit(0)), ["__g"]
+    # class totals per group by aggregation (one row per group), joined back
+    tot = t.groupBy(*g).agg(F.sum("pos").alias("__P"), F.sum("neg").alias("__N"))
+    t = t.join(tot, g)
     pts = t.select(*g, F.col("score").alias("threshold"),
-                   rnd(F.try_divide(F.col("cum_neg"), F.sum("neg").over(tot)), digits).alias("fpr"),
-                   rnd(F.try_divide(F.col("cum_pos"), F.sum("pos").over(tot)), digits).alias("tpr"))
-    origin = t.select(*g).distinct().select(*g, F.lit(None).cast("double").alias("threshold"),
-                                            F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+                   rnd(F.try_divide(F.col("cum_neg"), F.col("__N")), digits).alias("fpr"),
+                   rnd(F.try_divide(F.col("cum_pos"), F.col("__P")), digits).alias("tpr"))
+    origin = tot.select(*g, F.lit(None).cast("double").alias("threshold"),
+                        F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    if g == ["__g"]:
+        return pts.unionByName(origin).drop("__g")
     return pts.unionByName(origin)
 
 
