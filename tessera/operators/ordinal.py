@@ -17,9 +17,27 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import HASH_SPACE, hash_key
 
-DEFAULT_BUCKETS = None          # None: sized from the row count
+HASH_BUCKETS = 1 << 14          # equal hash ranges: balanced, need no count
 ROWS_PER_BUCKET = 2_000_000     # rows one window task sorts, at most about
 MIN_BUCKETS, MAX_BUCKETS = 16, 1 << 18
+QUANTILE_RESOLUTION = 1024      # value buckets per group, at most
+DEFAULT_BUCKETS = HASH_BUCKETS
+
+
+BYTES_PER_BUCKET = 64 << 20     # planned input bytes per hash bucket
+
+
+def planned_buckets(df: DataFrame) -> int:
+    """Hash-bucket count from Catalyst's size estimate of the plan (no job).
+
+    Results never depend on the count; an over-estimate only adds buckets.
+    """
+    import math
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:                      # no statistics: the safe maximum
+        return HASH_BUCKETS
+    return int(min(HASH_BUCKETS, max(MIN_BUCKETS, math.ceil(size / BYTES_PER_BUCKET))))
 
 
 def auto_buckets(rows: int, groups: int = 1) -> int:
@@ -58,26 +76,33 @@ def split_assign(df: DataFrame, id_col: str = "row_id", seed: int = 42,
 
 
 def hash_ordinal(df: DataFrame, id_col: str = "row_id", seed: int = 42,
-                 partition_cols: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS,
+                 partition_cols: Sequence[str] = (), n_buckets: int | None = None,
                  out_col: str = "ordinal") -> DataFrame:
     """1-based position of each row in (hash, id) order, per ``partition_cols``.
 
-    Buckets are equal ranges of the uniform hash, so they are balanced whatever
-    the key distribution; only the per-bucket counts (``partitions x
-    n_buckets`` rows, bounded by the parameter) are turned into offsets.
+    Rows are counted per fine bucket (2^14 equal ranges of the uniform hash,
+    balanced whatever the keys). On that small table (groups x 2^14 rows at
+    most) running totals give each fine bucket its offset and merge runs of
+    consecutive fine buckets into windows of about ``ROWS_PER_BUCKET`` rows.
+    The row-level window then sorts one such run per task, whatever the data
+    size, and no job is spent sizing it.
     """
     part = list(partition_cols)
-    if n_buckets is None:
-        n_buckets = auto_buckets(df.count())
+    fine = n_buckets or HASH_BUCKETS
     h = hash_key(id_col, seed)
-    x = df.withColumns({"__h": h, "__b": (h * n_buckets / HASH_SPACE).cast("int")})
-    counts = x.groupBy(*part, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    w_off = Window.partitionBy(*part).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w_off), F.lit(0))).drop("__n")
+    x = df.withColumns({"__h": h, "__f": (h * fine / HASH_SPACE).cast("int")})
+    counts = x.groupBy(*part, "__f").agg(F.count(F.lit(1)).alias("__n"))
+    w_off = Window.partitionBy(*part).orderBy("__f").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (counts.withColumn("__off", F.coalesce(F.sum("__n").over(w_off), F.lit(0)))
+                     .withColumn("__b", F.floor(F.col("__off") / ROWS_PER_BUCKET).cast("int")))
+    # offset of a coarse run = offset of its first fine bucket
+    starts = offsets.groupBy(*part, "__b").agg(F.min("__off").alias("__start"))
+    offsets = offsets.join(starts, [*part, "__b"]).select(*part, "__f", "__b", "__start")
     w_in = Window.partitionBy(*part, "__b").orderBy("__h", id_col)
-    ranked = x.join(F.broadcast(offsets), on=[*part, "__b"], how="inner")
-    return (ranked.withColumn(out_col, F.col("__off") + F.row_number().over(w_in))
-                  .drop("__h", "__b", "__off"))
+    # the offsets table is bounded by groups x 2^14 rows
+    ranked = x.join(F.broadcast(offsets), on=[*part, "__f"], how="inner")
+    return (ranked.withColumn(out_col, F.col("__start") + F.row_number().over(w_in))
+                  .drop("__h", "__f", "__b", "__start"))
 
 
 def split_exact(df: DataFrame, id_col: str = "row_id", seed: int = 42, train_size: float = 0.6,
@@ -110,31 +135,25 @@ def stratified_fold_assign(df: DataFrame, label_col: str = "label", k: int = 5,
     return x.withColumn(out_col, F.pmod(F.col("__ord") - 1, F.lit(k)).cast("int")).drop("__ord")
 
 
-def sample_rows(df: DataFrame, n: int, id_col: str = "row_id", seed: int = 42,
-                oversample: float = 4.0) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, id_col: str = "row_id", seed: int = 42) -> DataFrame:
     """uniform sample of ``n`` rows without replacement, only above the cap.
 
     The sample is the ``n`` rows with the smallest keyed hash (ties by id), so
-    it is repeatable and independent of partitioning. The hash is uniform, so
-    a per-row filter ``hash < t`` with ``t`` sized for ~``oversample * n``
-    survivors keeps every row of the sample; only the survivors are sorted.
-    The filter is widened if it ever keeps fewer than ``n``. A sampling
-    operator: the limit is the feature.
+    it is repeatable and independent of partitioning. One aggregate counts
+    rows under each power-of-two hash threshold; the smallest threshold
+    holding at least ``n`` rows (about 2n, the hash being uniform) filters
+    the rows and only those survivors are sorted. A sampling operator: the
+    limit is the feature.
     """
-    import math
-    total = df.count()
-    if total <= n:
-        return df
     h = hash_key(id_col, seed)
     x = df.withColumn("__h", h)
-    t = HASH_SPACE
-    while True:
-        t = min(HASH_SPACE, int(math.ceil(HASH_SPACE * min(1.0, oversample * n / total))))
-        cand = x.filter(F.col("__h") < t)
-        if t >= HASH_SPACE or cand.count() >= n:
-            break
-        oversample *= 4
-    return cand.orderBy("__h", id_col).limit(n).drop("__h")
+    # one pass: rows below each power-of-two fraction of the hash space
+    cuts = [HASH_SPACE >> j for j in range(0, 28)]
+    counts = x.agg(*[F.sum((F.col("__h") < c).cast("long")).alias(f"c{j}") for j, c in enumerate(cuts)]).first()
+    if counts["c0"] is None or counts["c0"] <= n:
+        return df
+    t = min(c for j, c in enumerate(cuts) if counts[f"c{j}"] >= n)
+    return x.filter(F.col("__h") < t).orderBy("__h", id_col).limit(n).drop("__h")
 
 
 def value_prefix_sums(df: DataFrame, part_cols: Sequence[str], value_col: str,
@@ -157,10 +176,18 @@ def value_prefix_sums(df: DataFrame, part_cols: Sequence[str], value_col: str,
     if not part:                       # a single group: a constant key column
         x, part = x.withColumn("__g", F.lit(0)), ["__g"]
     if n_buckets is None:
-        # rows here are distinct (group, value) pairs, already aggregated
-        n_buckets = auto_buckets(x.count(), x.select(*part).distinct().count())
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = x.groupBy(*part).agg(F.percentile_approx("__k", probs, accuracy).alias("__bounds"))
+        # one job: quantiles at a fixed resolution and the group's row count;
+        # each group keeps every step-th boundary, step chosen from its count
+        res = QUANTILE_RESOLUTION
+        probs = [i / res for i in range(1, res)]
+        bounds = x.groupBy(*part).agg(F.percentile_approx("__k", probs, accuracy).alias("__all"),
+                                      F.count(F.lit(1)).alias("__cnt"))
+        nb = F.least(F.lit(res), F.greatest(F.lit(MIN_BUCKETS), F.ceil(F.col("__cnt") / ROWS_PER_BUCKET)))
+        step = F.floor(F.lit(res) / nb)
+        bounds = bounds.select(*part, F.filter("__all", lambda b, i: F.pmod(i + 1, step) == 0).alias("__bounds"))
+    else:
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        bounds = x.groupBy(*part).agg(F.percentile_approx("__k", probs, accuracy).alias("__bounds"))
     x = x.join(F.broadcast(bounds), on=part, how="inner")
     x = x.withColumn("__b", F.size(F.filter("__bounds", lambda b: b < F.col("__k")))).drop("__bounds")
     tot = x.groupBy(*part, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weight_cols])

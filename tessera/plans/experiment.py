@@ -50,10 +50,9 @@ def build_feature_set(prep: DataFrame, cfg: PrepConfig | None = None) -> Feature
     """
     cfg = cfg or PrepConfig()
     num, cats = feature_columns(prep, cfg)
-    # the encoders below and every later model fit read these rows: write
-    # them once to the shared checkpoint folder (also cuts the lineage of
-    # the joins and imputation upstream)
-    prep = cut_lineage(prep)
+    # ``prep`` is cheap to recompute: its input was written once by
+    # clean_and_engineer and the steps above it are projections. The
+    # finished feature table is written once below, for every model fit.
     train = prep.filter(F.col("split") == "train")
     pipe = feature_pipeline(num, cats).fit(train)
     x = tree_codes(pipe, pipe.transform(prep), cats)

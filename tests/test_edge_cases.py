@@ -163,3 +163,27 @@ def test_class_balance_topn_other(spark):
     df = spark.createDataFrame(rows, "c string")
     out = {r["class"]: r["count"] for r in P.class_balance_topn(df, "c", 10).collect()}
     assert out["Other"] == 2 + 1 and len(out) == 11
+
+
+def test_hash_ordinal_many_runs_equals_global_order(spark, monkeypatch):
+    from pyspark.sql import Window
+    monkeypatch.setattr(O, "ROWS_PER_BUCKET", 500)        # force many coarse windows
+    base = spark.range(0, 6000).withColumnRenamed("id", "row_id").withColumn("label", (F.col("row_id") % 3 == 0).cast("int"))
+    a = O.hash_ordinal(base, partition_cols=["label"])
+    b = base.withColumn("h", O.hash_key("row_id", 42)).withColumn(
+        "o2", F.row_number().over(Window.partitionBy("label").orderBy("h", "row_id")))
+    assert a.join(b, ["row_id", "label"]).filter("ordinal != o2").count() == 0
+
+
+def test_value_prefix_sums_default_buckets(spark, monkeypatch):
+    monkeypatch.setattr(O, "ROWS_PER_BUCKET", 10)
+    rows = [(g, float(v % 37), 1) for g in (1, 2) for v in range(500)]
+    df = spark.createDataFrame(rows, "g int, v double, w long").groupBy("g", "v").agg(F.sum("w").alias("w"))
+    got = {(r.g, r.v): r.before_w for r in O.value_prefix_sums(df, ["g"], "v", ["w"]).collect()}
+    exp = {}
+    for g in (1, 2):
+        acc = 0
+        for v in range(37):
+            exp[(g, float(v))] = acc
+            acc += sum(1 for x in range(500) if x % 37 == v)
+    assert got == exp
