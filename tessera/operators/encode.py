@@ -45,19 +45,23 @@ def fit_vocabulary(df: DataFrame, columns: Sequence[str], max_rows: int = MAX_VO
     # to the driver (size checked above), larger ones are written to the
     # shared checkpoint folder; either way lookups never re-run the input
     if n <= LOCAL_VOCAB_ROWS:
-        return df.sparkSession.createDataFrame(vocab.collect(), "column string, value string, code int")
+        out = df.sparkSession.createDataFrame(vocab.collect(), "column string, value string, code int")
+        out._tessera_rows = n        # proven size: lookups may broadcast it
+        return out
     return cut_lineage(vocab)
 
 
 def _lookup(df: DataFrame, vocab: DataFrame, col: str, out_col: str, missing_code=-1) -> DataFrame:
     """Left join of one column to its vocabulary; unseen gets -1.
 
-    No hint: a collected vocabulary is a local relation whose exact size the
-    planner sees (it broadcasts it); a large checkpointed one is measured by
-    AQE at run time before any broadcast.
+    A collected vocabulary (size counted, at most ``LOCAL_VOCAB_ROWS``) is
+    broadcast; a large checkpointed one gets no hint, so AQE measures it at
+    run time before choosing a broadcast.
     """
     v = (vocab.filter(F.col("column") == col)
               .select(F.col("value").alias("__v"), F.col("code").alias("__code")))
+    if getattr(vocab, "_tessera_rows", None) is not None:
+        v = F.broadcast(v)
     j = df.join(v, nan_string(col) == F.col("__v"), "left")
     return j.withColumn(out_col, F.coalesce(F.col("__code"), F.lit(missing_code))).drop("__v", "__code")
 
@@ -92,9 +96,12 @@ def one_hot_long(df: DataFrame, vocab: DataFrame, cat_cols: Sequence[str], n_num
     offsets = (sizes.withColumn("__ord", order[F.col("column")])
                     .withColumn("offset", F.lit(n_numeric) + F.coalesce(F.sum("k").over(w), F.lit(0)))
                     .select("column", "offset"))
+    small = getattr(vocab, "_tessera_rows", None) is not None
     v = (vocab.join(F.broadcast(offsets), "column")
               .select("column", "value", (F.col("offset") + F.col("code")).alias("feature_index"),
                                  F.concat(F.col("column"), F.lit("_"), F.col("value")).alias("feature")))
+    if small:
+        v = F.broadcast(v)
     long = df.select(id_col, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                                                  for c in cat_cols])).alias("kv")).select(id_col, "kv.*")
     return long.join(v, ["column", "value"], "inner").select(id_col, "feature_index", "feature")

@@ -30,6 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .encode import fit_standard_scaler
 
 
@@ -67,8 +68,9 @@ def dbscan_flags(df: DataFrame, columns: Sequence[str], eps: float = 2.5, min_sa
     d = len(columns)
     stats = fit_standard_scaler(df, columns)
     zs = [f"__z{i}" for i in range(d)]
-    scaled = df.select(id_col, *[((F.col(c).cast("double") - F.lit(m)) / F.lit(s)).alias(z)
-                                 for (c, (m, s)), z in zip(stats.items(), zs)])
+    # read by every step below: written once to the shared checkpoint folder
+    scaled = cut_lineage(df.select(id_col, *[((F.col(c).cast("double") - F.lit(m)) / F.lit(s)).alias(z)
+                                             for (c, (m, s)), z in zip(stats.items(), zs)]))
     # 1. weighted distinct points
     pts = scaled.groupBy(*zs).agg(F.count(F.lit(1)).alias("w"))
     # 2. fine cells: dense ones are all core
@@ -76,7 +78,7 @@ def dbscan_flags(df: DataFrame, columns: Sequence[str], eps: float = 2.5, min_sa
     pts = _cells(pts, zs, side, "fine")
     # cell totals by aggregation (partial sums, no whole cell in one task)
     cell_n = pts.groupBy("fine").agg(F.sum("w").alias("cell_n"))
-    pts = _cells(pts.join(cell_n, "fine"), zs, eps, "coarse")
+    pts = cut_lineage(_cells(pts.join(cell_n, "fine"), zs, eps, "coarse"))
     sparse = pts.filter(F.col("cell_n") < min_samples)
     # 3. neighbour counts of sparse points through the coarse grid
     q = _reach(sparse.select(*zs), zs, eps, "coarse")
