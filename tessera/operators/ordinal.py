@@ -19,35 +19,11 @@ from ..functions.expressions import HASH_SPACE, hash_key
 
 HASH_BUCKETS = 1 << 14          # equal hash ranges: balanced, need no count
 ROWS_PER_BUCKET = 2_000_000     # rows one window task sorts, at most about
-MIN_BUCKETS, MAX_BUCKETS = 16, 1 << 18
+MIN_BUCKETS = 16
 QUANTILE_RESOLUTION = 1024      # value buckets per group, at most
 DEFAULT_BUCKETS = HASH_BUCKETS
 
 
-BYTES_PER_BUCKET = 64 << 20     # planned input bytes per hash bucket
-
-
-def planned_buckets(df: DataFrame) -> int:
-    """Hash-bucket count from Catalyst's size estimate of the plan (no job).
-
-    Results never depend on the count; an over-estimate only adds buckets.
-    """
-    import math
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:                      # no statistics: the safe maximum
-        return HASH_BUCKETS
-    return int(min(HASH_BUCKETS, max(MIN_BUCKETS, math.ceil(size / BYTES_PER_BUCKET))))
-
-
-def auto_buckets(rows: int, groups: int = 1) -> int:
-    """Bucket count so each (group, bucket) window holds ~ROWS_PER_BUCKET
-    rows; the bucket-total table stays bounded by ``groups * MAX_BUCKETS``."""
-    import math
-    per_group = max(1, rows // max(1, groups))
-    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(per_group / ROWS_PER_BUCKET))))
-
-
 def _thresholds(fractions: Sequence[float]) -> list[int]:
     """Cumulative integer cut points on the 28-bit hash space."""
     out, acc = [], 0.0

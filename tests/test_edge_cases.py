@@ -187,3 +187,17 @@ def test_value_prefix_sums_default_buckets(spark, monkeypatch):
             exp[(g, float(v))] = acc
             acc += sum(1 for x in range(500) if x % 37 == v)
     assert got == exp
+
+
+def test_metrics_partition_invariant(spark):
+    rows = [(i % 3, int((i * 7) % 5 < 2), int((i * 11) % 5 < 2), round(((i * 37) % 101) / 100, 2))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "model int, label int, prediction int, score double")
+
+    def run(d):
+        rep = sorted(map(tuple, M.classification_report(d, ["model"]).collect()))
+        auc = sorted(map(tuple, M.roc_auc(d, ["model"]).collect()))
+        pts = sorted(map(tuple, M.roc_points(d, ["model"]).collect()), key=str)
+        return rep, auc, pts
+
+    assert run(df.repartition(1)) == run(df.repartition(7)) == run(df.repartition(3, "score"))
