@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.expressions import numeric_columns, string_columns
 
+# Fixed value that must equal the reference's: the missing-value sentinel.
 SENTINEL = "?"
 
 

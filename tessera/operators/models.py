@@ -88,7 +88,7 @@ def _leaf(v):
 
 def build_logistic_regression(task="classification", n_rows: int | None = None, name="logistic_regression",
                               **p):
-    """M1: L2 logistic regression. sklearn's ``C`` (sum of losses + ||w||^2 /
+    """M1: L2 logistic regression. The reference's ``C`` (sum of losses + ||w||^2 /
     2C) is Spark's ``regParam = 1 / (C n)`` (mean loss + regParam ||w||^2 / 2);
     features are already scaled, so ``standardization=False``."""
     if task != "classification":
