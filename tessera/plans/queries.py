@@ -676,3 +676,13 @@ def q_experiment_summary(spark, sf_dir):
     long = rep.unpivot(["model", "split"], list(EV.SUMMARY_METRICS), "metric", "value").withColumn(
         "train_time", F.lit(None).cast("double"))
     return EV.experiment_summary(long, "val").drop("train_time")
+
+
+@register("mutual_info_knn")
+def q_mutual_info_knn(spark, sf_dir):
+    """L2: k-nearest-neighbour MI of every tree feature with the label, over
+    the whole train split (the estimator the reference's leakage check uses;
+    checked against brute force in tests/test_mi_knn.py)."""
+    from ..operators.mi_knn import mutual_info_knn
+    t, num, cats = tree_frame(spark, sf_dir)
+    return mutual_info_knn(t.filter(F.col("split") == "train"), num + cats, "label", k=3)
