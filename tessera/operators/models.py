@@ -50,6 +50,9 @@ DEFAULT_PARAMS = {
     "catboost": {"iterations": 200, "learning_rate": 0.05, "depth": 6},
 }
 
+# Fixed value: the reference's L-BFGS stopping tolerance for logistic models.
+LBFGS_TOL = 1e-4
+
 TREE_KEYS = ("decision_tree", "random_forest", "adaboost", "gradient_boosting", "xgboost", "lightgbm",
              "catboost")
 LINEAR_KEYS = ("logistic_regression",)
@@ -96,7 +99,8 @@ def build_logistic_regression(task="classification", n_rows: int | None = None,
     C = float(p.get("C", 1.0))
     reg = 1.0 / (C * n_rows) if n_rows else 1.0 / C
     est = LogisticRegression(featuresCol=LINEAR_FEATURES, labelCol="label", maxIter=int(p.get("max_iter", 1000)),
-                             regParam=reg, elasticNetParam=0.0, standardization=False, family="binomial")
+                             regParam=reg, elasticNetParam=0.0, standardization=False, family="binomial",
+                             tol=float(p.get("tol", LBFGS_TOL)))
     return _out(est, name)
 
 
