@@ -24,11 +24,11 @@ from ..operators import evaluate as EV
 from ..operators import metrics as M
 from ..operators.encode import (apply_standard_scaler, assemble, feature_pipeline, fit_standard_scaler,
                                 tree_codes)
-from ..operators.models import BOOSTER_KEYS, build, features_for, score
+from ..operators.models import BOOSTER_KEYS, build, score
 from ..operators.ordinal import stratified_fold_assign
 from ..operators.profile import minority_class
 from ..session import cut_lineage
-from .preprocessing import PrepConfig, clean_and_engineer, feature_columns
+from .preprocessing import PrepConfig, feature_columns
 
 
 @dataclass

@@ -10,8 +10,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expressions import rnd
-from ..sources.fixtures import WIDE_MARRIED, customer_wide, scored, wide
+from ..functions.expressions import cut, numeric_columns, rnd, string_columns
+from ..functions.features import WORK_TYPE_EDGES, WORK_TYPE_LABELS
+from ..operators import clean as C
+from ..operators import cluster as K
+from ..operators import encode as EN
+from ..operators import evaluate as EV
+from ..operators import explain as X
+from ..operators import metrics as M
+from ..operators import ordinal as O
+from ..operators import profile as P
+from ..operators.models import DEFAULT_PARAMS
+from ..operators.outliers import dbscan_flags
+from ..sources.fixtures import WIDE_MARRIED, customer_wide, scored_models, wide
+from . import experiment as XP
 from . import sql as S
 from .preprocessing import PrepConfig, clean_and_engineer, flagship
 
@@ -46,12 +58,6 @@ def q_flagship(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- frames
-from ..functions.expressions import cut, hash_key, numeric_columns, string_columns  # noqa: E402
-from ..functions.features import WORK_TYPE_EDGES, WORK_TYPE_LABELS  # noqa: E402
-from ..operators import clean as C  # noqa: E402
-from ..operators import encode as EN  # noqa: E402
-from ..operators import ordinal as O  # noqa: E402
-from ..operators import profile as P  # noqa: E402
 
 PREP_SKIP = ("row_id", "label", "split")
 
@@ -318,9 +324,6 @@ def q_mutual_info(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- metrics
-from ..operators import evaluate as EV  # noqa: E402
-from ..operators import metrics as M  # noqa: E402
-from ..sources.fixtures import scored_models  # noqa: E402
 
 SM = "WITH " + S.WIDE + ",\n" + S.scored_models_sql()
 
@@ -476,7 +479,6 @@ def q_regression_metrics(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- O1
-from ..operators.outliers import dbscan_flags  # noqa: E402
 
 _CW_NUM = ("acctbal", "n_orders", "spend", "max_order")
 
@@ -504,10 +506,6 @@ def q_outlier_noise(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- model-based (rows-only: solver-dependent values)
-from ..operators import cluster as K  # noqa: E402
-from ..operators import explain as X  # noqa: E402
-from ..operators.models import DEFAULT_PARAMS  # noqa: E402
-from . import experiment as XP  # noqa: E402
 
 
 def feature_set(spark, sf_dir):
