@@ -12,10 +12,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import numeric_columns, string_columns
+from ..functions.expressions import nan_string, numeric_columns, string_columns
 from ..functions.features import MARRIED_VALUES, add_custom_features
-from ..operators.clean import smart_impute
-from ..operators.encode import encode_target
+from ..operators.clean import apply_imputer, replace_sentinel
 from ..operators.ordinal import split_assign
 from ..session import cut_lineage
 
@@ -47,9 +46,7 @@ def clean_and_engineer(df: DataFrame, cfg: PrepConfig) -> DataFrame:
     """
     if cfg.materialize:
         df = cut_lineage(df)
-    df, _classes = encode_target(df, cfg.target_col, "label")
-    df = df.drop(cfg.target_col)
-    df = smart_impute(df, exclude=(cfg.id_col, "label"))
+    df = fit_and_encode(df, cfg)
     if cfg.outliers:
         from ..operators.outliers import dbscan_filter
         df = dbscan_filter(df, numeric_columns(df, (cfg.id_col,)), cfg.outlier_eps,
@@ -64,6 +61,35 @@ def clean_and_engineer(df: DataFrame, cfg: PrepConfig) -> DataFrame:
     return split_assign(df, cfg.id_col, cfg.seed)
 
 
+MAX_CLASSES = 10_000
+
+
+def fit_and_encode(df: DataFrame, cfg: PrepConfig) -> DataFrame:
+    """E1 + F1 + A1 + A2 fitted in one aggregate pass: the sorted target
+    classes (from the raw target, as the reference encodes it before
+    cleaning) and the median/mode fill values. The label is then a literal
+    map lookup and the fills are literals: no join, one pass.
+
+    The class set is gathered with ``collect_set``: the target is a class
+    label, and its size is checked.
+    """
+    t = cfg.target_col
+    cats = string_columns(df, (cfg.id_col, t))
+    nums = numeric_columns(df, (cfg.id_col, t))
+    clean = replace_sentinel(df, columns=cats)
+    aggs = ([F.median(F.col(c).cast("double")).alias(c) for c in nums]
+            + [F.mode(F.col(c), True).alias(c) for c in cats]
+            + [F.collect_set(nan_string(t)).alias("__classes")])
+    row = clean.agg(*aggs).first()
+    classes = sorted(row["__classes"])
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"{len(classes)} target classes, above {MAX_CLASSES}")
+    codes = F.create_map(*[x for i, v in enumerate(classes) for x in (F.lit(v), F.lit(i))])
+    out = df.withColumn("label", codes[nan_string(t)].cast("int")).drop(t)
+    fills = {"numeric": {c: row[c] for c in nums}, "categorical": {c: row[c] for c in cats}}
+    return apply_imputer(out, fills)
+
+
 def feature_columns(df: DataFrame, cfg: PrepConfig) -> tuple[list[str], list[str]]:
     skip = (cfg.id_col, "label", "split", "fold", "is_val")
     return numeric_columns(df, skip), string_columns(df, skip)
