@@ -126,3 +126,14 @@ def test_dbscan_equals_brute_force(spark, eps, min_samples):
     got = dbscan_flags(cw, cols, eps, min_samples).toPandas().sort_values("row_id")
     assert (got["is_core"].to_numpy() == core).all()
     assert (got["is_noise"].to_numpy() == noise).all()
+
+
+def test_adaboost_multiclass(spark):
+    rows = [(i, float(i % 3), [float(i % 3) + (i % 5) * 0.1, float(i % 7)]) for i in range(300)]
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("label", T.DoubleType()),
+                           T.StructField("features_tree", VectorUDT())])
+    df = spark.createDataFrame([(r[0], r[1], Vectors.dense(r[2])) for r in rows], schema)
+    m = AdaBoost(n_estimators=4).fit(df)
+    assert len(m.alphas) >= 1 and all(a > 0 for a in m.alphas)
