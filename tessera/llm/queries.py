@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, secrets, warc
+from tessera.llm import decontaminate, line_dedup, quality, secrets, warc
 
 QUERIES = {
+    "op2_quality_rules": quality.query,
+    "op3_line_dedup": line_dedup.query,
     "op7_warc": warc.query,
     "op9_secret_scan": secrets.query,
     "op10_decontamination": decontaminate.query,
 }
 
 ORACLE = {
+    "op2_quality_rules": quality.ORACLE,
+    "op3_line_dedup": line_dedup.ORACLE,
     "op7_warc": warc.ORACLE,
     "op10_decontamination": decontaminate.ORACLE,
 }
