@@ -33,7 +33,8 @@ WINDOW = 10
 #: Pattern text in one automaton and one broadcast; its trie takes roughly fifty times that in a worker.
 BLOCK_BYTES = 4 << 20
 
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: A word in the original text, upper case included.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Word bytes to lower case, every other ASCII byte to a space; bytes of longer UTF-8 sequences stay.
 _FOLD = bytes(b if b >= 128 or 48 <= b < 58 or 97 <= b < 123 else b + 32 if 65 <= b < 91 else 32 for b in range(256))
 

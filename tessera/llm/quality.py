@@ -31,6 +31,8 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 #: Most words in repeated 3-word windows, in percent.
 MAX_REPEAT_PERCENT = 50
+#: Fewer repeated lines than this reject no document, however short.
+MIN_DUP_LINES = 3
 SAMPLE_ROWS = 2000
 
 
@@ -86,7 +88,8 @@ def rules(text: Column) -> dict[str, Column]:
         "few_words": F.size(words(text)) < MIN_WORDS,
         "repeated_windows": _let(words(text), lambda w: 100 * n_repeat_words(w) > MAX_REPEAT_PERCENT * F.size(w)),
         "symbols": 10 * n_symbols(text) > word_chars(text),
-        "repeated_lines": _let(worded_lines(text), lambda x: 10 * (F.size(x) - F.size(F.array_distinct(x))) > 3 * F.size(x)),
+        "repeated_lines": _let(worded_lines(text), lambda x: _let(F.size(x) - F.size(F.array_distinct(x)), lambda d: (d >= MIN_DUP_LINES) & (10 * d > 3 * F.size(x)))),
+        "table_cells": _let(words(text), lambda w: 20 * F.size(F.filter(w, lambda x: x == "|")) > F.size(w)),
         "shouting": _let(F.struct(upper.alias("u"), letters.alias("l")), lambda x: 2 * x["u"] > x["l"]),
         "few_letters": 10 * letters < 6 * word_chars(text),
         "word_length": _let(F.struct(F.size(words(text)).alias("n"), word_chars(text).alias("c")),
@@ -141,6 +144,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "few_words": F.col("n_words") < MIN_WORDS,
         "repeated_windows": 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"),
         "symbols": 10 * F.col("n_symbols") > F.col("word_chars"),
+        "table_cells": 20 * F.size(F.filter("_words", lambda x: x == "|")) > F.col("n_words"),
         "word_length": (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 20 * F.col("n_words")),
     }
     failed = known["few_words"] | known["repeated_windows"]
@@ -158,10 +162,10 @@ c AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat FROM d, unnest(range(0, 3
 m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
              CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat, 0) AS BIGINT) AS n_repeat_words,
-             len(lines) AS n_lines, length(regexp_replace(text, '[^\p{L}]+', '', 'g')) AS letters, length(regexp_replace(text, '[^\p{Lu}]+', '', 'g')) AS upper
+             len(lines) AS n_lines, len(list_filter(ws, lambda x: x = '|')) AS n_cells, length(regexp_replace(text, '[^\p{L}]+', '', 'g')) AS letters, length(regexp_replace(text, '[^\p{Lu}]+', '', 'g')) AS upper
       FROM w LEFT JOIN c USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > word_chars OR 10 * n_dup_lines > 3 * n_lines
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > word_chars OR n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines OR 20 * n_cells > n_words
             OR 2 * upper > letters OR 10 * letters < 6 * word_chars OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
 FROM m
 """
