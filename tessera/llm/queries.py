@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, line_dedup, quality, secrets, warc
+from tessera.llm import decontaminate, line_dedup, mixing, quality, secrets, simhash, warc
 
 QUERIES = {
     "op2_quality_rules": quality.query,
     "op3_line_dedup": line_dedup.query,
+    "op5_source_mixing": mixing.query,
     "op7_warc": warc.query,
+    "op8_simhash": simhash.query,
     "op9_secret_scan": secrets.query,
     "op10_decontamination": decontaminate.query,
 }
