@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, ensure_checkpoint_dir
 
-__all__ = ["UPPER", "LOWER", "ascii_lower", "chunk_count", "chunk_of", "cut_lineage", "python_tasks", "table"]
+__all__ = ["UPPER", "LOWER", "ascii_lower", "chunk_count", "chunk_of", "cut_lineage", "python_tasks", "stored", "table"]
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -52,3 +53,11 @@ def chunk_count(df: DataFrame, text: str, chunk_bytes: int = CHUNK_BYTES) -> int
 def chunk_of(key: Column, n: int) -> Column:
     """Chunk of a document by the hash of its id, so a hot source spreads over all chunks."""
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The table written as Parquet to the shared folder and read back: it cuts the lineage like a checkpoint, and is
+    compressed and pruned by column."""
+    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, line_dedup, mixing, quality, secrets, simhash, warc
+from tessera.llm import decontaminate, line_dedup, mixing, ppm, quality, secrets, simhash, warc
 
 QUERIES = {
+    "op1_ppm_scoring": ppm.query,
     "op2_quality_rules": quality.query,
     "op3_line_dedup": line_dedup.query,
     "op5_source_mixing": mixing.query,
