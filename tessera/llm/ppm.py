@@ -2,9 +2,9 @@
 
 The model is a trie of byte contexts: for every context of up to ``order`` bytes, how
 often each byte (or the end of the text) followed it in the training documents. A byte
-is priced from its longest context down: seen there, its count over total plus distinct;
-not seen, the escape (distinct over total plus distinct) and the next shorter context,
-from which the bytes already ruled out are taken away. Below the empty context all bytes
+is priced from its longest context down: seen there, its count less a half over the
+total; not seen, the escape (half a count for each distinct byte over the total) and the
+next shorter context, from which the bytes already ruled out are taken away. Below the empty context all bytes
 left are equally likely, so the prices of a context add up to one.
 
 Only the longest contexts are counted in the corpus. A gram (context and next byte) is
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import chunk_count, chunk_of, cut_lineage, python_tasks, stored, table
 
-ORDER = 4
+ORDER = 5
 #: Bytes of text in one chunk: larger chunks ask for fewer prices in all.
 CHUNK_BYTES = 32 << 20
 #: Text bytes that a task turns into grams at once, and words it counts before it sends them on.
@@ -153,10 +153,10 @@ def price_grams(grams: np.ndarray, counts: np.ndarray, order: int, pairs: np.nda
         if k < order:  # a longer context that was never seen rules nothing out: its sums are 0
             t, q = t - ruled[k + 1], q - distinct[k + 1]
         hit = todo & (own[k] > 0)
-        price[hit] += np.log10(own[k][hit] / (t + q)[hit])
+        price[hit] += np.log10((own[k][hit] - 0.5) / t[hit])
         todo &= ~hit
         escape = todo & (q > 0)
-        price[escape] += np.log10((q / np.maximum(t + q, 1))[escape])
+        price[escape] += np.log10(q[escape] / 2 / t[escape])
     price[todo] -= np.log10(_SYMBOLS - 1 - distinct[0][todo])
     return price
 
@@ -183,7 +183,7 @@ def _asked(order: int):
     def ask(chunk: pd.DataFrame) -> pd.DataFrame:
         texts = [_folded(t) for t in chunk["_text"]]
         grams = [_encoded(grams_of(texts[part], order)[0])[0] for part in _slices(texts)]
-        grams = _encoded(np.concatenate(grams))[0]
+        grams = np.sort(_encoded(np.concatenate(grams))[0])  # neighbours share their high bytes, which shuffles small
         words: set[bytes] = {END_WORD}
         for t in texts:
             words.update(t.split())
