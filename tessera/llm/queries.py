@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, line_dedup, mixing, ppm, quality, secrets, simhash, warc
+from tessera.llm import decontaminate, line_dedup, mixing, ppm, quality, secrets, simhash, substrings, warc
 
 QUERIES = {
     "op1_ppm_scoring": ppm.query,
     "op2_quality_rules": quality.query,
     "op3_line_dedup": line_dedup.query,
     "op5_source_mixing": mixing.query,
+    "op6_substring_dedup": substrings.query,
     "op7_warc": warc.query,
     "op8_simhash": simhash.query,
     "op9_secret_scan": secrets.query,
