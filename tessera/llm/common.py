@@ -5,13 +5,19 @@ from __future__ import annotations
 import math
 import os
 import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage, ensure_checkpoint_dir
 
-__all__ = ["UPPER", "LOWER", "ascii_lower", "chunk_count", "chunk_of", "cut_lineage", "python_tasks", "stored", "table"]
+__all__ = ["UPPER", "LOWER", "ascii_lower", "chunk_count", "chunk_of", "cut_lineage", "key_filter", "passing", "python_tasks", "stored", "table"]
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -61,3 +67,43 @@ def stored(df: DataFrame) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+#: Bits of a key filter, and bits that one row of it holds: 16 MB go to every worker whatever the number of keys.
+FILTER_BITS, FILTER_ROW_BITS = 1 << 27, 1 << 19
+
+
+def _filter_bit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    x ^= x >> np.uint64(31)
+    return ((x * np.uint64(0x94D049BB133111EB)) >> np.uint64(64 - 27)).astype(np.int64)
+
+
+def key_filter(keys: DataFrame) -> Broadcast:
+    """A bitmap over the hashes of (integer, integer) keys. It passes all of them, and others with the share of bits set."""
+    a, b = keys.columns
+
+    def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            at = np.unique(_filter_bit(batch[a].fillna(0).to_numpy(np.int64), batch[b].fillna(0).to_numpy(np.int64)))
+            yield pd.DataFrame({"row": at // FILTER_ROW_BITS, "bit": at % FILTER_ROW_BITS})
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros(FILTER_ROW_BITS, bool)
+        out[rows["bit"].to_numpy(np.int64)] = True
+        return pd.DataFrame({"row": [rows["row"].iloc[0]], "bits": [np.packbits(out).tobytes()]})
+
+    spark, filled = keys.sparkSession, np.zeros(FILTER_BITS // 8, np.uint8)
+    width = FILTER_ROW_BITS // 8
+    for row, packed in keys.mapInPandas(bits, "row bigint, bit bigint").distinct().groupBy("row").applyInPandas(pack, "row bigint, bits binary").toLocalIterator():
+        filled[row * width:(row + 1) * width] = np.frombuffer(packed, np.uint8)
+    return spark.sparkContext.broadcast(filled)
+
+
+def passing(member: Broadcast, a: str, b: str, inside: bool):
+    """Batch function: the rows whose key (columns ``a``, ``b``) the filter passes, or the others."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _filter_bit(*(batch.column(c).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in (a, b)))
+            yield batch.filter(pa.array((member.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool) == inside))
+    return run

@@ -13,11 +13,14 @@ buckets at equal places, so a window can only repeat inside its bucket. Consecut
 windows with the same pick are one segment, about one for 75 bytes, and only segments
 whose bucket has another segment go on. (2) Within a bucket, segments are refined by the
 identifiers of their first and last windows; a segment found twice repeats as a whole.
-(3) Segments left alone in a bucket with others are refined window by window, the text
-supplying the identifiers of ``length`` bytes; of equal segments one stands for all.
+(3) Segments left alone in a bucket with others are refined by blocks of 32 windows, of 4,
+and by single windows, their own bytes supplying the identifiers; of equal segments one
+stands for all.
 
 Counts are pre-aggregated, so a passage in a third of all documents adds one row a task,
-and joins are on buckets with at most one row a side and key that is not a segment.
+and joins have one row a key on one side. Texts that no open segment or span names take no
+part in the two joins with texts: a bitmap of fixed size, filled with the hashes of
+wanted keys, holds them back (more keys let more texts through, never fewer).
 
 Defined results: a null or empty text has no bytes; matches never cross texts; overlapping
 repeats inside one text count; a text shorter than ``length`` keeps all; repeated rows
@@ -35,13 +38,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import python_tasks, stored, table
+from tessera.llm.common import key_filter, passing, python_tasks, stored, table
 
 LENGTH = 200
 #: Bytes of the buckets that windows pick from; 152 offsets on, the last one of a window starts.
 GRAM = 48
 #: Bytes of text refined at once: the tables of one slice stay in a CPU's cache.
 SLICE_BYTES = 1 << 18
+#: Windows refined together, down to single ones.
+BLOCKS = (32, 4, 1)
 
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -145,28 +150,90 @@ def _segment_rows(length: int, full: bool):
     return run
 
 
-def _window_rows(length: int):
-    """(bucket, ahead, window, id, mark, start, n): the windows of wanted segments."""
+def _ids(b48: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    return _window_ids(b48, at, n).view(np.int64)
+
+
+def _content_rows(length: int):
+    """(bucket, content, id, mark, place, n, data): wanted segments with their bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, marks = batch.column("_id"), batch.column("_mark")
             rows = []
-            for i, (text, wanted) in enumerate(zip(_bytes(batch, "_text"), batch.column("_wanted").to_pylist())):
-                b48 = _refined(np.frombuffer(text, np.uint8))
-                bucket, place, n = (np.array([w[k] for w in wanted], np.int64) for k in ("bucket", "place", "n"))
-                lo, count = place >> 16, (place & 255) + 1
-                each = np.repeat(np.arange(len(lo)), count)
-                at = np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count) + lo[each]
-                rows.append((bucket[each], (lo + (place >> 8 & 255))[each] - at, _window_ids(b48, at, length).view(np.int64), np.full(len(at), i), at, n[each]))
-            if not rows:
-                continue
-            bucket, ahead, window, row, at, n = (np.concatenate(x) for x in zip(*rows))
-            row = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(ahead), pa.array(window), ids.take(row), marks.take(row), pa.array(at), pa.array(n)],
-                                             names=["bucket", "ahead", "window", "id", "mark", "start", "n"])
+            for id_, mark, text, wanted in zip(batch.column("_id").to_pylist(), batch.column("_mark").to_pylist(), _bytes(batch, "_text"), batch.column("_wanted").to_pylist()):
+                for w in wanted:
+                    lo = w["place"] >> 16
+                    rows.append((w["bucket"], w["content"], id_, mark, w["place"], w["n"], text[lo:lo + (w["place"] & 255) + length]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 7, _CONTENT.types)], schema=_CONTENT)
     return run
 
 
+_CONTENT = pa.schema([("bucket", pa.int64()), ("content", pa.int64()), ("id", pa.int64()), ("mark", pa.int32()), ("place", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
+
+
+def _packed(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The picks' distances from the first and from the last windows."""
+    return place >> 8 & 255, (place >> 8 & 255) - (place & 255)
+
+
+def _block_rows(length: int, size: int, parent: int):
+    """(bucket, block, inner, outer, content, n): blocks of ``size`` windows by their distance to the pick, of whole segments or of some of
+    their ``parent``-sized blocks. ``inner`` names the bytes that all windows of a block share, ``outer`` (null for a block cut off by the
+    segment's ends) all their bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            far, near = _packed(batch.column("place").to_numpy())
+            for i, (data, p, least, chosen) in enumerate(zip(batch.column("data").to_pylist(), far.tolist(), near.tolist(), batch.column("blocks").to_pylist())):
+                b48 = _refined(np.frombuffer(data, np.uint8))
+                block = np.arange(least // size, p // size + 1)
+                if chosen is not None:
+                    block = block[np.isin(block * size // parent, chosen)]
+                inner = _window_ids(b48, p - size * block, length - size + 1).view(np.int64)
+                whole = (size * block >= least) & (size * block + size - 1 <= p)
+                outer = np.zeros(len(block), np.int64)
+                outer[whole] = _pair(*(_window_ids(b48, p - size * block[whole] - k, length) for k in (size - 1, 0))).view(np.int64)
+                out.append((np.full(len(block), i), block, inner, outer, ~whole))
+            if out:
+                row, block, inner, outer, partial = (np.concatenate(x) for x in zip(*out))
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays([batch.column("bucket").take(at), pa.array(block), pa.array(inner), pa.array(outer, mask=partial), batch.column("content").take(at), batch.column("n").take(at)],
+                                                 names=["bucket", "block", "inner", "outer", "content", "n"])
+    return run
+
+
+def _on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on equal keys; the right side's columns beside them stay. Null keys are equal."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = F.lit(True)
+    for k in keys:
+        on &= F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(r, on).drop(*[f"_r_{k}" for k in keys])
+
+
+def _refine_alone(contents: DataFrame, length: int) -> DataFrame:
+    """(id, mark, start, end): repeated windows of segments (n = 1) that are alone in a bucket, by ever smaller blocks.
+
+    A block whose inner bytes are not shared in its bucket holds no repeated window; one whose outer bytes are shared
+    holds nothing else; only blocks between the two are opened, with all blocks they share the inner bytes with. Blocks
+    of one window are one or the other."""
+    segment, block = ["bucket", "content"], ["bucket", "block", "inner"]
+    todo, found = contents.withColumn("blocks", F.lit(None).cast("array<bigint>")), None
+    for parent, size in zip((0, *BLOCKS), BLOCKS):
+        blocks = stored(todo.select("bucket", "content", "place", "n", "data", "blocks").mapInArrow(
+            _block_rows(length, size, parent), "bucket bigint, block bigint, inner bigint, outer bigint, content bigint, n bigint"))
+        by_outer = blocks.groupBy(*block, "outer").agg(F.sum("n").alias("m"))
+        settled = F.col("outer").isNotNull() & (F.col("m") > 1)
+        whole = _on(blocks.filter("n = 1 AND outer IS NOT NULL"), by_outer.filter(settled).select(*block, "outer"), [*block, "outer"]).groupBy(*segment).agg(F.collect_list("block").alias("blocks"))
+        spans = _on(contents.drop("data"), whole, segment).select(
+            "id", "mark", F.explode("blocks").alias("block"), (F.shiftright("place", 16) + F.shiftright("place", 8).bitwiseAND(255)).alias("pick")).select(
+            "id", "mark", (F.col("pick") - size * F.col("block") - (size - 1)).alias("start"), (F.col("pick") - size * F.col("block") + length).alias("end"))
+        found = spans if found is None else found.union(spans)
+        if size > 1:
+            opened = by_outer.groupBy(*block).agg(F.sum("m").alias("all"), F.count(F.when(~settled, 1)).alias("unsettled")).filter("all > 1 AND unsettled > 0").select(*block)
+            todo = _on(contents, _on(blocks, opened, block).groupBy(*segment).agg(F.collect_list("block").alias("blocks")), segment)
+    return found
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(id, mark, spans): per text of (_id, _mark, _text, ...), offsets (start, end) covered by repeated strings, not merged."""
     short = docs.select("_id", "_mark", "_text").filter(F.octet_length("_text") >= length)
@@ -174,22 +241,20 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     shared = short.select("_text").mapInArrow(_segment_rows(length, False), "bucket bigint").groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     active = stored(short.mapInArrow(_segment_rows(length, True), kind).join(shared, "bucket"))
 
-    alike = active.groupBy("bucket", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "mark", "place")).alias("one"))
-    whole = alike.filter("n > 1").select(F.col("bucket").alias("_b"), F.col("content").alias("_c"))
-    covered = active.join(whole, (F.col("bucket") == F.col("_b")) & (F.col("content") == F.col("_c"))).select(
+    segment = ["bucket", "content"]
+    alike = stored(active.groupBy(*segment).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "mark", "place")).alias("one")))
+    covered = _on(active, alike.filter("n > 1").select(*segment), segment).select(
         "id", "mark", F.shiftright("place", 16).alias("start"), (F.shiftright("place", 16) + F.col("place").bitwiseAND(255) + length).alias("end"))
 
     # buckets where a segment is alone among others
-    open_buckets = alike.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1").select(F.col("bucket").alias("_b"))
-    wanted = (alike.join(open_buckets, F.col("bucket") == F.col("_b")).groupBy(F.col("one.id").alias("_i"), F.col("one.mark").alias("_m"))
-              .agg(F.collect_list(F.struct("bucket", F.col("one.place").alias("place"), "n")).alias("_wanted")))
-    windows = stored(docs.join(wanted, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m"))).drop("_i", "_m")
-                     .mapInArrow(_window_rows(length), "bucket bigint, ahead bigint, window bigint, id bigint, mark int, start bigint, n bigint"))
-    twice = windows.groupBy("bucket", "ahead", "window").agg(F.sum("n").alias("n")).filter("n > 1").select(
-        F.col("bucket").alias("_b"), F.col("ahead").alias("_a"), F.col("window").alias("_w"))
-    found = windows.filter("n = 1").join(twice, (F.col("bucket") == F.col("_b")) & (F.col("ahead") == F.col("_a")) & (F.col("window") == F.col("_w"))).select(
-        "id", "mark", "start", (F.col("start") + length).alias("end"))
-    return covered.union(found).groupBy("id", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    opened = alike.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1").select("bucket")
+    wanted = stored(alike.join(opened, "bucket").groupBy(F.col("one.id").alias("_i"), F.col("one.mark").alias("_m"))
+                    .agg(F.collect_list(F.struct("bucket", "content", F.col("one.place").alias("place"), "n")).alias("_wanted")))
+    member = key_filter(wanted.select("_i", "_m"))
+    texts = short.mapInArrow(passing(member, "_id", "_mark", True), short.schema)
+    contents = stored(texts.join(wanted, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m")))
+                      .select("_id", "_mark", "_text", "_wanted").mapInArrow(_content_rows(length), "bucket bigint, content bigint, id bigint, mark int, place bigint, n bigint, data binary"))
+    return covered.union(_refine_alone(contents, length)).groupBy("id", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -230,9 +295,13 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", col
     python_tasks(docs.sparkSession)
     columns = docs.columns if columns is None else columns
     rows = docs.select(F.struct(*columns).alias("_row"), F.col(key).cast("bigint").alias("_id"), F.hash(F.lit(1), F.col(text)).alias("_mark"), F.col(text).alias("_text"))
-    spans = repeated_spans(rows, length)
+    spans = stored(repeated_spans(rows, length))
+    member = key_filter(spans.select("id", "mark"))
+    with_spans = rows.mapInArrow(passing(member, "_id", "_mark", True), rows.schema).join(
+        spans, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_mark") == F.col("mark")), "left").select("_row", "_text", "spans")
+    others = rows.mapInArrow(passing(member, "_id", "_mark", False), rows.schema).select("_row", "_text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
     row = docs.select(*columns).schema.simpleString()[len("struct<"):-1]
-    return rows.join(spans, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_mark") == F.col("mark")), "left").select("_row", "_text", "spans").mapInArrow(
+    return with_spans.union(others).mapInArrow(
         _cut, f"_row struct<{row}>, _bytes bigint, _removed bigint, _spans array<struct<start: bigint, end: bigint>>, _kept binary, _sha256 string")
 
 
