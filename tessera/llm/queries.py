@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, line_dedup, mixing, ppm, quality, secrets, simhash, substrings, warc
+from tessera.llm import decontaminate, html_text, line_dedup, mixing, ppm, quality, secrets, simhash, substrings, warc
 
 QUERIES = {
     "op1_ppm_scoring": ppm.query,
     "op2_quality_rules": quality.query,
     "op3_line_dedup": line_dedup.query,
+    "op4_html_extraction": html_text.query,
     "op5_source_mixing": mixing.query,
     "op6_substring_dedup": substrings.query,
     "op7_warc": warc.query,

@@ -167,7 +167,8 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, max_posting: int = M
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", columns: list[str] | None = None, shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per document: its columns in struct ``_row``, ``_print`` and ``_component`` (the smallest ``key`` reachable)."""
+    """One row per document: its columns in struct ``_row``, ``_print``, ``_group`` (one fingerprint of the group, the same for all of it)
+    and ``_component`` (the smallest ``key`` reachable)."""
     columns = docs.columns if columns is None else columns
     marked = cut_lineage(fingerprints(docs.select(F.struct(*columns).alias("_row"), F.col(key).alias("_key"), F.col(text).alias("_text")),
                                       "_text", ["_row", "_key"], shingle)
@@ -176,8 +177,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", co
     reached = components(near_links(nodes.select("_print"), max_bits))
     grouped = nodes.join(reached, F.col("_print") == F.col("node"), "left").withColumn("_root", F.coalesce("component", "_print"))
     smallest = grouped.groupBy("_root").agg(F.min("_first").alias("_component"))
-    named = cut_lineage(grouped.select(F.col("_print").alias("_p"), "_root").join(smallest, "_root").select("_p", "_component"))
-    return marked.join(named, F.col("_print") == F.col("_p")).select("_row", "_print", "_component")
+    named = cut_lineage(grouped.select(F.col("_print").alias("_p"), "_root").join(smallest, "_root").select("_p", "_component", F.col("_root").alias("_group")))
+    return marked.join(named, F.col("_print") == F.col("_p")).select("_row", "_print", "_group", "_component")
 
 
 def hex_print(c: Column) -> Column:
