@@ -104,12 +104,13 @@ def _forest(prints: np.ndarray, max_bits: int, least: int) -> list[tuple[int, in
         root, left = left[0], left[1:]
         front = [root]
         while front and len(left):
-            x = left ^ front.pop()
+            here = front.pop()
+            x = left ^ here
             agreeing = (x.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
             near = agreeing >= least
             near[near] = np.bitwise_count(x[near]) <= max_bits
             if near.any():
-                out += [(int(root), int(v)) for v in left[near]]
+                out += [(int(here), int(v)) for v in left[near]]
                 front += list(left[near])
                 left = left[~near]
     return out
