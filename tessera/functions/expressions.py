@@ -31,8 +31,11 @@ def safe_div(num: Column, den: Column) -> Column:
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
 
 
-def hash_key(cols: Sequence[str] | str, seed: int = 42) -> Column:
-    """Deterministic 28-bit hash of the key columns and a seed.
+def hash_key(cols: Sequence[str] | str, seed: int = 42, purpose: str = "") -> Column:
+    """Deterministic 28-bit hash of the key columns, a seed and a purpose.
+
+    Uses that must not depend on each other (split, folds, samples) name
+    different purposes: their hashes are independent under one seed.
 
     Computed from the row's own values, so a recomputed partition (lost
     executor, AQE re-plan) gets the same value; uniform, so ranges of it
@@ -40,7 +43,7 @@ def hash_key(cols: Sequence[str] | str, seed: int = 42) -> Column:
     """
     if isinstance(cols, str):
         cols = [cols]
-    text = F.concat_ws("|", *[F.col(c).cast("string") for c in cols], F.lit(str(seed)))
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in cols], F.lit(f"{seed}|{purpose}" if purpose else str(seed)))
     return F.conv(F.substring(F.md5(text), 1, HASH_DIGITS), 16, 10).cast("long")
 
 

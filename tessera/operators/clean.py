@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import numeric_columns, string_columns
+from .ordinal import value_prefix_sums
 
 # Fixed value that must equal the reference's: the missing-value sentinel.
 SENTINEL = "?"
@@ -23,39 +24,47 @@ def replace_sentinel(df: DataFrame, sentinel: str = SENTINEL,
                            .otherwise(F.col(c)) for c in cols})
 
 
-def impute_statistics(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                      approx_median: bool = False) -> DataFrame:
-    """One-row table of fill values: median per numeric, mode per string column.
+def impute_statistics(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """Fill values as ``(column, number, text)``: exact median per numeric column, mode per string column.
 
-    A single aggregate pass. ``median`` is exact (interpolated, as numpy); it
-    buffers values per task, so ``approx_median=True`` switches to
-    ``percentile_approx`` for very high-cardinality columns at scale.
-    ``mode(c, True)`` breaks ties to the smallest value, like the reference.
-    """
-    aggs = []
-    for c in numeric:
-        m = (F.percentile_approx(F.col(c).cast("double"), 0.5, 10000) if approx_median
-             else F.median(F.col(c).cast("double")))
-        aggs.append(m.alias(c))
-    for c in categorical:
-        aggs.append(F.mode(F.col(c), True).alias(c))
-    return df.agg(*aggs)
-
-
-def fit_imputer(df: DataFrame, exclude: Sequence[str] = ("row_id",), sentinel: str = SENTINEL,
-                approx_median: bool = False) -> dict:
-    """Fit A1/A2: one aggregate pass, one row of fill values back to the driver.
-
-    The result is model state bounded by the schema width (one value per
-    column), like a fitted ``Imputer``'s surrogates.
+    Columns are unpivoted and counted per distinct value (partial sums), so a
+    hot value is one row. The median is the mean of the values at the two
+    middle positions, found by distributed prefix sums; the mode is the most
+    frequent value, ties to the smallest, by one pre-aggregated minimum. No
+    task holds a column's values.
     """
+    out = None
+    if numeric:
+        long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+                                             for c in numeric])).alias("kv")).select("kv.*").filter("value IS NOT NULL")
+        counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        totals = counts.groupBy("column").agg(F.sum("n").alias("__total"))
+        placed = value_prefix_sums(counts, ["column"], "value", ["n"]).join(totals, "column")
+        holds = lambda k: (F.col("before_n") < k) & (F.col("cum_n") >= k)
+        low, high = F.floor((F.col("__total") + 1) / 2), F.floor(F.col("__total") / 2) + 1
+        out = (placed.groupBy("column").agg(F.max(F.when(holds(low), F.col("value"))).alias("a"), F.max(F.when(holds(high), F.col("value"))).alias("b"))
+               .select("column", (0.5 * F.col("a") + 0.5 * F.col("b")).alias("number"), F.lit(None).cast("string").alias("text")))
+    if categorical:
+        long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                                             for c in categorical])).alias("kv")).select("kv.*").filter("value IS NOT NULL")
+        counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        modes = (counts.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("m"))
+                 .select("column", F.lit(None).cast("double").alias("number"), F.col("m.value").alias("text")))
+        out = modes if out is None else out.unionByName(modes)
+    return out
+
+
+def fill_values(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> dict:
+    """Fill values on the driver, one per column: model state bounded by the schema width. A column without values gives None."""
+    rows = {r["column"]: r for r in impute_statistics(df, numeric, categorical).collect()} if numeric or categorical else {}
+    return {"numeric": {c: rows[c]["number"] if c in rows else None for c in numeric},
+            "categorical": {c: rows[c]["text"] if c in rows else None for c in categorical}}
+
+
+def fit_imputer(df: DataFrame, exclude: Sequence[str] = ("row_id",), sentinel: str = SENTINEL) -> dict:
+    """Fit A1/A2 on all rows."""
     df = replace_sentinel(df, sentinel)
-    num = numeric_columns(df, exclude)
-    cat = string_columns(df, exclude)
-    if not (num or cat):
-        return {"numeric": {}, "categorical": {}}
-    row = impute_statistics(df, num, cat, approx_median).first()
-    return {"numeric": {c: row[c] for c in num}, "categorical": {c: row[c] for c in cat}}
+    return fill_values(df, numeric_columns(df, exclude), string_columns(df, exclude))
 
 
 def apply_imputer(df: DataFrame, fills: dict, sentinel: str = SENTINEL) -> DataFrame:
@@ -68,13 +77,13 @@ def apply_imputer(df: DataFrame, fills: dict, sentinel: str = SENTINEL) -> DataF
 
 
 def smart_impute(df: DataFrame, exclude: Sequence[str] = ("row_id",), sentinel: str = SENTINEL,
-                 approx_median: bool = False, fit_df: DataFrame | None = None) -> DataFrame:
+                 fit_df: DataFrame | None = None) -> DataFrame:
     """F1 + A1 + A2: sentinel to NULL, then median / mode fill.
 
     Numeric columns come out as double (as after ``SimpleImputer``). Fill values
     come from ``fit_df`` (default: the frame itself, as the reference does).
     """
-    fills = fit_imputer(fit_df if fit_df is not None else df, exclude, sentinel, approx_median)
+    fills = fit_imputer(fit_df if fit_df is not None else df, exclude, sentinel)
     return apply_imputer(df, fills, sentinel)
 
 

@@ -83,7 +83,9 @@ def score_table(df: DataFrame, group_cols: Sequence[str] = (), label_col: str =
     """Per group and distinct score: positives, negatives, and the running
     totals in descending score order (a hot score is one row)."""
     g = list(group_cols)
-    t = (df.groupBy(*g, F.col(score_col).alias("score"))
+    # a row without a score has no rank: an error, not the top of the order
+    known = F.coalesce(F.col(score_col).cast("double"), F.raise_error(F.lit(f"NULL in score column {score_col}")).cast("double"))
+    t = (df.groupBy(*g, known.alias("score"))
            .agg(F.sum((F.col(label_col) == positive).cast("long")).alias("pos"),
                 F.sum((F.col(label_col) != positive).cast("long")).alias("neg")))
     return value_prefix_sums(t, g, "score", ["pos", "neg"], descending=True)

@@ -11,7 +11,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
+from pyspark import SparkContext
+from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassificationModel, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
@@ -50,8 +51,8 @@ DEFAULT_PARAMS = {
     "catboost": {"iterations": 200, "learning_rate": 0.05, "depth": 6},
 }
 
-# Fixed value: the reference's L-BFGS stopping tolerance for logistic models.
-LBFGS_TOL = 1e-4
+# Relative loss change at which L-BFGS stops: tight enough that the coefficients are the optimum's.
+LBFGS_TOL = 1e-8
 
 TREE_KEYS = ("decision_tree", "random_forest", "adaboost", "gradient_boosting", "xgboost", "lightgbm",
              "catboost")
@@ -82,7 +83,10 @@ BOOST_TUNING = dict(maxBins=32, maxMemoryInMB=1024)
 
 
 def _depth(v):
-    return MAX_DEPTH if v is None else min(int(v), MAX_DEPTH)
+    """None stands for "unlimited" and gives Spark's deepest tree; a deeper explicit value is an error."""
+    if v is not None and int(v) > MAX_DEPTH:
+        raise ValueError(f"max_depth {v}: Spark's trees end at {MAX_DEPTH}")
+    return MAX_DEPTH if v is None else int(v)
 
 
 def _leaf(v):
@@ -131,43 +135,41 @@ def build_adaboost(task="classification", name="adaboost", **p):
                     learning_rate=float(p.get("learning_rate", 1.0)), featuresCol=TREE_FEATURES, name=name)
 
 
-def _gbt(task, name, iters, rate, depth, subsample=1.0, min_leaf=1, feature_subset="all", val_col=None):
+def _gbt(task, name, iters, rate, depth, subsample=1.0, min_leaf=1, feature_subset="all"):
     kw = dict(featuresCol=TREE_FEATURES, labelCol="label", maxIter=int(iters), stepSize=float(rate),
               maxDepth=_depth(depth), subsamplingRate=float(subsample), minInstancesPerNode=_leaf(min_leaf),
               featureSubsetStrategy=feature_subset, seed=SEED, **BOOST_TUNING)
-    if val_col:
-        kw["validationIndicatorCol"] = val_col
     est = GBTClassifier(**kw) if task == "classification" else GBTRegressor(**kw)
     return _out(est, name)
 
 
-def build_gradient_boosting(task="classification", name="gradient_boosting", val_col=None, **p):
+def build_gradient_boosting(task="classification", name="gradient_boosting", **p):
     """M5. ``min_samples_split`` has no Spark twin: ceil(v / 2) rows per leaf."""
     return _gbt(task, name, p.get("n_estimators", 100), p.get("learning_rate", 0.1), p.get("max_depth", 3),
-                p.get("subsample", 1.0), math.ceil(p.get("min_samples_split", 2) / 2), val_col=val_col)
+                p.get("subsample", 1.0), math.ceil(p.get("min_samples_split", 2) / 2))
 
 
 def _fraction(v):
     return "all" if v is None or float(v) >= 1.0 else str(float(v))
 
 
-def build_xgboost(task="classification", name="xgboost", val_col=None, **p):
+def build_xgboost(task="classification", name="xgboost", **p):
     """M6 preset: depth-wise boosting; column sampling per node, not per tree."""
     return _gbt(task, name, p.get("n_estimators", 100), p.get("learning_rate", 0.3), p.get("max_depth", 6),
-                p.get("subsample", 1.0), 1, _fraction(p.get("colsample_bytree")), val_col)
+                p.get("subsample", 1.0), 1, _fraction(p.get("colsample_bytree")))
 
 
-def build_lightgbm(task="classification", name="lightgbm", val_col=None, **p):
+def build_lightgbm(task="classification", name="lightgbm", **p):
     """M6 preset: ``num_leaves`` mapped to depth ceil(log2(leaves))."""
     depth = math.ceil(math.log2(p.get("num_leaves", 31)))
     return _gbt(task, name, p.get("n_estimators", 100), p.get("learning_rate", 0.1), depth, 1.0, 1,
-                _fraction(p.get("feature_fraction")), val_col)
+                _fraction(p.get("feature_fraction")))
 
 
-def build_catboost(task="classification", name="catboost", val_col=None, **p):
+def build_catboost(task="classification", name="catboost", **p):
     """M6 preset: symmetric depth; ``l2_leaf_reg`` has no Spark twin (dropped)."""
     return _gbt(task, name, p.get("iterations", 100), p.get("learning_rate", 0.03), p.get("depth", 6),
-                1.0, 1, "all", val_col)
+                1.0, 1, "all")
 
 
 BUILDERS: dict[str, Callable] = {
@@ -183,15 +185,53 @@ BUILDERS: dict[str, Callable] = {
 
 
 def build(key: str, task: str = "classification", n_rows: int | None = None, name: str | None = None,
-          val_col: str | None = None, **params):
+          **params):
     name = name or key
     if key == "logistic_regression":
         return build_logistic_regression(task, n_rows=n_rows, name=name, **params)
-    if key in BOOSTER_KEYS:
-        return BUILDERS[key](task, name=name, val_col=val_col, **params)
     return BUILDERS[key](task, name=name, **params)
 
 
+# The families whose training stops early, and after how many rounds without gain.
+PATIENCE_KEYS = ("lightgbm", "catboost")
+PATIENCE = 50
+
+
+def rounds_to_keep(losses, patience: int = PATIENCE) -> int:
+    """Rounds up to the best one seen before ``patience`` rounds passed without a smaller loss."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_rounds(model, n: int):
+    """The boosted model of the first ``n`` trees: what training would have held after ``n`` rounds."""
+    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+    trees, weights = gateway.new_array(ml.regression.DecisionTreeRegressionModel, n), gateway.new_array(gateway.jvm.double, n)
+    for i, (tree, weight) in enumerate(zip(java.trees(), model.treeWeights[:n])):
+        trees[i], weights[i] = tree, float(weight)
+    if isinstance(model, GBTClassificationModel):
+        cut = ml.classification.GBTClassificationModel(java.uid(), trees, weights, java.numFeatures(), java.numClasses())
+    else:
+        cut = ml.regression.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures())
+    return type(model)(java.copyValues(cut, ml.param.ParamMap.empty()))
+
+
+def fit_booster(key: str, params: dict, train: DataFrame, val: DataFrame | None, task: str = "classification", name: str | None = None):
+    """M7: all rounds asked for; the families in ``PATIENCE_KEYS`` then keep the rounds that patience on the
+    validation loss would have trained to, up to the best."""
+    model = build(key, task, name=name or key, **params).fit(train)
+    if key not in PATIENCE_KEYS or val is None or not val.head(1):
+        return model
+    losses = list(model.evaluateEachIteration(val) if task == "classification" else model.evaluateEachIteration(val, "squared"))
+    return first_rounds(model, rounds_to_keep(losses))
+
+
 def score(model, df: DataFrame, name: str, task: str = "classification") -> DataFrame:
     """M8: prediction plus positive-class probability (or margin) as ``score``."""
     out = model.transform(df)

@@ -53,7 +53,7 @@ def split_assign(df: DataFrame, id_col: str = "row_id", seed: int = 42,
 
 def hash_ordinal(df: DataFrame, id_col: str = "row_id", seed: int = 42,
                  partition_cols: Sequence[str] = (), n_buckets: int | None = None,
-                 out_col: str = "ordinal") -> DataFrame:
+                 out_col: str = "ordinal", purpose: str = "") -> DataFrame:
     """1-based position of each row in (hash, id) order, per ``partition_cols``.
 
     Rows are counted per fine bucket (2^14 equal ranges of the uniform hash,
@@ -65,18 +65,22 @@ def hash_ordinal(df: DataFrame, id_col: str = "row_id", seed: int = 42,
     """
     part = list(partition_cols)
     fine = n_buckets or HASH_BUCKETS
-    h = hash_key(id_col, seed)
+    h = hash_key(id_col, seed, purpose)
     x = df.withColumns({"__h": h, "__f": (h * fine / HASH_SPACE).cast("int")})
     counts = x.groupBy(*part, "__f").agg(F.count(F.lit(1)).alias("__n"))
     w_off = Window.partitionBy(*part).orderBy("__f").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (counts.withColumn("__off", F.coalesce(F.sum("__n").over(w_off), F.lit(0)))
                      .withColumn("__b", F.floor(F.col("__off") / ROWS_PER_BUCKET).cast("int")))
     # offset of a coarse run = offset of its first fine bucket
-    starts = offsets.groupBy(*part, "__b").agg(F.min("__off").alias("__start"))
-    offsets = offsets.join(starts, [*part, "__b"]).select(*part, "__f", "__b", "__start")
+    offsets = offsets.withColumn("__start", F.min("__off").over(Window.partitionBy(*part, "__b")))
     w_in = Window.partitionBy(*part, "__b").orderBy("__h", id_col)
-    # the offsets table is bounded by groups x 2^14 rows
-    ranked = x.join(F.broadcast(offsets), on=[*part, "__f"], how="inner")
+    # null-safe, so a row with a NULL group keeps its place in the NULL group
+    keys = [*part, "__f"]
+    o = offsets.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)], "__b", "__start")
+    on = F.lit(True)
+    for i, c in enumerate(keys):
+        on &= F.col(c).eqNullSafe(F.col(f"__k{i}"))
+    ranked = x.join(o, on).drop(*[f"__k{i}" for i in range(len(keys))])
     return (ranked.withColumn(out_col, F.col("__start") + F.row_number().over(w_in))
                   .drop("__h", "__f", "__b", "__start"))
 
@@ -98,7 +102,7 @@ def split_exact(df: DataFrame, id_col: str = "row_id", seed: int = 42, train_siz
 def fold_assign(df: DataFrame, k: int = 5, id_col: str = "row_id", seed: int = 42,
                 out_col: str = "fold") -> DataFrame:
     """Shuffled k-fold ids, ``pmod(hash, k)``; a per-row projection."""
-    return df.withColumn(out_col, F.pmod(hash_key(id_col, seed), F.lit(k)).cast("int"))
+    return df.withColumn(out_col, F.pmod(hash_key(id_col, seed, "fold"), F.lit(k)).cast("int"))
 
 
 def stratified_fold_assign(df: DataFrame, label_col: str = "label", k: int = 5,
@@ -107,7 +111,7 @@ def stratified_fold_assign(df: DataFrame, label_col: str = "label", k: int = 5,
     """Folds balanced per class: ordinal within the class in hash order,
     taken modulo k, so every fold's class count differs by at most one.
     ``group_cols`` keeps independent copies (e.g. one per model) apart."""
-    x = hash_ordinal(df, id_col, seed, [*group_cols, label_col], n_buckets, "__ord")
+    x = hash_ordinal(df, id_col, seed, [*group_cols, label_col], n_buckets, "__ord", "fold")
     return x.withColumn(out_col, F.pmod(F.col("__ord") - 1, F.lit(k)).cast("int")).drop("__ord")
 
 
@@ -121,7 +125,7 @@ def sample_rows(df: DataFrame, n: int, id_col: str = "row_id", seed: int = 42) -
     the rows and only those survivors are sorted. A sampling operator: the
     limit is the feature.
     """
-    h = hash_key(id_col, seed)
+    h = hash_key(id_col, seed, "sample")
     x = df.withColumn("__h", h)
     # one pass: rows below each power-of-two fraction of the hash space
     cuts = [HASH_SPACE >> j for j in range(0, 28)]
@@ -164,13 +168,13 @@ def value_prefix_sums(df: DataFrame, part_cols: Sequence[str], value_col: str,
     else:
         probs = [i / n_buckets for i in range(1, n_buckets)]
         bounds = x.groupBy(*part).agg(F.percentile_approx("__k", probs, accuracy).alias("__bounds"))
-    x = x.join(F.broadcast(bounds), on=part, how="inner")
+    x = x.join(bounds, on=part, how="inner")
     x = x.withColumn("__b", F.size(F.filter("__bounds", lambda b: b < F.col("__k")))).drop("__bounds")
     tot = x.groupBy(*part, "__b").agg(*[F.sum(w).alias(f"__t_{w}") for w in weight_cols])
     w_off = Window.partitionBy(*part).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*part, "__b", *[F.coalesce(F.sum(f"__t_{w}").over(w_off), F.lit(0)).alias(f"__o_{w}")
                                      for w in weight_cols])
-    x = x.join(F.broadcast(tot), on=[*part, "__b"], how="inner")
+    x = x.join(tot, on=[*part, "__b"], how="inner")
     w_in = (Window.partitionBy(*part, "__b").orderBy("__k")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cols = {}

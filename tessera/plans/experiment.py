@@ -24,7 +24,7 @@ from ..operators import evaluate as EV
 from ..operators import metrics as M
 from ..operators.encode import (apply_standard_scaler, assemble, feature_pipeline, fit_standard_scaler,
                                 tree_codes)
-from ..operators.models import BOOSTER_KEYS, build, score
+from ..operators.models import BOOSTER_KEYS, build, fit_booster, score
 from ..operators.ordinal import stratified_fold_assign
 from ..operators.profile import minority_class
 from ..session import cut_lineage
@@ -73,14 +73,12 @@ def build_feature_set(prep: DataFrame, cfg: PrepConfig | None = None) -> Feature
 
 
 def train_model(key: str, params: dict, fs: FeatureSet, task: str = "classification", name: str | None = None):
-    """M7: boosters train on train rows with the val rows as evaluation set
-    (``validationIndicatorCol``); other families on train rows only."""
+    """M7: every family trains on the train rows; ``lightgbm`` and ``catboost`` keep the rounds that a
+    patience of 50 on the val rows allows, the other boosters all they were asked for."""
     name = name or key
-    if key in BOOSTER_KEYS:
-        data = fs.df.filter(F.col("split").isin("train", "val"))
-        n = fs.df.filter(F.col("split") == "train").count()
-        return build(key, task, n_rows=n, name=name, val_col="is_val", **params).fit(data)
     data = fs.df.filter(F.col("split") == "train")
+    if key in BOOSTER_KEYS:
+        return fit_booster(key, params, data, fs.df.filter(F.col("split") == "val"), task, name)
     return build(key, task, n_rows=data.count(), name=name, **params).fit(data)
 
 

@@ -7,16 +7,16 @@ split, then encoders fitted on the train split only.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import nan_string, numeric_columns, string_columns
 from ..functions.features import MARRIED_VALUES, add_custom_features
-from ..operators.clean import apply_imputer, replace_sentinel
+from ..operators.clean import apply_imputer, fill_values, replace_sentinel
 from ..operators.ordinal import split_assign
-from ..session import cut_lineage
+from ..session import stored
 
 
 @dataclass
@@ -33,19 +33,18 @@ class PrepConfig:
     exact_split: bool = False
     materialize: bool = True
     drop: tuple = ("fnlwgt", "native_country")
-    extra: dict = field(default_factory=dict)
 
 
 def clean_and_engineer(df: DataFrame, cfg: PrepConfig) -> DataFrame:
     """Encode target, impute, (outliers), (clusters), custom features, split.
 
-    With ``materialize`` the input is written once to the shared checkpoint
+    With ``materialize`` the input is written once as Parquet to the shared
     folder: the fits below (target classes, fill values, later encoders) each
-    read it, instead of re-running the joins that built it; it also bounds
+    read the columns they need, instead of re-running the joins that built it; it also bounds
     recomputation after a lost executor.
     """
     if cfg.materialize:
-        df = cut_lineage(df)
+        df = stored(df)
     df = fit_and_encode(df, cfg)
     if cfg.outliers:
         from ..operators.outliers import dbscan_filter
@@ -65,29 +64,23 @@ MAX_CLASSES = 10_000
 
 
 def fit_and_encode(df: DataFrame, cfg: PrepConfig) -> DataFrame:
-    """E1 + F1 + A1 + A2 fitted in one aggregate pass: the sorted target
-    classes (from the raw target, as the reference encodes it before
-    cleaning) and the median/mode fill values. The label is then a literal
-    map lookup and the fills are literals: no join, one pass.
+    """E1 + F1 + A1 + A2: the sorted target classes (from the raw target, as
+    the reference encodes it before cleaning) and the median/mode fill values.
+    The label is then a literal map lookup and the fills are literals: no join.
 
-    The class set is gathered with ``collect_set``: the target is a class
-    label, and its size is checked.
+    Classes come from a distributed distinct; the target is a class label, and
+    its number of values is checked before they reach the driver.
     """
     t = cfg.target_col
     cats = string_columns(df, (cfg.id_col, t))
     nums = numeric_columns(df, (cfg.id_col, t))
-    clean = replace_sentinel(df, columns=cats)
-    aggs = ([F.median(F.col(c).cast("double")).alias(c) for c in nums]
-            + [F.mode(F.col(c), True).alias(c) for c in cats]
-            + [F.collect_set(nan_string(t)).alias("__classes")])
-    row = clean.agg(*aggs).first()
-    classes = sorted(row["__classes"])
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{len(classes)} target classes, above {MAX_CLASSES}")
+    found = df.select(nan_string(t).alias("c")).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} target classes")
+    classes = sorted(r["c"] for r in found)
     codes = F.create_map(*[x for i, v in enumerate(classes) for x in (F.lit(v), F.lit(i))])
-    out = df.withColumn("label", codes[nan_string(t)].cast("int")).drop(t)
-    fills = {"numeric": {c: row[c] for c in nums}, "categorical": {c: row[c] for c in cats}}
-    return apply_imputer(out, fills)
+    fills = fill_values(replace_sentinel(df, columns=cats), nums, cats)
+    return apply_imputer(df.withColumn("label", codes[nan_string(t)].cast("int")).drop(t), fills)
 
 
 def feature_columns(df: DataFrame, cfg: PrepConfig) -> tuple[list[str], list[str]]:

@@ -198,13 +198,13 @@ def q_split_assign(spark, sf_dir):
     return O.split_assign(wide(spark, sf_dir).select("row_id"))
 
 
-@register("fold_assign", "WITH " + S.WIDE + f"\nSELECT row_id, CAST({S.hash_sql('row_id')} % 5 AS INTEGER) AS fold FROM wide")
+@register("fold_assign", "WITH " + S.WIDE + f"\nSELECT row_id, CAST({S.hash_sql('row_id', '42|fold')} % 5 AS INTEGER) AS fold FROM wide")
 def q_fold_assign(spark, sf_dir):
     return O.fold_assign(wide(spark, sf_dir).select("row_id"), k=5)
 
 
 @register("stratified_fold_assign", "WITH " + S.PREP + f"""
-SELECT row_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY {S.hash_sql('row_id')}, row_id) - 1) % 5 AS INTEGER) AS fold
+SELECT row_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY {S.hash_sql('row_id', '42|fold')}, row_id) - 1) % 5 AS INTEGER) AS fold
 FROM prep WHERE split = 'train'""")
 def q_stratified_fold_assign(spark, sf_dir):
     p = prepared(spark, sf_dir).filter(F.col("split") == "train").select("row_id", "label")
@@ -212,7 +212,7 @@ def q_stratified_fold_assign(spark, sf_dir):
 
 
 @register("sample_rows", "WITH " + S.WIDE + f"""
-SELECT row_id, income, native_country FROM wide ORDER BY {S.hash_sql('row_id')}, row_id LIMIT 1000""")
+SELECT row_id, income, native_country FROM wide ORDER BY {S.hash_sql('row_id', '42|sample')}, row_id LIMIT 1000""")
 def q_sample_rows(spark, sf_dir):
     return O.sample_rows(wide(spark, sf_dir).select("row_id", "income", "native_country"), 1000)
 
@@ -386,7 +386,7 @@ def _fold_metrics_sql():
     pos = "(SELECT label FROM tr GROUP BY label ORDER BY count(*), label LIMIT 1)"
     return (SM + f""",
 tr AS (SELECT * FROM sm WHERE split = 'train'),
-f AS (SELECT *, CAST((row_number() OVER (PARTITION BY model, label ORDER BY {S.hash_sql('row_id')}, row_id) - 1) % 5 AS INTEGER) AS fold FROM tr),
+f AS (SELECT *, CAST((row_number() OVER (PARTITION BY model, label ORDER BY {S.hash_sql('row_id', '42|fold')}, row_id) - 1) % 5 AS INTEGER) AS fold FROM tr),
 acc AS (SELECT model, fold, 'accuracy' AS metric, accuracy AS value FROM {S.cls_report_sql('f', ['model', 'fold'], None)} r),
 fb AS (SELECT model, fold, sum(CASE WHEN label = {pos} AND prediction = {pos} THEN 1 ELSE 0 END) AS tp,
               sum(CASE WHEN label <> {pos} AND prediction = {pos} THEN 1 ELSE 0 END) AS fp,
@@ -438,7 +438,7 @@ def _search_sql():
     vals = ", ".join(f"({i}, {t!r})" for i, t in enumerate(THRESHOLDS))
     return (SM + f""",
 tr AS (SELECT * FROM sm WHERE split = 'train'),
-f AS (SELECT *, CAST((row_number() OVER (PARTITION BY model, label ORDER BY {S.hash_sql('row_id')}, row_id) - 1) % 3 AS INTEGER) AS fold FROM tr),
+f AS (SELECT *, CAST((row_number() OVER (PARTITION BY model, label ORDER BY {S.hash_sql('row_id', '42|fold')}, row_id) - 1) % 3 AS INTEGER) AS fold FROM tr),
 c AS (SELECT * FROM (VALUES {vals}) v(candidate, threshold)),
 x AS (SELECT f.model, f.label, f.fold, c.candidate, CAST(c.threshold AS DOUBLE) AS threshold,
              CAST(f.score >= c.threshold AS INTEGER) AS prediction FROM f, c),
@@ -534,7 +534,7 @@ def q_pca_2d(spark, sf_dir):
     k = q_kmeans_clusters(spark, sf_dir)
     p = prepared(spark, sf_dir).join(k, "row_id")
     cols = numeric_columns(p, ("row_id", "cluster_feature", "split"))
-    return K.pca_2d(p, cols, "cluster_feature", sample_n=3000)
+    return K.pca_2d(p, cols, "cluster_feature")
 
 
 @register("logistic_regression")
@@ -563,6 +563,19 @@ def q_gradient_boosting(spark, sf_dir):
                                                                  "max_depth": 3})
 
 
+@register("booster_rounds", """
+SELECT * FROM (VALUES ('gradient_boosting', 100, 100, 'all rounds'), ('xgboost', 200, 200, 'all rounds'))
+AS t(family, asked, trained, stop_rule)""")
+def q_booster_rounds(spark, sf_dir):
+    """M5-M7: families without early stopping train every round asked for."""
+    fs = feature_set(spark, sf_dir)
+    rows = []
+    for key in ("gradient_boosting", "xgboost"):
+        params = {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3} if key == "gradient_boosting" else DEFAULT_PARAMS[key]
+        rows.append((key, params["n_estimators"], XP.train_model(key, params, fs).getNumTrees, "all rounds"))
+    return spark.createDataFrame(rows, "family string, asked int, trained int, stop_rule string")
+
+
 @register("booster_presets")
 def q_booster_presets(spark, sf_dir):
     fs = feature_set(spark, sf_dir)
@@ -652,6 +665,26 @@ def q_experiment_run(spark, sf_dir):
     return res["test_leaderboard"]
 
 
+@register("sample_by_split", "WITH " + S.WIDE + f"""
+SELECT split, count(*) AS n_rows FROM (
+  SELECT {S.split_sql('row_id')} AS split FROM wide ORDER BY {S.hash_sql('row_id', '42|sample')}, row_id LIMIT 1000) GROUP BY split""")
+def q_sample_by_split(spark, sf_dir):
+    """F9 against E5: a sample holds rows of every split, because the two hash with different purposes."""
+    s = O.sample_rows(wide(spark, sf_dir).select("row_id"), 1000)
+    return O.split_assign(s).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+_NULL_COLS = ("age", "education_num", "hours_per_week", "capital_gain", "capital_loss")
+
+
+@register("corr_matrix_nulls", "WITH " + S.WIDE + " " + " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, floor(corr({a}, {b}) * 1e6 + 0.5) / 1e6 AS corr FROM wide"
+    for a in _NULL_COLS for b in _NULL_COLS))
+def q_corr_matrix_nulls(spark, sf_dir):
+    """A8 on rows with missing values: each pair over the rows that hold both."""
+    return P.corr_matrix(wide(spark, sf_dir), list(_NULL_COLS))
+
+
 @register("outlier_filter")
 def q_outlier_filter(spark, sf_dir):
     """O1 + F4 in the pipeline's setting: every numeric column of the imputed

@@ -3,20 +3,20 @@ as plain SQL over the pre-registered source views."""
 
 from __future__ import annotations
 
-from ..functions.expressions import HASH_DIGITS
-from ..operators.ordinal import _thresholds
+# Written out, not imported from the code under test: 7 hex digits of the hash, cut at 60 % and 80 % of 16^7.
+HASH_DIGITS, TRAIN_BELOW, VAL_BELOW = 7, 161061273, 214748364
 
 
 def rnd_sql(expr: str, digits: int) -> str:
     return f"(floor(CAST({expr} AS DOUBLE) * 1e{digits} + 0.5) / 1e{digits})"
 
 
-def hash_sql(col: str, seed: int = 42) -> str:
+def hash_sql(col: str, seed: int | str = 42) -> str:
     return (f"CAST('0x' || substr(md5(CAST({col} AS VARCHAR) || '|{seed}'), 1, {HASH_DIGITS}) AS BIGINT)")
 
 
 def split_sql(col: str = "row_id", seed: int = 42) -> str:
-    a, b = _thresholds((0.6, 0.2, 0.2))
+    a, b = TRAIN_BELOW, VAL_BELOW
     h = hash_sql(col, seed)
     return f"CASE WHEN {h} < {a} THEN 'train' WHEN {h} < {b} THEN 'val' ELSE 'test' END"
 

@@ -37,7 +37,7 @@ def fit_preparation(batch: DataFrame, cfg: PrepConfig) -> FittedPreparation:
     values = sorted(r[0] for r in batch.select(nan_string(cfg.target_col)).distinct().collect())
     classes = {v: i for i, v in enumerate(values)}
     enc = batch.withColumn("label", F.create_map(*[x for k, v in classes.items() for x in (F.lit(k), F.lit(v))])
-                           [F.col(cfg.target_col)]).drop(cfg.target_col)
+                           [nan_string(cfg.target_col)]).drop(cfg.target_col)
     fills = fit_imputer(enc, exclude=(cfg.id_col, "label"))
     prep = clean_and_engineer(batch, PrepConfig(**{**cfg.__dict__, "materialize": False}))
     return FittedPreparation(cfg, classes, fills, build_feature_set(prep, cfg))
@@ -49,7 +49,7 @@ def prepare_rows(df: DataFrame, fitted: FittedPreparation) -> DataFrame:
     out = df
     if cfg.target_col in out.columns:
         out = out.withColumn("label", F.create_map(*[x for k, v in fitted.classes.items()
-                                                     for x in (F.lit(k), F.lit(v))])[F.col(cfg.target_col)])
+                                                     for x in (F.lit(k), F.lit(v))])[nan_string(cfg.target_col)])
         out = out.drop(cfg.target_col)
     out = apply_imputer(out, fitted.fills)
     out = add_custom_features(out, cfg.married_values, cfg.drop)
