@@ -18,7 +18,7 @@ Plan (all DataFrame operations):
 4. non-core points are checked the same way against core points
    (``left_semi``); the rest are noise.
 
-Only sparse points are expanded; the join is an equi-join on a cell key, so
+Only sparse points are expanded; the join is an equi-join on the cell's coordinates, so
 AQE can split a hot cell (skew join) or broadcast a side it measured small.
 """
 
@@ -30,12 +30,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import stored
 from .encode import fit_standard_scaler
 
 
 def _cells(df: DataFrame, zs: Sequence[str], side: float, name: str) -> DataFrame:
-    return df.withColumn(name, F.xxhash64(*[F.floor(F.col(z) / F.lit(side)) for z in zs]))
+    """The cell's integer coordinates as one array: equal arrays are equal cells, with no hash to collide."""
+    return df.withColumn(name, F.array(*[F.floor(F.col(z) / F.lit(side)) for z in zs]))
 
 
 def _reach(points: DataFrame, zs: Sequence[str], eps: float, key: str) -> DataFrame:
@@ -50,7 +51,7 @@ def _reach(points: DataFrame, zs: Sequence[str], eps: float, key: str) -> DataFr
                 .otherwise(F.lit(0.0)))
         x = (x.withColumn("__d2", F.col("__d2") + gap).filter(F.col("__d2") <= eps * eps)
               .withColumn(f"__k{i}", c + F.col(f"__o{i}")).drop(f"__o{i}"))
-    x = x.withColumn(key, F.xxhash64(*[F.col(f"__k{i}") for i in range(len(zs))]))
+    x = x.withColumn(key, F.array(*[F.col(f"__k{i}") for i in range(len(zs))]))
     return x.drop("__d2", *[f"__k{i}" for i in range(len(zs))])
 
 
@@ -68,9 +69,11 @@ def dbscan_flags(df: DataFrame, columns: Sequence[str], eps: float = 2.5, min_sa
     d = len(columns)
     stats = fit_standard_scaler(df, columns)
     zs = [f"__z{i}" for i in range(d)]
-    # read by every step below: written once to the shared checkpoint folder
-    scaled = cut_lineage(df.select(id_col, *[((F.col(c).cast("double") - F.lit(m)) / F.lit(s)).alias(z)
-                                             for (c, (m, s)), z in zip(stats.items(), zs)]))
+    # read by every step below: written once to the shared folder
+    # (a row without a coordinate has no neighbours to count: an error, not a dropped row)
+    known = {c: F.coalesce(F.col(c).cast("double"), F.raise_error(F.lit(f"NULL coordinate in {c}")).cast("double")) for c in columns}
+    scaled = stored(df.select(id_col, *[((known[c] - F.lit(m)) / F.lit(s)).alias(z)
+                                        for (c, (m, s)), z in zip(stats.items(), zs)]))
     # 1. weighted distinct points
     pts = scaled.groupBy(*zs).agg(F.count(F.lit(1)).alias("w"))
     # 2. fine cells: dense ones are all core
@@ -78,7 +81,7 @@ def dbscan_flags(df: DataFrame, columns: Sequence[str], eps: float = 2.5, min_sa
     pts = _cells(pts, zs, side, "fine")
     # cell totals by aggregation (partial sums, no whole cell in one task)
     cell_n = pts.groupBy("fine").agg(F.sum("w").alias("cell_n"))
-    pts = cut_lineage(_cells(pts.join(cell_n, "fine"), zs, eps, "coarse"))
+    pts = stored(_cells(pts.join(cell_n, "fine"), zs, eps, "coarse"))
     sparse = pts.filter(F.col("cell_n") < min_samples)
     # 3. neighbour counts of sparse points through the coarse grid
     q = _reach(sparse.select(*zs), zs, eps, "coarse")

@@ -685,13 +685,27 @@ def q_corr_matrix_nulls(spark, sf_dir):
     return P.corr_matrix(wide(spark, sf_dir), list(_NULL_COLS))
 
 
-@register("outlier_filter")
+def _outlier_filter_sql(eps=2.5, m=3):
+    """The same rule by plain self-join: rows with a core row within eps, over seven standardised columns."""
+    dims = ("label",) + S.WIDE_NUM
+    st = ", ".join(f"avg({c}) AS m{i}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS s{i}" for i, c in enumerate(dims))
+    z = ", ".join(f"(CAST({c} AS DOUBLE) - m{i}) / s{i} AS z{i}" for i, c in enumerate(dims))
+    d2 = " + ".join(f"(a.z{i} - b.z{i}) * (a.z{i} - b.z{i})" for i in range(len(dims)))
+    return ("WITH " + S.IMPUTED + f""",
+st AS (SELECT {st} FROM imputed),
+z AS (SELECT row_id, {z} FROM imputed, st),
+core AS (SELECT a.* FROM z a JOIN (SELECT a.row_id FROM z a JOIN z b ON {d2} <= {eps * eps!r} GROUP BY a.row_id HAVING count(*) >= {m}) c USING (row_id)),
+border AS (SELECT DISTINCT a.row_id FROM (SELECT * FROM z WHERE row_id NOT IN (SELECT row_id FROM core)) a JOIN core b ON {d2} <= {eps * eps!r})
+SELECT * FROM imputed WHERE row_id IN (SELECT row_id FROM core) OR row_id IN (SELECT row_id FROM border)""")
+
+
+@register("outlier_filter", _outlier_filter_sql())
 def q_outlier_filter(spark, sf_dir):
     """O1 + F4 in the pipeline's setting: every numeric column of the imputed
     `wide` table (target included, as in the reference), eps 2.5, min 3."""
     from ..operators.outliers import dbscan_filter
-    from ..session import cut_lineage
-    df, _ = EN.encode_target(cut_lineage(wide(spark, sf_dir)), "income", "label")
+    from ..session import stored
+    df, _ = EN.encode_target(stored(wide(spark, sf_dir)), "income", "label")
     imp = C.smart_impute(df.drop("income"), exclude=("row_id", "label"))
     return dbscan_filter(imp, numeric_columns(imp, ("row_id",)), eps=2.5, min_samples=3)
 
