@@ -133,11 +133,11 @@ def _probe(_, probes: pd.DataFrame, shards: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"_chunk": probes["_chunk"].to_numpy()[known], "_digest": probes["_digest"].to_numpy()[known], "_last": last[slots[known]]})
 
 
-def line_index(docs: DataFrame, text: str, key: str, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> tuple[DataFrame, int]:
-    """(shards, number of shards): the index of lines that at least ``min_docs`` documents hold."""
+def line_index(docs: DataFrame, text: str, key: str, least: int = 1, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> tuple[DataFrame, int]:
+    """(shards, number of shards, at least ``least``): the index of lines that at least ``min_docs`` documents hold."""
     shared = (docs.select(F.col(key).cast("bigint").alias("_id"), F.explode(line_digests(F.col(text), min_chars)).alias("_digest"))
               .groupBy("_digest").agg(F.count(F.lit(1)).alias("_docs"), F.max("_id").alias("_last")).filter(F.col("_docs") >= min_docs)).checkpoint()
-    shards = max(1, -(-shared.count() // SHARD_KEYS))
+    shards = max(least, -(-shared.count() // SHARD_KEYS))
     return shared.withColumn("_shard", chunk_of(F.col("_digest"), shards)).groupBy("_shard").applyInPandas(_build, _SHARD), shards
 
 
@@ -169,8 +169,9 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", column
     """One row per document: its columns in struct ``_row``, ``_lines``, ``_dropped`` and the ``_kept`` text."""
     python_tasks(docs.sparkSession)
     columns = docs.columns if columns is None else columns
-    index, shards = line_index(docs, text, key, min_chars, min_docs)
     chunks = chunk_count(docs, text)
+    # probes grow with the chunks even where the index stays small, so shards do too
+    index, shards = line_index(docs, text, key, chunks, min_chars, min_docs)
     chunk = chunk_of(F.col(key), chunks)
     probes = (docs.select(chunk.alias("_chunk"), F.explode(line_digests(F.col(text), min_chars)).alias("_digest")).distinct()
               .withColumn("_shard", chunk_of(F.col("_digest"), shards)))
