@@ -63,7 +63,7 @@ def save_model(model, path: str) -> str:
     from ..operators.ensemble import BlendingModel
     spark = SparkSession.getActiveSession()
     if isinstance(model, AdaBoostModel):
-        doc = {"kind": "adaboost", "trees": model.trees, "alphas": model.alphas, "task": model.task,
+        doc = {"kind": "adaboost", "trees": model.trees, "alphas": model.alphas, "task": model.task, "n_classes": model.n_classes,
                "featuresCol": model.featuresCol, "name": model.name,
                "importances": [list(map(float, i)) for i in model.importances]}
         spark.createDataFrame([(json.dumps(doc),)], "doc string").coalesce(1).write.mode("overwrite").text(path)
@@ -110,7 +110,7 @@ def load_model(path: str, kind: str | None = None):
     if kind == "adaboost":
         doc = json.loads(spark.read.text(path).first()[0])
         trees = [[tuple(n) for n in t] for t in doc["trees"]]
-        return AdaBoostModel(trees, doc["alphas"], doc["task"], doc["featuresCol"], doc["name"], doc["importances"])
+        return AdaBoostModel(trees, doc["alphas"], doc["task"], doc["featuresCol"], doc["name"], doc["importances"], doc.get("n_classes", 2))
     if kind == "ensemble":
         doc = json.loads(spark.read.text(f"{path}/manifest").first()[0])
         bases = {n: load_model(f"{path}/base_{n}", "adaboost" if doc["base_kinds"][n] == "adaboost" else None)

@@ -68,3 +68,33 @@ def test_fill_values(spark):
     df = spark.createDataFrame(rows, "n double, s string, empty string").withColumn("none", F.lit(None).cast("double"))
     assert fill_values(df, ["n", "none"], ["s", "empty"]) == {"numeric": {"n": 2.5, "none": None}, "categorical": {"s": "a", "empty": None}}
     assert fill_values(df.limit(0), ["n"], ["s"]) == {"numeric": {"n": None}, "categorical": {"s": None}}
+
+
+def test_csv_missing_values(spark, tmp_path):
+    from tessera.sources.tables import load_csv
+    (tmp_path / "a.csv").write_text("education.num,hours,name,gap,whole\n1,2.5,NA,,7\nNA,n/a,nan,None,8\n3,NaN,?,null,9\n")
+    df = load_csv(spark, str(tmp_path / "a.csv"))
+    assert df.dtypes == [("education_num", "double"), ("hours", "double"), ("name", "string"), ("gap", "string"), ("whole", "bigint")]
+    assert [tuple(r) for r in df.collect()] == [(1.0, 2.5, None, None, 7), (None, None, None, None, 8), (3.0, None, "?", None, 9)]
+    given = load_csv(spark, str(tmp_path / "a.csv"), "a double, b double, c string, d double, e int")
+    assert [t for _, t in given.dtypes] == ["double", "double", "string", "double", "int"] and given.filter("education_num IS NULL").count() == 1
+
+
+def test_adaboost_tells_three_classes_apart(spark):
+    from pyspark.ml.functions import array_to_vector
+    from tessera.operators.adaboost import AdaBoost
+    df = spark.range(300).select(F.col("id").alias("row_id"), F.floor(F.col("id") / 100).cast("int").alias("label"),
+                                 array_to_vector(F.array(F.col("id").cast("double"), (F.col("id") % 7).cast("double"))).alias("features_tree"))
+    model = AdaBoost(n_estimators=12).fit(df)
+    out = model.transform(df).select("label", F.col("pred_adaboost").cast("int").alias("p"), "prob_adaboost").collect()
+    assert model.n_classes == 3 and sum(r.label == r.p for r in out) > 285
+    assert all(len(r.prob_adaboost) == 3 and abs(sum(r.prob_adaboost) - 1) < 1e-9 for r in out)
+
+
+def test_search_by_task(spark):
+    from pyspark.ml.functions import array_to_vector
+    from tessera.operators.tuning import random_search
+    df = spark.range(200).select(F.col("id").alias("row_id"), (F.col("id") % 13 * 1.5).alias("label"),
+                                 array_to_vector(F.array((F.col("id") % 13).cast("double"))).alias("features_tree"))
+    found = random_search("decision_tree", df, {"max_depth": [1, 5], "min_samples_leaf": [1]}, task="regression", refit=False)
+    assert found.best_params["max_depth"] == 5
