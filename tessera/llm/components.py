@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut_lineage
+from tessera.llm.common import stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def components(edges: DataFrame) -> DataFrame:
     never outnumber the edges given. Rounds grow with the logarithm of the longest path. An empty table has
     no components.
     """
-    now = cut_lineage(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    now = stored(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = None
     while True:
         both = now.union(now.select("v", "u"))
@@ -24,7 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
         below = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "_u")
         joined = large.join(below, F.col("u") == F.col("_u"))
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
-        now = cut_lineage(small)
+        now = stored(small)
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
         if state == seen:
             break

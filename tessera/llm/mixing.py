@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut_lineage, table
+from tessera.llm.common import stored, table
 from tessera.llm.quality import words
 
 #: Weights of the sources in code point order, repeating; words to take, in parts of all words; copies of a document at most.
@@ -44,7 +44,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     spark = sized.sparkSession
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     ranked = sizes.orderBy(F.col("source").asc_nulls_last()).rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], float(weights[x[1] % len(weights)])))
-    sources = cut_lineage(spark.createDataFrame(ranked, "source string, source_size bigint, weight double"))
+    sources = stored(spark.createDataFrame(ranked, "source string, source_size bigint, weight double"))
     stop = most * F.col("source_size")
     total, level, last = sources.agg(F.sum("source_size")).head()[0] or 0, 0.0, None
     while True:
@@ -64,7 +64,7 @@ def _rate(x: Column, multiplier: Column, most: int) -> Column:
 def balance(cells: DataFrame, targets: DataFrame, most: int = MAX_COPIES, steps: int = NEWTON_STEPS, gap: float = GAP) -> DataFrame:
     """(source, multiplier, mean): Newton on the dual of all sources at once. ``cells`` holds sizes above 0."""
     mean = cells.groupBy("source").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean"), F.sum(F.col("n") * F.col("size")).alias("words"))
-    state = cut_lineage(mean.join(targets, mean["source"].eqNullSafe(targets["source"])).select(
+    state = stored(mean.join(targets, mean["source"].eqNullSafe(targets["source"])).select(
         mean["source"].alias("_s"), "mean", "words", "target", F.when(F.col("target") >= most * F.col("words") * (1 - 1e-12), F.lit(None)).otherwise(F.lit(0.0)).cast("double").alias("at"),
         F.lit(-1e3).alias("low"), F.lit(1e3).alias("high")))
     for _ in range(steps):
@@ -79,7 +79,7 @@ def balance(cells: DataFrame, targets: DataFrame, most: int = MAX_COPIES, steps:
         newton = F.col("at") - (F.col("got") - F.col("target")) / F.when(F.col("slope") > 0, F.col("slope"))
         done = F.abs(F.col("got") - F.col("target")) <= gap * F.col("target")
         step = F.when(done, F.col("at")).when((newton > low) & (newton < high), newton).otherwise((low + high) / 2)
-        state = cut_lineage(state.join(sums, F.col("_s").eqNullSafe(F.col("_t")), "left").select(
+        state = stored(state.join(sums, F.col("_s").eqNullSafe(F.col("_t")), "left").select(
             "_s", "mean", "words", "target", F.when(F.col("at").isNotNull(), step).alias("at"), low.alias("low"), high.alias("high"),
             F.coalesce(F.abs(F.col("got") - F.col("target")) / F.col("target"), F.lit(0.0)).alias("gap")))
         if (state.agg(F.max("gap")).head()[0] or 0.0) <= gap:
@@ -109,13 +109,13 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     columns = docs.columns if columns is None else columns
     sized = docs.select(F.xxhash64(key).alias("_hash"), F.col(key).alias("_key"), F.col(source).cast("string").alias("source"),
                         F.size(words(F.col(text))).cast("bigint").alias("size"))
-    by_size = cut_lineage(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
-    targets = cut_lineage(source_targets(by_size.select("source", (F.col("size") * F.col("n")).alias("size")), weights, share, most))
+    by_size = stored(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
+    targets = stored(source_targets(by_size.select("source", (F.col("size") * F.col("n")).alias("size")), weights, share, most))
     cells = by_size.filter("size > 0")
     dual = balance(cells, targets, most)
     rated = (cells.join(dual.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
              .select("source", "size", "n", _rate(F.col("size") / F.col("mean"), F.col("multiplier"), most).alias("rate")))
-    copies = cut_lineage(rated.groupBy("source").applyInPandas(_round_copies(most), "source string, size bigint, n bigint, copies bigint"))
+    copies = stored(rated.groupBy("source").applyInPandas(_round_copies(most), "source string, size bigint, n bigint, copies bigint"))
 
     # a cell's copies go to parts of it, then to the documents of a part
     parts = max(1, -(-docs.count() // RANKED_ROWS))
@@ -127,7 +127,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     extra = F.col("copies") % F.col("n")
     upto = lambda k: F.floor(k * extra / F.col("n"))
     t = targets.select(F.col("source").alias("_t"), "source_size", "target")
-    quota = cut_lineage(quota.join(t, F.col("source").eqNullSafe(F.col("_t"))).select(
+    quota = stored(quota.join(t, F.col("source").eqNullSafe(F.col("_t"))).select(
         F.col("source").alias("_s"), F.col("size").alias("_z"), F.col("part").alias("_p"), "source_size", "target",
         F.coalesce(F.floor(F.col("copies") / F.col("n")), F.lit(1)).alias("each"),
         F.coalesce(upto(F.col("before") + F.col("m")) - upto(F.col("before")), F.lit(0)).alias("more")))
