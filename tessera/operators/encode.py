@@ -15,20 +15,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import nan_string
-from ..session import cut_lineage
+from ..session import stored
 
-MAX_VOCAB_ROWS = 1_000_000
-LOCAL_VOCAB_ROWS = 20_000
 
-
-def fit_vocabulary(df: DataFrame, columns: Sequence[str], max_rows: int = MAX_VOCAB_ROWS,
-                   keep_missing: bool = True) -> DataFrame:
+def fit_vocabulary(df: DataFrame, columns: Sequence[str], keep_missing: bool = True) -> DataFrame:
     """``(column, value, code)``: distinct values per column, sorted, coded 0..k-1.
 
     Values are the ``nan``-string form (X7), as the reference's
-    ``astype(str)``. The distinct step runs distributed with map-side
-    combine; the ranking window runs on the distinct values only, after the
-    size check, so a column with one hot value costs one row.
+    ``astype(str)``. Distinct values (map-side combined, so a hot value is one
+    row) are sorted by range over all tasks and numbered; a value's code is its
+    number less the first of its column, so no task holds a column's
+    vocabulary. The result is stored, as an ML fit is: lookups never re-run the
+    input, and its known size decides between a broadcast and a shuffled join.
     ``keep_missing=False`` leaves missing out (one-hot: ``get_dummies``
     gives a missing value no dummy).
     """
@@ -36,32 +34,16 @@ def fit_vocabulary(df: DataFrame, columns: Sequence[str], max_rows: int = MAX_VO
     long = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), val(c).alias("value"))
                                           for c in columns])).alias("kv"))
               .select("kv.column", "kv.value").where(F.col("value").isNotNull()).distinct())
-    n = long.count()
-    if n > max_rows:
-        raise ValueError(f"vocabulary has {n} entries, above max_rows={max_rows}")
-    w = Window.partitionBy("column").orderBy("value")
-    vocab = long.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
-    # fitted state is materialised, as an ML fit is: small vocabularies come
-    # to the driver (size checked above), larger ones are written to the
-    # shared checkpoint folder; either way lookups never re-run the input
-    if n <= LOCAL_VOCAB_ROWS:
-        out = df.sparkSession.createDataFrame(vocab.collect(), "column string, value string, code int")
-        out._tessera_rows = n        # proven size: lookups may broadcast it
-        return out
-    return cut_lineage(vocab)
+    numbered = long.sort("column", "value").rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1]))
+    numbered = stored(df.sparkSession.createDataFrame(numbered, "column string, value string, number bigint"))
+    first = numbered.groupBy("column").agg(F.min("number").alias("__first"))
+    return stored(numbered.join(first, "column").select("column", "value", (F.col("number") - F.col("__first")).cast("int").alias("code")))
 
 
 def _lookup(df: DataFrame, vocab: DataFrame, col: str, out_col: str, missing_code=-1) -> DataFrame:
-    """Left join of one column to its vocabulary; unseen gets -1.
-
-    A collected vocabulary (size counted, at most ``LOCAL_VOCAB_ROWS``) is
-    broadcast; a large checkpointed one gets no hint, so AQE measures it at
-    run time before choosing a broadcast.
-    """
+    """Left join of one column to its vocabulary; unseen gets -1. No hint: the stored vocabulary's size decides."""
     v = (vocab.filter(F.col("column") == col)
               .select(F.col("value").alias("__v"), F.col("code").alias("__code")))
-    if getattr(vocab, "_tessera_rows", None) is not None:
-        v = F.broadcast(v)
     j = df.join(v, nan_string(col) == F.col("__v"), "left")
     return j.withColumn(out_col, F.coalesce(F.col("__code"), F.lit(missing_code))).drop("__v", "__code")
 
@@ -96,12 +78,9 @@ def one_hot_long(df: DataFrame, vocab: DataFrame, cat_cols: Sequence[str], n_num
     offsets = (sizes.withColumn("__ord", order[F.col("column")])
                     .withColumn("offset", F.lit(n_numeric) + F.coalesce(F.sum("k").over(w), F.lit(0)))
                     .select("column", "offset"))
-    small = getattr(vocab, "_tessera_rows", None) is not None
     v = (vocab.join(F.broadcast(offsets), "column")
               .select("column", "value", (F.col("offset") + F.col("code")).alias("feature_index"),
                                  F.concat(F.col("column"), F.lit("_"), F.col("value")).alias("feature")))
-    if small:
-        v = F.broadcast(v)
     long = df.select(id_col, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                                                  for c in cat_cols])).alias("kv")).select(id_col, "kv.*")
     return long.join(v, ["column", "value"], "inner").select(id_col, "feature_index", "feature")
