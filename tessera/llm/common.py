@@ -4,18 +4,16 @@ from __future__ import annotations
 
 import math
 import os
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage, ensure_checkpoint_dir
+from tessera.session import cut_lineage, stored
 
 __all__ = ["UPPER", "LOWER", "ascii_lower", "chunk_count", "chunk_of", "cut_lineage", "key_filter", "passing", "python_tasks", "stored", "table"]
 
@@ -61,14 +59,6 @@ def chunk_of(key: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The table written as Parquet to the shared folder and read back: it cuts the lineage like a checkpoint, and is
-    compressed and pruned by column."""
-    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 #: Bits of a key filter, and bits that one row of it holds: 16 MB go to every worker whatever the number of keys.
 FILTER_BITS, FILTER_ROW_BITS = 1 << 27, 1 << 19
 
@@ -83,19 +73,24 @@ def key_filter(keys: DataFrame) -> Broadcast:
     """A bitmap over the hashes of (integer, integer) keys. It passes all of them, and others with the share of bits set."""
     a, b = keys.columns
 
-    def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique(_filter_bit(batch[a].fillna(0).to_numpy(np.int64), batch[b].fillna(0).to_numpy(np.int64)))
-            yield pd.DataFrame({"row": at // FILTER_ROW_BITS, "bit": at % FILTER_ROW_BITS})
+            at = np.unique(_filter_bit(*(batch.column(c).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in (a, b))))
+            yield pa.RecordBatch.from_arrays([pa.array(at // FILTER_ROW_BITS), pa.array(at % FILTER_ROW_BITS)], names=["row", "bit"])
 
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros(FILTER_ROW_BITS, bool)
-        out[rows["bit"].to_numpy(np.int64)] = True
-        return pd.DataFrame({"row": [rows["row"].iloc[0]], "bits": [np.packbits(out).tobytes()]})
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = []
+            for held in batch.column("held"):
+                out = np.zeros(FILTER_ROW_BITS, bool)
+                out[held.values.to_numpy()] = True
+                packed.append(np.packbits(out).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(packed, pa.binary())], names=["row", "bits"])
 
     spark, filled = keys.sparkSession, np.zeros(FILTER_BITS // 8, np.uint8)
     width = FILTER_ROW_BITS // 8
-    for row, packed in keys.mapInPandas(bits, "row bigint, bit bigint").distinct().groupBy("row").applyInPandas(pack, "row bigint, bits binary").toLocalIterator():
+    for row, packed in (keys.mapInArrow(bits, "row bigint, bit bigint").groupBy("row").agg(F.collect_set("bit").alias("held"))
+                        .mapInArrow(pack, "row bigint, bits binary").toLocalIterator()):
         filled[row * width:(row + 1) * width] = np.frombuffer(packed, np.uint8)
     return spark.sparkContext.broadcast(filled)
 

@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -181,23 +182,30 @@ def _block_rows(length: int, size: int, parent: int):
     segment's ends) all their bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            if not batch.num_rows:
+                continue
             far, near = _packed(batch.column("place").to_numpy())
-            for i, (data, p, least, chosen) in enumerate(zip(batch.column("data").to_pylist(), far.tolist(), near.tolist(), batch.column("blocks").to_pylist())):
-                b48 = _refined(np.frombuffer(data, np.uint8))
-                block = np.arange(least // size, p // size + 1)
-                if chosen is not None:
-                    block = block[np.isin(block * size // parent, chosen)]
-                inner = _window_ids(b48, p - size * block, length - size + 1).view(np.int64)
-                whole = (size * block >= least) & (size * block + size - 1 <= p)
-                outer = np.zeros(len(block), np.int64)
-                outer[whole] = _pair(*(_window_ids(b48, p - size * block[whole] - k, length) for k in (size - 1, 0))).view(np.int64)
-                out.append((np.full(len(block), i), block, inner, outer, ~whole))
-            if out:
-                row, block, inner, outer, partial = (np.concatenate(x) for x in zip(*out))
-                at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([batch.column("bucket").take(at), pa.array(block), pa.array(inner), pa.array(outer, mask=partial), batch.column("content").take(at), batch.column("n").take(at)],
-                                                 names=["bucket", "block", "inner", "outer", "content", "n"])
+            data = batch.column("data").to_pylist()
+            begin = np.cumsum([0, *map(len, data)])
+            b48 = _refined(np.frombuffer(b"".join(data), np.uint8))
+            if parent:  # the blocks inside those chosen a level above
+                chosen = batch.column("blocks")
+                row = np.repeat(np.arange(len(far)), np.diff(chosen.offsets.to_numpy()) * (parent // size))
+                block = (chosen.flatten().to_numpy()[:, None] * (parent // size) + np.arange(parent // size)).ravel()
+                inside = (block >= near[row] // size) & (block <= far[row] // size)
+                row, block = row[inside], block[inside]
+            else:
+                count = far // size - near // size + 1
+                row = np.repeat(np.arange(len(far)), count)
+                block = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + (near // size)[row]
+            at = begin[row] + far[row] - size * block
+            inner = _window_ids(b48, at, length - size + 1).view(np.int64)
+            whole = (size * block >= near[row]) & (size * block + size - 1 <= far[row])
+            outer = np.zeros(len(block), np.int64)
+            outer[whole] = _pair(*(_window_ids(b48, at[whole] - k, length) for k in (size - 1, 0))).view(np.int64)
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column("bucket").take(take), pa.array(block), pa.array(inner), pa.array(outer, mask=~whole), batch.column("content").take(take), batch.column("n").take(take)],
+                                             names=["bucket", "block", "inner", "outer", "content", "n"])
     return run
 
 
@@ -217,7 +225,7 @@ def _refine_alone(contents: DataFrame, length: int) -> DataFrame:
     holds nothing else; only blocks between the two are opened, with all blocks they share the inner bytes with. Blocks
     of one window are one or the other."""
     segment, block = ["bucket", "content"], ["bucket", "block", "inner"]
-    todo, found = contents.withColumn("blocks", F.lit(None).cast("array<bigint>")), None
+    todo, found = contents.withColumn("blocks", F.array().cast("array<bigint>")), None
     for parent, size in zip((0, *BLOCKS), BLOCKS):
         blocks = stored(todo.select("bucket", "content", "place", "n", "data", "blocks").mapInArrow(
             _block_rows(length, size, parent), "bucket bigint, block bigint, inner bigint, outer bigint, content bigint, n bigint"))
@@ -239,6 +247,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     short = docs.select("_id", "_mark", "_text").filter(F.octet_length("_text") >= length)
     kind = "bucket bigint, content bigint, id bigint, mark int, place bigint"
     shared = short.select("_text").mapInArrow(_segment_rows(length, False), "bucket bigint").groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    shared = stored(shared)  # a join of two exchanges, which Spark can split where a bucket is hot
     active = stored(short.mapInArrow(_segment_rows(length, True), kind).join(shared, "bucket"))
 
     segment = ["bucket", "content"]
@@ -247,7 +256,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         "id", "mark", F.shiftright("place", 16).alias("start"), (F.shiftright("place", 16) + F.col("place").bitwiseAND(255) + length).alias("end"))
 
     # buckets where a segment is alone among others
-    opened = alike.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1").select("bucket")
+    opened = stored(alike.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1").select("bucket"))
     wanted = stored(alike.join(opened, "bucket").groupBy(F.col("one.id").alias("_i"), F.col("one.mark").alias("_m"))
                     .agg(F.collect_list(F.struct("bucket", "content", F.col("one.place").alias("place"), "n")).alias("_wanted")))
     member = key_filter(wanted.select("_i", "_m"))
@@ -257,33 +266,36 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return covered.union(_refine_alone(contents, length)).groupBy("id", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
-def merged(spans: list[dict]) -> list[tuple[int, int]]:
+def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of covered offsets."""
-    if not spans:
-        return []
-    both = np.array([(s["start"], s["end"]) for s in spans], np.int64)
-    both = both[np.argsort(both[:, 0], kind="stable")]
-    reach = np.maximum.accumulate(both[:, 1])
-    first = np.flatnonzero(np.r_[True, both[1:, 0] > reach[:-1]])
-    return list(zip(both[first, 0].tolist(), reach[np.r_[first[1:] - 1, len(both) - 1]].tolist()))
+    if not len(start):
+        return start, end
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    first = np.flatnonzero(np.r_[True, start[1:] > reach[:-1]])
+    return start[first], reach[np.r_[first[1:] - 1, len(start) - 1]]
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, removed, runs, kept, digests = [], [], [], [], []
-        for text, spans in zip(_bytes(batch, "_text"), batch.column("spans").to_pylist()):
-            own, at, parts = merged(spans), 0, []
-            for start, end in own:
-                parts.append(text[at:start])
-                at = end
-            rest = b"".join([*parts, text[at:]])
+        sizes, removed, counts, firsts, lasts, kept, digests = [], [], [], [], [], [], []
+        spans = batch.column("spans")
+        at, flat = np.cumsum([0, *(n or 0 for n in pc.list_value_length(spans).to_pylist())]), spans.flatten()
+        start, end = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("start", "end"))
+        for i, text in enumerate(_bytes(batch, "_text")):
+            own = merged(start[at[i]:at[i + 1]], end[at[i]:at[i + 1]])
+            edges = [0, *(int(x) for both in zip(*own) for x in both), len(text)]
+            rest = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
             sizes.append(len(text))
             removed.append(len(text) - len(rest))
-            runs.append([{"start": a, "end": b} for a, b in own])
+            counts.append(len(own[0]))
+            firsts.append(own[0])
+            lasts.append(own[1])
             kept.append(rest)
             digests.append(hashlib.sha256(rest).hexdigest())
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, kind), pa.array(kept, pa.binary()), pa.array(digests, pa.string())],
+        runs = pa.StructArray.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (firsts, lasts)], names=["start", "end"])
+        yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
+                                          pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), runs), pa.array(kept, pa.binary()), pa.array(digests, pa.string())],
                                          names=["_row", "_bytes", "_removed", "_spans", "_kept", "_sha256"])
 
 
