@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,9 +39,12 @@ ORDER = 5
 #: Bytes of text in one chunk: larger chunks ask for fewer prices in all.
 CHUNK_BYTES = 32 << 20
 #: Text bytes that a task turns into grams at once, and words it counts before it sends them on.
-SLICE_BYTES, HELD_WORDS = 2 << 20, 400_000
+SLICE_BYTES, HELD_WORDS, HELD_GRAMS = 2 << 20, 400_000, 3 << 19
 
 _BITS, _END = 9, 257
+#: Texts in one slice: a gram of up to 54 bits leaves 10 for the number of its text.
+_RUN_BITS = 10
+_RUN = 1 << _RUN_BITS
 _SYMBOLS = 258
 #: The end of a text, in a table of words: no word is empty.
 END_WORD = b""
@@ -62,48 +66,67 @@ def _folded(text: str | None) -> bytes:
 
 
 def _slices(texts: list[bytes]) -> Iterator[slice]:
-    """Runs of texts of about ``SLICE_BYTES``."""
+    """Runs of texts of about ``SLICE_BYTES``, no more than ``_RUN`` of them."""
     start = size = 0
     for i, t in enumerate(texts):
         size += len(t)
-        if size >= SLICE_BYTES:
+        if size >= SLICE_BYTES or i + 1 - start == _RUN:
             yield slice(start, i + 1)
             start, size = i + 1, 0
     if start < len(texts):
         yield slice(start, len(texts))
 
 
-def _encoded(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    d = pa.array(grams).dictionary_encode()
-    return d.dictionary.to_numpy(), d.indices.to_numpy()
+def _folded_slices(column) -> Iterator[list[bytes]]:
+    """Folded texts of an Arrow column, slice by slice: a chunk's texts are never all Python objects at once."""
+    for start in range(0, len(column), _RUN // 2):
+        texts = [_folded(t) for t in column.slice(start, _RUN // 2).to_pylist()]
+        for part in _slices(texts):
+            yield texts[part]
+
+
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Where each distinct value of a sorted array begins."""
+    return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, np.int64)
+
+
+def _tally(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and their counts. Sorting whole numbers is vectorised; hashing them is not."""
+    ordered = np.sort(grams)
+    at = _firsts(ordered)
+    return ordered[at], np.diff(np.r_[at, len(ordered)])
+
+
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    grams, n = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(grams, kind="stable")
+    at = _firsts(grams[order])
+    return grams[order][at], np.add.reduceat(n[order], at) if len(at) else n
 
 
 def _count(order: int):
     """(gram, word, n): counts in the training documents; grams of other documents come with 0."""
-    def batch_of(grams: np.ndarray, ns: np.ndarray) -> pa.RecordBatch:
+    def grams_batch(grams: np.ndarray, ns: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(grams), pa.nulls(len(grams), pa.binary()), pa.array(ns)], names=["gram", "word", "n"])
 
     def words_batch(held: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.nulls(len(held), pa.int64()), pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())],
                                           names=["gram", "word", "n"])
 
-    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
-        grams, at = _encoded(np.concatenate([g for g, _ in held]))
-        return [(grams, np.bincount(at, np.concatenate([n for _, n in held]), len(grams)).astype(np.int64))]
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         held_words: Counter = Counter()
         for batch in batches:
-            texts, out = [_folded(t) for t in batch.column(0).to_pylist()], batch.column(1).to_numpy(zero_copy_only=False)
-            for part in _slices(texts):
-                grams, sizes = grams_of(texts[part], order)
-                distinct, at = _encoded(grams)
-                held.append((distinct, np.bincount(at, np.repeat(~out[part], sizes), len(distinct)).astype(np.int64)))
-                if sum(len(g) for g, _ in held) > 1 << 20:
-                    held = merged(held)
-                    if len(held[0][0]) > 1 << 20:
-                        yield batch_of(*held.pop())
+            texts, out = [_folded(t) for t in batch.column(0).to_pylist()], batch.column(1).to_pylist()
+            for skip in (False, True):
+                own = [t for t, o in zip(texts, out) if o == skip]
+                for part in _slices(own):
+                    grams, n = _tally(grams_of(own[part], order)[0])
+                    held.append((grams, n * (not skip)))
+                    if sum(len(g) for g, _ in held) > HELD_GRAMS:
+                        held = [_merged(held)]
+                        if len(held[0][0]) > HELD_GRAMS // 2:
+                            yield grams_batch(*held.pop())
             for t, skip in zip(texts, out):
                 if not skip:
                     held_words.update(t.split())
@@ -112,7 +135,7 @@ def _count(order: int):
                 yield words_batch(held_words)
                 held_words = Counter()
         if held:
-            yield batch_of(*merged(held)[0])
+            yield grams_batch(*_merged(held))
         yield words_batch(held_words)
     return count
 
@@ -180,46 +203,56 @@ def gram_prices(counted: DataFrame, order: int) -> DataFrame:
 
 def _asked(order: int):
     """(_chunk, gram, word): what a chunk needs to know."""
-    def ask(chunk: pd.DataFrame) -> pd.DataFrame:
-        texts = [_folded(t) for t in chunk["_text"]]
-        grams = [_encoded(grams_of(texts[part], order)[0])[0] for part in _slices(texts)]
-        grams = np.sort(_encoded(np.concatenate(grams))[0])  # neighbours share their high bytes, which shuffles small
+    def ask(chunk: pa.Table) -> pa.Table:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         words: set[bytes] = {END_WORD}
-        for t in texts:
-            words.update(t.split())
-        return pd.DataFrame({"_chunk": np.full(len(grams) + len(words), chunk["_chunk"].iloc[0], np.int32),
-                             "gram": pd.array([*grams.tolist(), *[None] * len(words)], "Int64"), "word": [*[None] * len(grams), *words]})
+        for texts in _folded_slices(chunk.column("_text")):
+            held.append(_tally(grams_of(texts, order)[0]))
+            if sum(len(g) for g, _ in held) > HELD_GRAMS:
+                held = [_merged(held)]
+            for t in texts:
+                words.update(t.split())
+        grams = _merged(held)[0]  # ascending: neighbours share their high bytes, which shuffles small
+        return pa.table({"_chunk": pa.repeat(pa.scalar(chunk.column("_chunk")[0].as_py(), pa.int32()), len(grams) + len(words)),
+                         "gram": pa.concat_arrays([pa.array(grams), pa.nulls(len(words), pa.int64())]),
+                         "word": pa.concat_arrays([pa.nulls(len(grams), pa.binary()), pa.array(words, pa.binary(), size=len(words))])})
     return ask
 
 
 def _score(order: int, tokens: int, distinct: int):
-    def score(_, docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        of_grams = answers[answers["gram"].notna()].sort_values("gram")
-        grams, prices = of_grams["gram"].to_numpy(np.int64), of_grams["value"].to_numpy(float)
-        of_words = answers[answers["gram"].isna()]
-        counts = dict(zip(of_words["word"], np.log10(of_words["value"].to_numpy(float) + 1).tolist()))
-        texts = [_folded(t) for t in docs["_text"]]
-        scores, n_tokens, n_known, base = [], [], [], []
-        for part in _slices(texts):
-            own, sizes = grams_of(texts[part], order)
-            names, at = _encoded(own)
-            priced = prices[np.searchsorted(grams, names)][at]
-            scores += np.add.reduceat(priced, np.r_[0, np.cumsum(sizes)[:-1]]).tolist()
-        for t in texts:
-            words = [*t.split(), END_WORD]
-            got = [c for c in map(counts.get, words) if c is not None]
-            n_tokens.append(len(words))
-            n_known.append(len(got))
-            base.append(sum(got) - len(words) * float(np.log10(tokens + distinct + 1)))
-        return docs[["_row", "_out"]].assign(_tokens=n_tokens, _known=n_known, _base=base, _score=scores, _symbols=[len(t) + 1 for t in texts])
+    def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        of_grams = answers.filter(pc.is_valid(answers.column("gram"))).select(["gram", "value"])
+        of_words = answers.filter(pc.is_null(answers.column("gram")))
+        grams, prices = (of_grams.column(c).to_numpy() for c in ("gram", "value"))
+        ascending = np.argsort(grams)
+        grams, prices = grams[ascending], prices[ascending]
+        counts = dict(zip(of_words.column("word").to_pylist(), np.log10(of_words.column("value").to_numpy() + 1).tolist()))
+        scores, symbols, n_tokens, n_known, base = [], [], [], [], []
+        for texts in _folded_slices(docs.column("_text")):
+            own, sizes = grams_of(texts, order)
+            symbols += sizes.tolist()
+            # sorted by gram, each with the document it came from in its low bits
+            keyed = np.sort(own.astype(np.uint64) << np.uint64(_RUN_BITS) | np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes))
+            own = (keyed >> np.uint64(_RUN_BITS)).astype(np.int64)
+            at = _firsts(own)
+            priced = np.repeat(prices[np.searchsorted(grams, own[at])], np.diff(np.r_[at, len(own)]))
+            scores.append(np.bincount((keyed & np.uint64(_RUN - 1)).astype(np.int64), priced, len(sizes)))
+            for t in texts:
+                words = [*t.split(), END_WORD]
+                got = [c for c in map(counts.get, words) if c is not None]
+                n_tokens.append(len(words))
+                n_known.append(len(got))
+                base.append(sum(got) - len(words) * float(np.log10(tokens + distinct + 1)))
+        return pa.table({"_row": docs.column("_row"), "_out": docs.column("_out"), "_tokens": pa.array(n_tokens, pa.int64()), "_known": pa.array(n_known, pa.int64()), "_base": pa.array(base, pa.float64()),
+                         "_score": pa.array(np.concatenate(scores) if scores else np.zeros(0)), "_symbols": pa.array(symbols, pa.int64())})
     return score
 
 
 def ppm_scores(docs: DataFrame, held_out, text: str = "text", key: str = "doc_id", columns: list[str] | None = None, order: int = ORDER) -> DataFrame:
     """One row per document: its columns in struct ``_row``, ``_out`` (held out), ``_tokens``, ``_known``, ``_train_tokens``,
     ``_base``, ``_score`` (log10 probability) and ``_symbols`` (bytes and end). ``held_out`` is a boolean column: true doesn't train."""
-    if not 2 < order < 7:
-        raise ValueError("a gram of an order from 3 to 6 fits a long")
+    if not 2 < order < 6:
+        raise ValueError("a gram of an order from 3 to 5 fits a long beside its text's number")
     python_tasks(docs.sparkSession)
     columns = docs.columns if columns is None else columns
     rows = docs.select(F.col(text).alias("_text"), held_out.alias("_out"), F.struct(*columns).alias("_row"), chunk_of(F.col(key), chunk_count(docs, text, CHUNK_BYTES)).alias("_chunk"))
@@ -229,12 +262,12 @@ def ppm_scores(docs: DataFrame, held_out, text: str = "text", key: str = "doc_id
     prices = cut_lineage(gram_prices(counted.filter("gram IS NOT NULL").select("gram", "n"), order))
 
     chunks = rows.select("_chunk", "_text", "_out", "_row")
-    asked = chunks.groupBy("_chunk").applyInPandas(_asked(order), "_chunk int, gram bigint, word binary")
+    asked = chunks.groupBy("_chunk").applyInArrow(_asked(order), "_chunk int, gram bigint, word binary")
     answers = (asked.filter("gram IS NOT NULL").select("_chunk", "gram").join(prices, "gram").select("_chunk", "gram", F.lit(None).cast("binary").alias("word"), F.col("price").alias("value"))
                .union(asked.filter("gram IS NULL").select("_chunk", "word").join(words, "word").select("_chunk", F.lit(None).cast("bigint").alias("gram"), "word", F.col("n").cast("double").alias("value"))))
     row = docs.select(*columns).schema.simpleString()[len("struct<"):-1]
     return (chunks.groupBy("_chunk").cogroup(answers.groupBy("_chunk"))
-            .applyInPandas(_score(order, tokens, distinct), f"_row struct<{row}>, _out boolean, _tokens bigint, _known bigint, _base double, _score double, _symbols bigint")
+            .applyInArrow(_score(order, tokens, distinct), f"_row struct<{row}>, _out boolean, _tokens bigint, _known bigint, _base double, _score double, _symbols bigint")
             .withColumn("_train_tokens", F.lit(tokens).cast("bigint")))
 
 
