@@ -12,9 +12,11 @@ Each text is read whole in one task; nothing is shuffled, collected or broadcast
 
 Defined results: a null or empty text has no spans; positions are code points, end
 exclusive; equal documents get equal spans; a constant assigned twice has the value it
-had last at the point of use; a constant never stands for more than ``MAX_PIECES`` literals
-(a longer chain is cut into its own statement's literals, so lexing stays linear);
-other columns are not read.
+had last at the point of use, whatever the number of literals it stands for; other columns
+are not read. A constant is kept as its own literals and references to the constants it
+joins, with counts of its value's characters; the references are followed once per text, from
+the surest sensitive target down, so lexing stays linear in statements. Counts of values
+beyond 2^256 characters (doubled constants) keep their upper 128 bits or more.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +36,6 @@ from tessera.llm.common import python_tasks, table
 
 KINDS = ("assign", "access", "hex", "literal")
 THRESHOLD = 0.5
-MAX_PIECES = 64
 
 _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -66,13 +68,58 @@ def name_score(name: str) -> float:
     return score * (0.2 if parts[-1] in _ABOUT else 1.0)
 
 
-def literal_score(value: str, quoted: bool) -> float:
+@dataclass(slots=True)
+class Value:
+    """What the score of a joined value needs: its characters counted (times 2 ** ``shift``), its first ones and its last."""
+    counts: dict[str, int]
+    shift: int
+    head: str
+    last: str
+    spaced: bool
+    mixed: tuple[bool, bool]
+    quoted: bool
+
+
+#: First characters of a value that tell a placeholder: more than its longest word has.
+_HEAD = 12
+
+
+def value_of(text: str, quoted: bool) -> Value:
+    spaced = any(c.isspace() for c in text)
+    return Value({} if spaced else Counter(text), 0, text[:_HEAD], text[-1:], spaced, (any(c.isdigit() for c in text), any(c.isalpha() for c in text)), quoted)
+
+
+def joined(values: list[Value]) -> Value:
+    if len(values) == 1:
+        return values[0]
+    spaced, counts, shift, head = any(v.spaced for v in values), {}, max(v.shift for v in values), ""
+    for v in values:
+        head = (head + v.head)[:_HEAD] if len(head) < _HEAD else head
+        if not spaced:  # a spaced value and all that join it score 0
+            for c, n in v.counts.items():
+                counts[c] = counts.get(c, 0) + (n >> shift - v.shift)
+    if (over := sum(counts.values()).bit_length() - 128) > 128:
+        counts, shift = {c: n >> over for c, n in counts.items()}, shift + over
+    return Value(counts, shift, head, next((v.last for v in reversed(values) if v.last), ""), spaced,
+                 (any(v.mixed[0] for v in values), any(v.mixed[1] for v in values)), any(v.quoted for v in values))
+
+
+def value_score(value: Value) -> float:
     """0 to 1: how much a value looks like a secret rather than a word or a placeholder."""
-    if len(value) < 6 or any(c.isspace() for c in value) or _PLACEHOLDER.match(value):
+    size = sum(value.counts.values())
+    if size < 6 or value.spaced:
         return 0.0
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
-    mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-    return (0.5 if quoted else 0.1) + 0.25 * mixed + 0.25 * (entropy >= 3.0)
+    # a placeholder is short, one letter repeated, or shows at its ends
+    same = len({c.lower() for c in value.counts}) == 1
+    short = value.head if size <= _HEAD or same else f"{value.head}\0{value.last}"
+    if _PLACEHOLDER.match(short):
+        return 0.0
+    entropy = -sum(n / size * math.log2(n / size) for n in value.counts.values() if n)
+    return (0.5 if value.quoted else 0.1) + 0.25 * all(value.mixed) + 0.25 * (entropy >= 3.0)
+
+
+def literal_score(value: str, quoted: bool) -> float:
+    return value_score(value_of(value, quoted))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -87,40 +134,67 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+@dataclass(slots=True)
+class Constant:
+    """A name's value as one statement gave it: (start, end, text, quoted) literals and the constants it joins, in order."""
+    parts: list[tuple[int, int, str, bool] | Constant]
+    value: Value | None = None
+
+    def known_value(self) -> Value:
+        """Constants that join others get theirs at their statement, so this never descends further than one."""
+        if self.value is None:
+            self.value = joined([p.known_value() if isinstance(p, Constant) else value_of(p[2], p[3]) for p in self.parts])
+        return self.value
+
+
 def literal_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int, str, float]]:
     """(start, end, target name, score) of literals that reach a sensitive name, directly or through constants."""
     if "=" not in text and ":" not in text:
         return []
-    known: dict[str, list[tuple[int, int, str, bool]]] = {}
-    found: dict[tuple[int, int], tuple[str, float]] = {}
+    known: dict[str, Constant] = {}
+    targets: list[tuple[float, str, Constant]] = []
     at = 0
     while statement := _STATEMENT.search(text, at):
         name, at = statement[2], statement.end()
-        own: list[tuple[int, int, str, bool]] = []
-        pieces: list[tuple[int, int, str, bool]] = []
+        constant, joins = Constant([]), False
         while piece := _PIECE.match(text, at):
             bare = piece[3]
-            if bare is not None and _STATEMENT.match(text, at) and pieces == []:
+            if bare is not None and _STATEMENT.match(text, at) and constant.parts == []:
                 break  # the value is itself a statement, as in a nested mapping
             at = piece.end()
             if bare is not None and _NAME.fullmatch(bare.rstrip(".")) and bare.rstrip(".") in known:
-                pieces += known[bare.rstrip(".")]
+                constant.parts.append(known[bare.rstrip(".")])
+                joins = True
             else:
                 k = 3 if bare is not None else 1 if piece[1] is not None else 2
-                own.append((*piece.span(k), piece[k], bare is None))
-                pieces.append(own[-1])
+                constant.parts.append((*piece.span(k), piece[k], bare is None))
             if not (join := _JOIN.match(text, at)):
                 break
             at = join.end()
-        if not pieces:
+        if not constant.parts:
             continue
-        known[name] = pieces if len(pieces) <= MAX_PIECES else own[:MAX_PIECES]
+        if joins:
+            constant.known_value()
+        if name in known:
+            known[name].value = None  # no later statement can join it by this name
+        known[name] = constant
         if weight := name_score(name):
-            score = weight * literal_score("".join(p[2] for p in pieces), any(p[3] for p in pieces))
+            score = weight * value_score(constant.known_value())
             if score >= threshold:
-                for start, end, _, _ in pieces:
-                    if end > start and score > found.get((start, end), ("", 0.0))[1]:
-                        found[start, end] = name, score
+                targets.append((score, name, constant))
+    found: dict[tuple[int, int], tuple[str, float]] = {}
+    seen: set[int] = set()
+    for score, name, constant in sorted(targets, key=lambda t: -t[0]):
+        below = [constant]
+        while below:
+            constant = below.pop()
+            if id(constant) not in seen:
+                seen.add(id(constant))
+                for p in constant.parts:
+                    if isinstance(p, Constant):
+                        below.append(p)
+                    elif p[1] > p[0]:
+                        found.setdefault(p[:2], (name, score))
     return [(*span, *why) for span, why in sorted(found.items())]
 
 

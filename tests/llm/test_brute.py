@@ -197,6 +197,39 @@ def test_secrets_through_constants():
     assert secrets.literal_spans("x = " + " + ".join(["'ab'"] * 5000)) == []
 
 
+def test_secrets_of_long_constants():
+    """No literal is lost, however many a constant stands for."""
+    lit = lambda t: [t[a:b] for a, b, _, _ in secrets.literal_spans(t)]
+    many = [f"p{k}Q" for k in range(200)]
+    chain = " + ".join(f"'{x}'" for x in many)
+    assert lit(f"k = {chain}\npassword = k") == many
+    halves = [" + ".join(f"'{x}'" for x in part) for part in (many[:40], many[40:80])]
+    assert lit(f"a = {halves[0]}\nb = {halves[1]}\nk = a + b\nc = k\npassword = c") == many[:80]
+    assert lit("key = ''\n" + "\n".join(f"key = key + '{x}'" for x in many) + "\nsecret = key") == many
+    assert lit("token = ''\n" + "\n".join(f"token = token + '{x}'" for x in many)) == many
+    # doubled constants: a value of 2 ** 3000 times 8 characters
+    assert lit("a0 = 'aB3dE5gH'\n" + "".join(f"a{k + 1} = a{k} + a{k}\n" for k in range(3000)) + "pwd = a3000") == ["aB3dE5gH"]
+    assert lit("a = 'x'\n" + "a = a + a\n" * 3000 + "pwd = a") == []
+    # a version is the one at the point of use
+    assert lit("a = 'aB3dE5gH'\nb = a + '7'\na = 'other1Value'\npwd = b") == ["aB3dE5gH", "7"]
+
+
+def test_secret_values_add_up():
+    """The score of joined values is the score of the joined text."""
+    rng = np.random.default_rng(3)
+    marks = ["x", "X", "<", ">", "${", "{{", "%", "your-", "change", "_me", "a1", "Q", " ", "***", "..", "placeholder", "none", "8fK2", ""]
+    for _ in range(4000):
+        parts = [(str(x), bool(rng.integers(2))) for x in rng.choice(marks, rng.integers(1, 9))]
+        whole = "".join(x for x, _ in parts)
+        k = int(rng.integers(len(parts) + 1))
+        nested = [secrets.joined([secrets.value_of(*p) for p in side]) for side in (parts[:k], parts[k:]) if side]
+        want = 0.0
+        if len(whole) >= 6 and " " not in whole and not secrets._PLACEHOLDER.match(whole):
+            share = [n / len(whole) for n in Counter(whole).values()]
+            want = (0.5 if any(q for _, q in parts) else 0.1) + 0.25 * (any(map(str.isdigit, whole)) and any(map(str.isalpha, whole))) + 0.25 * (-sum(x * math.log2(x) for x in share) >= 3)
+        assert secrets.value_score(secrets.joined(nested)) == want, parts
+
+
 def test_main_text(spark, raw):
     import html
     import re
