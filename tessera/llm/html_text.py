@@ -6,7 +6,8 @@ Per host, a token has an occurrence vector, how often each page holds it; tokens
 equal vectors form an equivalence class. A class is valid if at least ``MIN_PAGES`` pages
 and half of the host's hold it and an element is among it; a text of it nests where its
 own path is in the template too. Texts of valid classes are the template's, what fills
-the places between is a slot. Slots inside elements that name their role (menu, header,
+the places between is a slot. Of a marked article (a main element if it holds none) no text
+is taken for the template's: what its pages share there is content. Slots inside elements that name their role (menu, header,
 footer, sidebar, notice, advert, form, comments) go; of the others the text is the main
 one if the page marks an article, else the one of the host's richest slot.
 
@@ -68,6 +69,7 @@ class Element:
     path: int
     dropped: bool
     main: bool
+    article: bool
     heading: bool
 
 
@@ -77,6 +79,7 @@ class Block:
     slot: int
     text: str
     main: bool
+    body: bool
     token: int
     linked: int
 
@@ -91,17 +94,18 @@ def _open(above: Element, tag: str, attributes: str) -> Element:
     label = f"{found.get('class', '')} {found.get('id', '')}"
     words = {w.lower() for w in _NAME.findall(label)}
     role = found.get("role", "").lower()
-    article = tag in ("article", "main") or role in ("main", "article")
+    inner = tag == "article" or role == "article"
+    article = inner or tag == "main" or role == "main"
     header = (tag == "header" or "header" in words) and not above.main and tag not in _HEADINGS
     dropped = above.dropped or tag in _DROP or header or role in _DROP_ROLES or bool(words & _ROLES and tag not in ("html", "body"))
     # inside an article, its header keeps the headings only
     own_header = tag == "header" and above.main
-    return Element(tag, _hash(above.path, tag, label.strip()), dropped, (above.main or article) and not dropped, above.heading if not own_header else True)
+    return Element(tag, _hash(above.path, tag, label.strip()), dropped, (above.main or article) and not dropped, (above.article or inner) and not dropped, above.heading if not own_header else True)
 
 
 def read_page(html: str) -> tuple[list[Block], Counter, Counter]:
     """Text blocks outside dropped elements, in page order; counts of all text tokens; counts of all element tokens."""
-    stack = [Element("", 0, False, False, False)]
+    stack = [Element("", 0, False, False, False, False)]
     blocks: list[Block] = []
     texts: Counter = Counter()
     elements: Counter = Counter()
@@ -119,7 +123,7 @@ def read_page(html: str) -> tuple[list[Block], Counter, Counter]:
             texts[token] += 1
             if not top.dropped and (not top.heading or any(e.tag in _HEADINGS for e in stack)):
                 slot = next((e for e in reversed(stack) if e.tag in _SCOPES), stack[0])
-                blocks.append(Block(frame.path, slot.path, text, top.main, token, linked))
+                blocks.append(Block(frame.path, slot.path, text, top.main, top.article, token, linked))
         linked = 0
 
     def close(k: int) -> None:
@@ -173,6 +177,9 @@ def read_page(html: str) -> tuple[list[Block], Counter, Counter]:
         if not mark[3].rstrip().endswith("/") or tag in _BLOCK:
             stack.append(element)
     flush()
+    if not any(b.body for b in blocks):  # a main element without an article is the article
+        for b in blocks:
+            b.body = b.main
     return blocks, texts, elements
 
 
@@ -188,7 +195,7 @@ def main_text(html: str | None, template: set[int] = frozenset(), slot: int | No
         if rich:
             first, last = chosen.index(rich[0]), len(chosen) - 1 - chosen[::-1].index(rich[-1])
             chosen = chosen[first:last + 1]
-    own = [b for b in chosen if b.token not in template or _hash("element", b.path) not in template]
+    own = [b for b in chosen if b.body or b.token not in template or _hash("element", b.path) not in template]
     return "\n".join(b.text for b in own or chosen)
 
 

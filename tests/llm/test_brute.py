@@ -251,3 +251,17 @@ def test_main_text_without_marked_article(spark):
     for r in extract(pages).collect():
         k = r._row.page_id
         assert r._main == f"Story no{k} begins & goes on…\nIt ends no{k}."
+
+
+@pytest.mark.parametrize("mark", ["article", "main", "div role=main"])
+def test_main_text_keeps_what_articles_share(spark, mark):
+    """A passage on every page, or on the half with a figure, stays where an article is marked; beside it, the template's goes."""
+    from tessera.llm.html_text import extract
+    end = mark.split()[0]
+    page = "<body><main><p>Daily news</p>" if end == "article" else "<body><div><p>Daily news</p></div>"
+    page += f"<{mark}><h1>Part {{0}}</h1><p class=intro>This series tells the story.</p>{{1}}<p>Own words {{0}}.</p></{end}></body>"
+    half = "<figure></figure><blockquote>Said by half of them.</blockquote>"
+    pages = spark.createDataFrame([(k, f"http://h/{k}", page.format(k, half if k % 2 else "")) for k in range(12)], "page_id bigint, url string, html string")
+    for r in extract(pages).collect():
+        k = r._row.page_id
+        assert r._main.split("\n") == [f"Part {k}", "This series tells the story.", *(["Said by half of them."] if k % 2 else []), f"Own words {k}."]
