@@ -11,6 +11,14 @@ is taken for the template's: what its pages share there is content. Slots inside
 footer, sidebar, notice, advert, form, comments) go; of the others the text is the main
 one if the page marks an article, else the one of the host's richest slot.
 
+Tags name a role for sure. A word of a class or id and a ``form`` may also sit on a wrapper,
+so their elements stay if they hold an article or the host's richest slot, counted before
+they go. A word that heads its class (``comments``, ``top-menu``) counts for a role, one in
+passing (``has-sidebar``, ``elementor-widget-text``) doesn't: an element of the first kind is
+a host's richest slot, and those of comments, related pages or adverts hold it, only if the
+host has no other slot; their articles count only on pages without others, never those of
+comments, related pages or adverts. Where all of a page's text is in such elements, it stays.
+
 A vector is kept as its number of pages, its total and a sum of hashes over (page, count),
 so tokens are pre-aggregated in every task and no host is ever gathered. A template holds
 tokens of at least half the host's pages, hence at most twice a page's tokens. Pages meet
@@ -47,7 +55,7 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "select"}
-_DROP = _RAW | {"head", "nav", "footer", "aside", "form", "button", "menu", "dialog", "label", "fieldset", "audio", "video", "canvas"}
+_DROP = _RAW | {"head", "nav", "footer", "aside", "button", "menu", "dialog", "label", "fieldset", "audio", "video", "canvas"}
 _BLOCK = {"html", "body", "p", "div", "section", "article", "main", "header", "footer", "nav", "aside", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd",
           "table", "thead", "tbody", "tfoot", "tr", "blockquote", "pre", "figure", "figcaption", "address", "form", "fieldset", "hr", "details", "summary", "center", "menu", "dialog", "title", "head"}
 _CELL = {"td", "th", "br"}
@@ -60,14 +68,37 @@ _ROLES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "ban
           "breadcrumbs", "footer", "masthead", "topbar", "notice", "notices", "cookie", "cookies", "consent", "gdpr", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "search",
           "share", "sharing", "social", "related", "recommended", "comment", "comments", "disqus", "reply", "replies", "respond", "pagination", "pager", "toolbar", "widget", "widgets", "alert", "copyright", "skip"}
 _DROP_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alert", "alertdialog"}
+#: Of these, words whose elements hold articles beside the page's own.
+_BESIDE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "related", "recommended", "comment", "comments", "disqus", "reply", "replies", "respond"}
+#: Words of builders and page types, which name a role only as the last of a class; words before a role that is elsewhere or missing.
+_LOOSE, _NOT_HERE = {"widget", "widgets", "search", "side"}, {"has", "no", "with", "without"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
+@dataclass(slots=True, eq=False)
+class Role:
+    """An element that a word or a form drops, if nothing speaks for it: ``sure`` if it or one around it is headed by the word."""
+    path: int
+    above: Role | None
+    sure: bool
+    beside: bool
+    holds: bool = False  # an article, or on pages whose articles all are in sure roles, one of those
+    holds_in_role: bool = False
+
+    def around(self) -> Iterator[Role]:
+        """This one and those it is in."""
+        role = self
+        while role:
+            yield role
+            role = role.above
+
+
 @dataclass(slots=True)
 class Element:
     tag: str
     path: int
     dropped: bool
+    role: Role | None
     main: bool
     article: bool
     heading: bool
@@ -82,6 +113,7 @@ class Block:
     body: bool
     token: int
     linked: int
+    role: Role | None
 
 
 def _hash(*parts) -> int:
@@ -89,27 +121,44 @@ def _hash(*parts) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def _heads(name: str, roles: set[str]) -> bool:
+    """Whether a role word heads a class or id, as its last or first word."""
+    words = [w.lower() for w in _NAME.findall(name)]
+    return bool(words) and (words[-1] in roles and not _NOT_HERE & set(words[-2:-1]) or words[0] in roles - _LOOSE)
+
+
 def _open(above: Element, tag: str, attributes: str) -> Element:
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if "=" in attributes else {}
     label = f"{found.get('class', '')} {found.get('id', '')}"
     words = {w.lower() for w in _NAME.findall(label)}
-    role = found.get("role", "").lower()
-    inner = tag == "article" or role == "article"
-    article = inner or tag == "main" or role == "main"
-    header = (tag == "header" or "header" in words) and not above.main and tag not in _HEADINGS
-    dropped = above.dropped or tag in _DROP or header or role in _DROP_ROLES or bool(words & _ROLES and tag not in ("html", "body"))
+    name = found.get("role", "").lower()
+    inner = tag == "article" or name == "article"
+    article = inner or tag == "main" or name == "main"
+    header = tag == "header" and not above.main
+    dropped = above.dropped or tag in _DROP or header or name in _DROP_ROLES - {"form"}
+    path, role = _hash(above.path, tag, label.strip()), above.role
+    roles = _ROLES if above.main or tag in _HEADINGS else _ROLES | {"header"}
+    named = bool(words & roles)
+    if not dropped and (tag == "form" or name == "form" or named and tag not in ("html", "body")):
+        around = (role.sure, role.beside) if role else (False, False)
+        role = Role(path, role, around[0] or named and any(_heads(x, roles) for x in label.split()), around[1] or bool(words & _BESIDE))
+    if article and not dropped and role and not role.beside:
+        for r in role.around():
+            r.holds, r.holds_in_role = r.holds or not role.sure, True
     # inside an article, its header keeps the headings only
     own_header = tag == "header" and above.main
-    return Element(tag, _hash(above.path, tag, label.strip()), dropped, (above.main or article) and not dropped, (above.article or inner) and not dropped, above.heading if not own_header else True)
+    return Element(tag, path, dropped, role, (above.main or article) and not dropped, (above.article or inner) and not dropped, above.heading if not own_header else True)
 
 
 def read_page(html: str) -> tuple[list[Block], Counter, Counter]:
-    """Text blocks outside dropped elements, in page order; counts of all text tokens; counts of all element tokens."""
-    stack = [Element("", 0, False, False, False, False)]
+    """Text blocks outside elements whose tags drop them, in page order; counts of all text tokens; counts of all element tokens."""
+    stack = [Element("", 0, False, None, False, False, False)]
     blocks: list[Block] = []
     texts: Counter = Counter()
     elements: Counter = Counter()
     pieces: list[str] = []
+    roles: list[Role] = []
+    clean = False
     linked, at, end = 0, 0, len(html)
 
     def flush() -> None:
@@ -122,13 +171,13 @@ def read_page(html: str) -> tuple[list[Block], Counter, Counter]:
             token = _hash("text", frame.path, text)
             texts[token] += 1
             if not top.dropped and (not top.heading or any(e.tag in _HEADINGS for e in stack)):
-                slot = next((e for e in reversed(stack) if e.tag in _SCOPES), stack[0])
-                blocks.append(Block(frame.path, slot.path, text, top.main, top.article, token, linked))
+                slot = next((stack[i] for i in range(len(stack) - 1, 0, -1) if stack[i].tag in _SCOPES or stack[i].role is not stack[i - 1].role), stack[0])
+                blocks.append(Block(frame.path, slot.path, text, top.main, top.article, token, linked, top.role))
         linked = 0
 
     def close(k: int) -> None:
         """Closes the elements from index ``k`` on."""
-        if any(e.tag in _BLOCK or e.dropped != stack[k - 1].dropped for e in stack[k:]):
+        if any(e.tag in _BLOCK or (e.dropped, e.role) != (stack[k - 1].dropped, stack[k - 1].role) for e in stack[k:]):
             flush()
         del stack[k:]
 
@@ -172,22 +221,28 @@ def read_page(html: str) -> tuple[list[Block], Counter, Counter]:
             found = re.compile(rf"</{re.escape(tag)}\s*(?:>|\Z)", re.IGNORECASE).search(html, at)
             at = found.end() if found else end
             continue
-        if element.dropped and not stack[-1].dropped:
+        clean = clean or element.main and not (element.role and (element.role.sure or element.role.beside))
+        if element.role is not stack[-1].role:
+            roles.append(element.role)
+        if element.dropped and not stack[-1].dropped or element.role is not stack[-1].role:
             flush()
         if not mark[3].rstrip().endswith("/") or tag in _BLOCK:
             stack.append(element)
     flush()
+    for r in roles:
+        r.holds = r.holds or r.holds_in_role and not clean
     if not any(b.body for b in blocks):  # a main element without an article is the article
         for b in blocks:
             b.body = b.main
     return blocks, texts, elements
 
 
-def main_text(html: str | None, template: set[int] = frozenset(), slot: int | None = None) -> str:
-    """The main text of one page, given its host's template tokens and richest slot."""
+def main_text(html: str | None, template: set[int] = frozenset(), slot: int | None = None, holders: set[int] = frozenset()) -> str:
+    """The main text of one page, given its host's template tokens, richest slot and role elements that hold the richest slots."""
     if not html:
         return ""
     blocks, _, _ = read_page(html)
+    blocks = [b for b in blocks if not b.role or all(r.holds or r.path in holders for r in b.role.around())] or blocks
     chosen = [b for b in blocks if b.main]
     if not chosen:
         chosen = [b for b in blocks if 2 * b.linked <= len(b.text)]
@@ -200,21 +255,27 @@ def main_text(html: str | None, template: set[int] = frozenset(), slot: int | No
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, token, kind, page, n): kind 0 for texts, 1 for elements, 2 for slots, whose n is their characters."""
+    """(host, token, kind, page, n, holders): kind 0 for texts, 1 for elements; 2 for slots, whose n is their characters and
+    whose holders are the role elements around, 3 for those in articles, 4 for those that are sure roles themselves or beside the article."""
     for batch in batches:
-        rows: list[tuple[int, int, int, int]] = []
+        rows: list[tuple[int, int, int, int, list[int] | None]] = []
         for i, html in enumerate(batch.column("html").to_pylist()):
             if not html:
                 continue
             blocks, texts, elements = read_page(html)
             slots: Counter = Counter()
+            holders: dict[int, list[int]] = {}
             for b in blocks:
-                if not b.main and 2 * b.linked <= len(b.text):
-                    slots[b.slot] += len(b.text)
-            rows += [(i, t, kind, n) for kind, tokens in enumerate((texts, elements)) for t, n in tokens.items()]
-            rows += [(i, s, 2, n) for s, n in slots.items()]
+                sure = b.role is not None and b.role.sure
+                if not (b.main and sure) and 2 * b.linked <= len(b.text):
+                    slots[b.slot, 3 if b.main else 4 if sure and (b.role.beside or b.role.path == b.slot) else 2] += len(b.text)
+                    if b.role:
+                        holders[b.slot] = [r.path for r in b.role.around()]
+            rows += [(i, t, kind, n, None) for kind, tokens in enumerate((texts, elements)) for t, n in tokens.items()]
+            rows += [(i, s, kind, n, holders.get(s)) for (s, kind), n in slots.items()]
         at, token, kind, n = (pa.array([r[k] for r in rows], pa.int64()) for k in range(4))
-        yield pa.RecordBatch.from_arrays([batch.column("host").take(at), token, kind, batch.column("page").take(at), n], names=["host", "token", "kind", "page", "n"])
+        yield pa.RecordBatch.from_arrays([batch.column("host").take(at), token, kind, batch.column("page").take(at), n, pa.array([r[4] for r in rows], pa.list_(pa.int64()))],
+                                         names=["host", "token", "kind", "page", "n", "holders"])
 
 
 def host_of(url: str):
@@ -222,29 +283,35 @@ def host_of(url: str):
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, template, slot): the tokens of a host's valid classes and its richest slot. ``pages``: host, page (a hash), html."""
+    """(host, template, slot, holders): the tokens of a host's valid classes, its richest slot outside articles, and the
+    role elements around that and around the richest slot in articles. ``pages``: host, page (a hash), html."""
     python_tasks(pages.sparkSession)
-    rows = pages.select("host", "page", "html").mapInArrow(_tokens, "host string, token bigint, kind bigint, page bigint, n bigint")
+    rows = pages.select("host", "page", "html").mapInArrow(_tokens, "host string, token bigint, kind bigint, page bigint, n bigint, holders array<bigint>")
     vectors = stored(rows.groupBy("host", "token", "kind").agg(
-        F.count(F.lit(1)).alias("pages"), F.sum("n").alias("total"), F.sum(F.xxhash64("page", "n").cast("decimal(20,0)")).alias("vector")).filter((F.col("pages") >= min_pages) | (F.col("kind") == 2)))
+        F.count(F.lit(1)).alias("pages"), F.sum("n").alias("total"), F.sum(F.xxhash64("page", "n").cast("decimal(20,0)")).alias("vector"), F.max("holders").alias("holders"))
+                     .filter((F.col("pages") >= min_pages) | (F.col("kind") >= 2)))
     sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
     classes = (vectors.filter("kind < 2").join(sizes, "host").filter(2 * F.col("pages") >= F.col("of"))
                .groupBy("host", "pages", "total", "vector").agg(F.collect_set("token").alias("tokens"), F.max("kind").alias("structured")).filter("structured = 1"))
     tokens = classes.select("host", F.explode("tokens").alias("token")).groupBy("host").agg(F.sort_array(F.collect_set("token")).alias("template"))
-    slots = vectors.filter("kind = 2").groupBy("host").agg(F.max_by("token", F.struct("total", "token")).alias("slot"))
-    return tokens.join(slots, "host", "full").select("host", "template", "slot")
+    best = lambda kind: F.max_by(F.struct("token", "holders"), F.when(F.col("kind") == kind, F.struct("total", "token"))).alias(f"k{kind}")
+    none = F.array().cast("array<bigint>")
+    slots = (vectors.filter("kind >= 2").groupBy("host").agg(best(2), best(3), best(4))
+             .withColumn("k2", F.when(F.col("k2").isNull() & F.col("k3").isNull(), F.col("k4")).otherwise(F.col("k2")))
+             .select("host", F.col("k2.token").alias("slot"), F.array_union(F.coalesce("k2.holders", none), F.coalesce("k3.holders", none)).alias("holders")))
+    return tokens.join(slots, "host", "full").select("host", "template", "slot", "holders")
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sets: dict[str, set[int]] = {}
+    sets: dict[str, tuple[set[int], set[int]]] = {}
     for batch in batches:
         out = []
-        for html, host, template, slot in zip(*(batch.column(c).to_pylist() for c in ("html", "host", "template", "slot"))):
+        for html, host, template, slot, holders in zip(*(batch.column(c).to_pylist() for c in ("html", "host", "template", "slot", "holders"))):
             if host not in sets:
                 if len(sets) > 1000:
                     sets.clear()
-                sets[host] = set(template or ())
-            out.append(main_text(html, sets[host], slot))
+                sets[host] = set(template or ()), set(holders or ())
+            out.append(main_text(html, sets[host][0], slot, sets[host][1]))
         yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(out, pa.string())], names=["_row", "_main"])
 
 
@@ -255,7 +322,7 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", columns: lis
     rows = pages.select(F.struct(*columns).alias("_row"), host_of(url).alias("host"), F.xxhash64(F.col(url), F.md5(F.col(html).cast("binary"))).alias("page"), F.col(html).alias("html"))
     known = stored(templates(rows, min_pages))
     row = pages.select(*columns).schema.simpleString()[len("struct<"):-1]
-    return rows.drop("page").join(known, "host", "left").select("_row", "html", "host", "template", "slot").mapInArrow(_extract, f"_row struct<{row}>, _main string")
+    return rows.drop("page").join(known, "host", "left").select("_row", "html", "host", "template", "slot", "holders").mapInArrow(_extract, f"_row struct<{row}>, _main string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

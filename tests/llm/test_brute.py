@@ -265,3 +265,25 @@ def test_main_text_keeps_what_articles_share(spark, mark):
     for r in extract(pages).collect():
         k = r._row.page_id
         assert r._main.split("\n") == [f"Part {k}", "This series tells the story.", *(["Said by half of them."] if k % 2 else []), f"Own words {k}."]
+
+
+@pytest.mark.parametrize("wrapper", ["div class='layout has-sidebar'", "div class='elementor-widget-text-editor'", "div id='search-result'", "form action='x.aspx'", "div class='page-header-wrap'", "section role=form", "div class=sidebar"])
+@pytest.mark.parametrize("marked", [True, False])
+def test_main_text_in_a_wrapper_named_like_a_role(spark, wrapper, marked):
+    """A role word or form around the article doesn't drop it; the parts that do have the role still go."""
+    from tessera.llm.html_text import extract
+    opened, closed = ("<article>", "</article>") if marked else ("<div class=body>", "</div>")
+    page = (f"<body><div class='top-menu'><a href=/>Home</a></div><{wrapper}>{opened}<h1>Title {{0}}</h1><p>A story {{0}} that goes on for long enough to be the richest.</p>"
+            f"<div class=ad>Buy {{0}}</div>{closed}</{wrapper.split()[0]}><div class=comments><article class=comment><p>I agree {{0}}</p></article></div><form>Subscribe {{0}}</form></body>")
+    pages = spark.createDataFrame([(k, f"http://h/{k}", page.format(k)) for k in range(8)], "page_id bigint, url string, html string")
+    for r in extract(pages).collect():
+        k = r._row.page_id
+        assert r._main == f"Title {k}\nA story {k} that goes on for long enough to be the richest."
+
+
+def test_main_text_of_one_page_in_roles():
+    from tessera.llm.html_text import main_text
+    assert main_text("<form><div class='sidebar'><p>All there is.</p></div></form>") == "All there is."
+    assert main_text("<article class='post no-sidebar'><p>Text.</p><div class='share'>Share</div></article>") == "Text."
+    assert main_text("<article><p>Text.</p></article><div class='related'><article><p>Other.</p></article></div>") == "Text."
+    assert main_text("<div class=sidebar><article><p>Text.</p></article></div><p>Tag line</p>") == "Text."
