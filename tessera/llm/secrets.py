@@ -2,8 +2,9 @@
 
 Base spans come from three patterns. The method then reads source and configuration
 syntax: a lexer splits a text into assignments (``name = value``, ``"name": value``,
-``name => value``), whose value is a chain of quoted literals, bare words and names
-joined by ``+``. Names assigned earlier in the text stand for their literals, so a
+``name => value``, ``name: type = value``, ``entry["name"] = value``), whose value is a
+chain of literals (quoted, triple-quoted, prefixed), bare words and names joined by ``+``;
+triple-quoted and prefixed literals are read for statements inside as well. Names assigned earlier in the text stand for their literals, so a
 literal is found where it is written even if a sensitive name takes it through other
 constants. A literal is reported when the score of the target name times the score of
 the whole value reaches ``THRESHOLD``.
@@ -44,8 +45,20 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 #: Hex digits to one mark, all else to another: a run of marks shows whether the pattern can match at all.
 _HEX_MARKS = bytes(120 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 
-_STATEMENT = re.compile(r"""(["']?)([A-Za-z_][A-Za-z0-9_.\-]*)\1[ \t]*(?::=|=>|:|=(?!=))[ \t]*""", re.ASCII)
-_PIECE = re.compile(r""""((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([^\s"',;(){}\[\]+]+)""")
+_PREFIX = r"""(?:(?i:[rbuf]|rb|br|fr|rf|u8)|(?:[A-Za-z]{1,2}|[@$]{1,2})(?=["'][^"'\s]*["'])|b?r\#+)"""
+#: A type between a name and its value: dotted names with arguments, optional marks and alternatives.
+_TYPE = r"""[&*?]?(?:'[a-z]+[ \t]+)?(?:mut[ \t]+)?[A-Za-z_](?:[A-Za-z0-9_.\-]|::)*(?:\[(?:[^\[\]\n=]|\[[^\[\]\n=]*\])*\]|<(?:[^<>\n=]|<[^<>\n=]*>)*>)*[?!]?"""
+_STATEMENT = re.compile(rf"""
+    (?:(?P<quote>["'])(?P<quoted>[A-Za-z_][A-Za-z0-9_.\-]*)(?P=quote)(?P<entry>[ \t]*\])?|(?P<plain>[A-Za-z_][A-Za-z0-9_.\-]*))[ \t]*
+    (?::[ \t]*(?P<type>{_TYPE}(?:[ \t]*\|[ \t]*{_TYPE})*)[ \t]*=(?![=>])|:=|=>|(?P<colon>:)|=(?!=))
+    (?(entry)(?(colon)(?=[ \t]*{_PREFIX}?["'])))[ \t]*""", re.ASCII | re.VERBOSE)
+_PIECE = re.compile(rf"""
+    (?P<prefix>{_PREFIX})?(?:
+        "{{3}}(?P<triple>[^"\\]*(?:(?:\\.|"(?!""))[^"\\]*)*)"{{3}}|'{{3}}(?P<triple1>[^'\\]*(?:(?:\\.|'(?!''))[^'\\]*)*)'{{3}}|
+        "(?P<double>(?:[^"\\\n]|\\[^\n])*)"|'(?P<single>(?:[^'\\\n]|\\[^\n])*)')
+    |(?P<bare>[^\s"',;(){{}}\[\]+]+)""", re.DOTALL | re.VERBOSE)
+#: What a value in quotes that is an annotation is followed by.
+_ANNOTATED = re.compile(r"[ \t]*=(?![=>])[ \t]*")
 _JOIN = re.compile(r"[ \t]*\+[ \t]*(?:\n[ \t]*)?")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.\-]*", re.ASCII)
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+", re.ASCII)
@@ -139,6 +152,7 @@ class Constant:
     """A name's value as one statement gave it: (start, end, text, quoted) literals and the constants it joins, in order."""
     parts: list[tuple[int, int, str, bool] | Constant]
     value: Value | None = None
+    names: int = 0
 
     def known_value(self) -> Value:
         """Constants that join others get theirs at their statement, so this never descends further than one."""
@@ -147,41 +161,66 @@ class Constant:
         return self.value
 
 
+def _value(text: str, at: int, stop: int, known: dict[str, Constant]) -> tuple[Constant, list[tuple[int, int]], int]:
+    """The value written at ``at``; the insides of its triple-quoted and prefixed literals, which may hold statements; its end."""
+    constant, inside = Constant([]), []
+    while piece := _PIECE.match(text, at, stop):
+        bare = piece["bare"]
+        if bare is not None and _STATEMENT.match(text, at, stop) and constant.parts == []:
+            break  # the value is itself a statement, as in a nested mapping
+        at = piece.end()
+        if bare is not None and _NAME.fullmatch(bare.rstrip(".")) and bare.rstrip(".") in known:
+            constant.parts.append(known[bare.rstrip(".")])
+        else:
+            k = piece.lastgroup
+            constant.parts.append((*piece.span(k), piece[k], bare is None))
+            if piece["prefix"] or k in ("triple", "triple1"):
+                inside.append(piece.span(k))
+        if not (join := _JOIN.match(text, at, stop)):
+            break
+        at = join.end()
+    return constant, inside, at
+
+
 def literal_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int, str, float]]:
     """(start, end, target name, score) of literals that reach a sensitive name, directly or through constants."""
     if "=" not in text and ":" not in text:
         return []
     known: dict[str, Constant] = {}
     targets: list[tuple[float, str, Constant]] = []
-    at = 0
-    while statement := _STATEMENT.search(text, at):
-        name, at = statement[2], statement.end()
-        constant, joins = Constant([]), False
-        while piece := _PIECE.match(text, at):
-            bare = piece[3]
-            if bare is not None and _STATEMENT.match(text, at) and constant.parts == []:
-                break  # the value is itself a statement, as in a nested mapping
-            at = piece.end()
-            if bare is not None and _NAME.fullmatch(bare.rstrip(".")) and bare.rstrip(".") in known:
-                constant.parts.append(known[bare.rstrip(".")])
-                joins = True
-            else:
-                k = 3 if bare is not None else 1 if piece[1] is not None else 2
-                constant.parts.append((*piece.span(k), piece[k], bare is None))
-            if not (join := _JOIN.match(text, at)):
-                break
-            at = join.end()
-        if not constant.parts:
+    ranges = [(0, len(text))]
+    while ranges:
+        at, stop = ranges.pop()
+        if not (statement := _STATEMENT.search(text, at, stop)):
             continue
-        if joins:
-            constant.known_value()
-        if name in known:
-            known[name].value = None  # no later statement can join it by this name
-        known[name] = constant
-        if weight := name_score(name):
-            score = weight * value_score(constant.known_value())
-            if score >= threshold:
-                targets.append((score, name, constant))
+        names = [statement["quoted"] or statement["plain"]]
+        if statement["type"] and _NAME.fullmatch(statement["type"]):
+            names.append(statement["type"])  # a mapping to a statement is written the same way
+        constant, inside, at = _value(text, statement.end(), stop, known)
+        values = [constant]
+        if statement["colon"] and text[at - 1] in "\"'" and len(constant.parts) == 1 and (sign := _ANNOTATED.match(text, at, stop)):
+            constant, more, at = _value(text, sign.end(), stop, known)
+            values, inside = [*values, constant], inside + more
+        ranges.append((at, stop))
+        ranges += reversed(inside)
+        for constant in values:
+            if not constant.parts:
+                continue
+            if any(isinstance(p, Constant) for p in constant.parts):
+                constant.known_value()
+            if not statement["entry"]:  # an entry is no constant of that name
+                for name in names:
+                    if before := known.get(name):
+                        before.names -= 1
+                        if not before.names:
+                            before.value = None  # no later statement can join it
+                    known[name] = constant
+                    constant.names += 1
+            name = max(names, key=name_score)
+            if weight := name_score(name):
+                score = weight * value_score(constant.known_value())
+                if score >= threshold:
+                    targets.append((score, name, constant))
     found: dict[tuple[int, int], tuple[str, float]] = {}
     seen: set[int] = set()
     for score, name, constant in sorted(targets, key=lambda t: -t[0]):

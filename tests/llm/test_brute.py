@@ -210,10 +210,30 @@ def test_secrets_of_long_constants():
     # doubled constants: a value of 2 ** 3000 times 8 characters
     assert lit("a0 = 'aB3dE5gH'\n" + "".join(f"a{k + 1} = a{k} + a{k}\n" for k in range(3000)) + "pwd = a3000") == ["aB3dE5gH"]
     assert lit("a = 'x'\n" + "a = a + a\n" * 3000 + "pwd = a") == []
+    # constants of two names
+    assert len(lit("str = 'aB3dE5gH'\n" + "".join(f"a{k}: str = str + 'x{k}'\n" for k in range(3000)) + "pwd = a2990")) == 2992
     # a version is the one at the point of use
     assert lit("a = 'aB3dE5gH'\nb = a + '7'\na = 'other1Value'\npwd = b") == ["aB3dE5gH", "7"]
 
 
+@pytest.mark.parametrize("text, name", [
+    ('config["db_passphrase"] = "{}"', "db_passphrase"), ("os.environ['STORAGE_KEY'] = '{}'", "STORAGE_KEY"), ('$c["credential" ] => "{}"', "credential"), ('x = {["pwd"]: "{}"}', "pwd"),
+    ('passphrase: str = "{}"', "passphrase"), ('pwd: Optional[str] = "{}"', "pwd"), ("const credential: string = '{}';", "credential"), ('pwd: dict[str, list[int]] | None = "{}"', "pwd"),
+    ("let pwd: &'static str = \"{}\";", "pwd"), ('pwd: "str" = "{}"', "pwd"), ('db: pwd = "{}"', "pwd"), ('d["pwd"]: str = "{}"', "pwd"), ("pwd: Map<String, List<Int>> = '{}'", "pwd"),
+    ('pwd = b"{}"', "pwd"), ("pwd = r'{}'", "pwd"), ('pwd = Rb"{}"', "pwd"), ('pwd = @"{}"', "pwd"), ("pwd = N'{}'", "pwd"), ('pwd = r#"{}"#', "pwd"), ('a = b"{}"\npwd = a', "pwd"),
+    ('pwd = """{}"""', "pwd"), ("pwd = '''{}'''", "pwd"), ('pwd: bytes = rb"""{}"""', "pwd"), ('text = """\npwd = "{}"\n"""', "pwd"), ("q = b'pwd: {}'", "pwd"), ('pwd = """a""" + "{}"', "pwd"),
+    ("note: it's pwd = '{}'", "pwd"), ("base = '{}'\nd['base'] = 'other'\npwd = base", "pwd"),
+])
+def test_secrets_in_source_forms(text, name):
+    text = text.replace("{}", "aB3dE5gH7")
+    assert ("aB3dE5gH7", name) in [(text[a:b], n) for a, b, n, _ in secrets.literal_spans(text)]
+
+
+def test_secrets_not_in_source_forms():
+    for text in ('if d["pwd"]: connect2Server(x)', 'color: str = b"aB3dE5gH7"', 'd["color"] = """aB3dE5gH7"""', 'pwd == "aB3dE5gH7"', "d['pwd'] == 'aB3dE5gH7'"):
+        assert secrets.literal_spans(text) == []
+
+
 def test_secret_values_add_up():
     """The score of joined values is the score of the joined text."""
     rng = np.random.default_rng(3)
