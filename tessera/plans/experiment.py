@@ -159,8 +159,11 @@ def cross_validation_stability(key: str, params: dict, fs: FeatureSet, k: int =
     return fs.df.sparkSession.createDataFrame(rows, out.schema)
 
 
-def run_experiment(prep: DataFrame, cfg: PrepConfig | None = None, tree_keys=("decision_tree", "random_forest",
-                   "adaboost", "gradient_boosting", "xgboost", "lightgbm"), linear_keys=("logistic_regression",),
+#: The tree families that the reference's experiment tunes.
+EXPERIMENT_TREE_KEYS = ("decision_tree", "random_forest", "adaboost", "gradient_boosting", "xgboost", "lightgbm")
+
+
+def run_experiment(prep: DataFrame, cfg: PrepConfig | None = None, tree_keys=EXPERIMENT_TREE_KEYS, linear_keys=("logistic_regression",),
                    n_iter: int = 10, k: int = 3, grids: dict | None = None, ensemble_keys=("logistic_regression",
                    "lightgbm", "random_forest"), stack_folds: int = 5, choose_on: str = "val",
                    parallelism: int = 4, deep: bool = True) -> dict:

@@ -20,7 +20,7 @@ from ..operators import explain as X
 from ..operators import metrics as M
 from ..operators import ordinal as O
 from ..operators import profile as P
-from ..operators.models import DEFAULT_PARAMS
+from ..operators.models import DEFAULT_PARAMS, LINEAR_KEYS
 from ..operators.outliers import dbscan_flags
 from ..sources.fixtures import WIDE_MARRIED, customer_wide, scored_models, wide
 from . import experiment as XP
@@ -588,30 +588,27 @@ def q_booster_presets(spark, sf_dir):
     return out
 
 
-_SMALL_GRIDS = {"random_forest": {"n_estimators": [20, 50], "max_depth": [5, 10], "min_samples_leaf": [5],
-                                  "max_features": ["sqrt"], "bootstrap": [True]}}
-
-
 @register("tuning_search")
 def q_tuning_search(spark, sf_dir):
+    """H1 over every family of the experiment, each with its whole grid."""
     from ..operators.tuning import random_search
-    fs = feature_set(spark, sf_dir)
-    s = random_search("logistic_regression", fs.df.filter(F.col("split") == "train"), n_iter=10, k=3, refit=False)
-    return s.results
+    train = feature_set(spark, sf_dir).df.filter(F.col("split") == "train")
+    out = None
+    for key in XP.EXPERIMENT_TREE_KEYS + LINEAR_KEYS:
+        results = random_search(key, train, n_iter=10, k=3, refit=False).results
+        out = results if out is None else out.unionByName(results)
+    return out
 
 
 @register("n_trees_curve")
 def q_n_trees_curve(spark, sf_dir):
     from ..operators.tuning import n_estimators_curve, random_search
     fs = feature_set(spark, sf_dir)
-    s = random_search("random_forest", fs.df.filter(F.col("split") == "train"), _SMALL_GRIDS["random_forest"],
-                      n_iter=4, k=3, refit=False)
+    s = random_search("random_forest", fs.df.filter(F.col("split") == "train"), n_iter=10, k=3, refit=False)
     return n_estimators_curve(s)
 
 
-_TOP3 = {"logistic_regression": ("logistic_regression", DEFAULT_PARAMS["logistic_regression"]),
-         "lightgbm": ("lightgbm", {"n_estimators": 50, "learning_rate": 0.1}),
-         "random_forest": ("random_forest", {"n_estimators": 50, "max_depth": 10})}
+_TOP3 = {k: (k, DEFAULT_PARAMS[k]) for k in ("logistic_regression", "lightgbm", "random_forest")}
 
 
 @register("blending")
@@ -654,15 +651,9 @@ def q_attribution(spark, sf_dir):
 
 @register("experiment_run")
 def q_experiment_run(spark, sf_dir):
-    """§3.1 end to end on the whole `wide` table (small search grids): the
+    """§3.1 end to end on the whole `wide` table with the whole grids: the
     test leaderboard of every family and both ensembles."""
-    grids = {"decision_tree": {"max_depth": [5, 10], "min_samples_leaf": [2], "criterion": ["gini"]},
-             "random_forest": _SMALL_GRIDS["random_forest"],
-             "lightgbm": {"n_estimators": [30], "learning_rate": [0.1], "num_leaves": [31],
-                          "feature_fraction": [0.8]}}
-    res = XP.run_experiment(prepared(spark, sf_dir), WIDE_CFG, tree_keys=("decision_tree", "random_forest",
-                            "lightgbm"), n_iter=2, k=3, grids=grids, stack_folds=3, deep=False)
-    return res["test_leaderboard"]
+    return XP.run_experiment(prepared(spark, sf_dir), WIDE_CFG)["test_leaderboard"]
 
 
 @register("sample_by_split", "WITH " + S.WIDE + f"""

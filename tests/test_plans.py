@@ -20,3 +20,31 @@ def test_flagship_class_lookup_is_broadcast(spark):
     df.count()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan        # the class lookup is a broadcast of a 2-row table
+
+
+def test_model_queries_run_the_whole_job(monkeypatch):
+    """All families, whole grids, presets and the defaults of the experiment."""
+    from types import SimpleNamespace
+    from unittest.mock import MagicMock
+
+    from tessera.operators import ensemble, tuning
+    from tessera.operators.models import DEFAULT_PARAMS
+    from tessera.plans import queries as Q
+
+    searched, trained, ran = [], [], []
+    monkeypatch.setattr(Q, "feature_set", lambda *a: MagicMock())
+    monkeypatch.setattr(Q, "prepared", lambda *a: "prepared")
+    monkeypatch.setattr(Q, "F", MagicMock())
+    monkeypatch.setattr(tuning, "random_search", lambda key, train, grid=None, n_iter=10, k=3, refit=True: searched.append((key, grid, n_iter, k)) or SimpleNamespace(results=MagicMock()))
+    monkeypatch.setattr(tuning, "n_estimators_curve", lambda s: s)
+    monkeypatch.setattr(Q.XP, "train_model", lambda key, params, fs, name=None: trained.append((key, params)))
+    monkeypatch.setattr(Q.XP, "predictions", lambda *a: None)
+    monkeypatch.setattr(Q.XP, "run_experiment", lambda *a, **b: ran.append((a, b)) or {"test_leaderboard": None})
+    monkeypatch.setattr(ensemble, "Blending", MagicMock())
+    monkeypatch.setattr(ensemble, "Stacking", lambda bases, n_splits: trained.extend(bases.values()) or MagicMock())
+    for name in ("tuning_search", "n_trees_curve", "blending", "stacking", "experiment_run"):
+        Q.QUERIES[name](None, None)
+    families = ["decision_tree", "random_forest", "adaboost", "gradient_boosting", "xgboost", "lightgbm", "logistic_regression"]
+    assert searched == [(k, None, 10, 3) for k in [*families, "random_forest"]]
+    assert trained == 2 * [(k, DEFAULT_PARAMS[k]) for k in ("logistic_regression", "lightgbm", "random_forest")]
+    assert ran == [(("prepared", Q.WIDE_CFG), {})]
