@@ -22,8 +22,10 @@ def add_custom_features(df: DataFrame, married_values: Sequence[str] = MARRIED_V
 
     All expressions are fused by Catalyst into a single projection.
     """
-    age, edu = F.col("age"), F.col("education_num")
-    hours, gain, loss = F.col("hours_per_week"), F.col("capital_gain"), F.col("capital_loss")
+    types = dict(df.dtypes)
+    # narrowed integers would overflow in products and differences
+    age, edu, hours, gain, loss = (F.col(c).cast("bigint") if types[c] in ("tinyint", "smallint") else F.col(c) for c in
+                                   ("age", "education_num", "hours_per_week", "capital_gain", "capital_loss"))
     net = gain - loss
     cols = {
         "edu_age_inter": edu * age,

@@ -1,7 +1,7 @@
 """The reference's preprocessing run as one lazily planned job.
 
 Order kept from the reference: target encoded first, imputation on all rows,
-optional density-outlier filter, optional cluster feature, custom features,
+optional type narrowing, optional density-outlier filter, optional cluster feature, custom features,
 split, then encoders fitted on the train split only.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import nan_string, numeric_columns, string_columns
 from ..functions.features import MARRIED_VALUES, add_custom_features
-from ..operators.clean import apply_imputer, fill_values, replace_sentinel
+from ..operators.clean import apply_imputer, fill_values, reduce_mem_usage, replace_sentinel
 from ..operators.ordinal import split_assign
 from ..session import stored
 
@@ -25,6 +25,7 @@ class PrepConfig:
     id_col: str = "row_id"
     seed: int = 42
     married_values: tuple = MARRIED_VALUES
+    narrow: bool = False
     outliers: bool = False
     outlier_eps: float = 2.5
     outlier_min_samples: int = 3
@@ -36,7 +37,7 @@ class PrepConfig:
 
 
 def clean_and_engineer(df: DataFrame, cfg: PrepConfig) -> DataFrame:
-    """Encode target, impute, (outliers), (clusters), custom features, split.
+    """Encode target, impute, (narrow types), (outliers), (clusters), custom features, split.
 
     With ``materialize`` the input is written once as Parquet to the shared
     folder: the fits below (target classes, fill values, later encoders) each
@@ -46,10 +47,14 @@ def clean_and_engineer(df: DataFrame, cfg: PrepConfig) -> DataFrame:
     if cfg.materialize:
         df = stored(df)
     df = fit_and_encode(df, cfg)
+    if cfg.narrow:
+        df, _ = reduce_mem_usage(df, (cfg.id_col,))
     if cfg.outliers:
         from ..operators.outliers import dbscan_filter
         df = dbscan_filter(df, numeric_columns(df, (cfg.id_col,)), cfg.outlier_eps,
                            cfg.outlier_min_samples, id_col=cfg.id_col)
+        if cfg.materialize:
+            df = stored(df)  # the cluster fits and what reads the result don't filter again
     if cfg.clusters:
         from ..operators.cluster import add_clustering_features
         df = add_clustering_features(df, cfg.n_clusters, id_col=cfg.id_col, seed=cfg.seed)

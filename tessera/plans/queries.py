@@ -41,6 +41,7 @@ def register(name: str, oracle: str | None = None):
 
 
 WIDE_CFG = PrepConfig(married_values=WIDE_MARRIED)
+PREP_CFG = PrepConfig(married_values=WIDE_MARRIED, narrow=True, outliers=True, clusters=True)
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +58,13 @@ def q_flagship(spark, sf_dir):
     return flagship(wide(spark, sf_dir), WIDE_CFG)
 
 
+@register("pipeline_prep")
+def q_pipeline_prep(spark, sf_dir):
+    """§3.2 with every stage, in the reference's order: target, imputation,
+    narrowed types, density filter, cluster feature, custom features, split."""
+    return clean_and_engineer(wide(spark, sf_dir), PREP_CFG)
+
+
 # ---------------------------------------------------------------- frames
 
 PREP_SKIP = ("row_id", "label", "split")

@@ -48,3 +48,24 @@ def test_model_queries_run_the_whole_job(monkeypatch):
     assert searched == [(k, None, 10, 3) for k in [*families, "random_forest"]]
     assert trained == 2 * [(k, DEFAULT_PARAMS[k]) for k in ("logistic_regression", "lightgbm", "random_forest")]
     assert ran == [(("prepared", Q.WIDE_CFG), {})]
+
+
+def test_pipeline_prep_runs_every_stage(spark):
+    """The rows that the density filter keeps, narrowed, with a cluster of five, features and a split."""
+    got = E.queries()["pipeline_prep"](spark, SF_SMALL)
+    types = dict(got.dtypes)
+    assert types["age"] in ("tinyint", "float") and types["label"] == "tinyint"
+    rows = got.select("row_id", "cluster_feature", "split", "net_capital_log").collect()
+    kept = E.queries()["outlier_filter"](spark, SF_SMALL).select("row_id").collect()
+    assert sorted(r.row_id for r in rows) == sorted(r.row_id for r in kept)
+    assert {r.cluster_feature for r in rows} == set(range(5)) and {r.split for r in rows} == {"train", "val", "test"}
+    from tessera.plans.queries import prepared
+    plain = {r.row_id: r.net_capital_log for r in prepared(spark, SF_SMALL).select("row_id", "net_capital_log").collect()}
+    assert all(abs(r.net_capital_log - plain[r.row_id]) < 1e-4 for r in rows)
+
+
+def test_features_of_narrowed_columns(spark):
+    from tessera.functions.features import add_custom_features
+    df = spark.sql("SELECT 90Y AS age, 16Y AS education_num, 99Y AS hours_per_week, 32000S AS capital_gain, -32000S AS capital_loss, 'x' AS marital_status")
+    r = add_custom_features(df).first()
+    assert (r.edu_age_inter, r.work_hours_edu, r.net_capital) == (1440, 1584, 64000)
