@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, html_text, line_dedup, mixing, ppm, quality, secrets, simhash, substrings, warc
+from tessera.llm import conversations, decontaminate, html_text, line_dedup, mixing, ppm, quality, secrets, simhash, substrings, toxicity, warc, whitening
 
 QUERIES = {
     "op1_ppm_scoring": ppm.query,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_simhash": simhash.query,
     "op9_secret_scan": secrets.query,
     "op10_decontamination": decontaminate.query,
+    "op11_toxicity": toxicity.query,
+    "op12_whitening": whitening.query,
+    "op13_conversation_repair": conversations.query,
 }
 
 ORACLE = {
