@@ -19,6 +19,8 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomFor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .boosting import Booster, fit_many
+
 TREE_FEATURES = "features_tree"
 LINEAR_FEATURES = "features_linear"
 SEED = 42
@@ -135,10 +137,10 @@ def build_adaboost(task="classification", name="adaboost", **p):
                     learning_rate=float(p.get("learning_rate", 1.0)), featuresCol=TREE_FEATURES, name=name)
 
 
-def _gbt(task, name, iters, rate, depth, subsample=1.0, min_leaf=1, feature_subset="all"):
+def _gbt(task, name, iters, rate, depth, subsample=1.0, min_leaf=1):
     kw = dict(featuresCol=TREE_FEATURES, labelCol="label", maxIter=int(iters), stepSize=float(rate),
               maxDepth=_depth(depth), subsamplingRate=float(subsample), minInstancesPerNode=_leaf(min_leaf),
-              featureSubsetStrategy=feature_subset, seed=SEED, **BOOST_TUNING)
+              seed=SEED, **BOOST_TUNING)
     est = GBTClassifier(**kw) if task == "classification" else GBTRegressor(**kw)
     return _out(est, name)
 
@@ -149,27 +151,38 @@ def build_gradient_boosting(task="classification", name="gradient_boosting", **p
                 p.get("subsample", 1.0), math.ceil(p.get("min_samples_split", 2) / 2))
 
 
-def _fraction(v):
-    return "all" if v is None or float(v) >= 1.0 else str(float(v))
+#: The presets that grow by histograms (``boosting``), each with its own growth and parameters.
+PRESET_KEYS = ("xgboost", "lightgbm", "catboost")
+
+
+def booster(key: str, params: dict, fold: int | None = None, patience: int | None = None) -> Booster:
+    """M6: a preset's parameters; what is not given has the default of the library it stands for."""
+    p = params
+    if key == "xgboost":
+        return Booster(int(p.get("n_estimators", 100)), float(p.get("learning_rate", 0.3)), "depth", depth=int(p.get("max_depth", 6)), l2=1.0, least_hessian=1.0,
+                       rows=float(p.get("subsample", 1.0)), columns=float(p.get("colsample_bytree", 1.0)), patience=patience, fold=fold, seed=SEED)
+    if key == "lightgbm":
+        return Booster(int(p.get("n_estimators", 100)), float(p.get("learning_rate", 0.1)), "leaf", leaves=int(p.get("num_leaves", 31)), least_rows=20,
+                       columns=float(p.get("feature_fraction", 1.0)), patience=patience, fold=fold, seed=SEED)
+    return Booster(int(p.get("iterations", 100)), float(p.get("learning_rate", 0.03)), "symmetric", depth=int(p.get("depth", 6)), l2=float(p.get("l2_leaf_reg", 3.0)),
+                   least_hessian=0.0, least_rows=0, patience=patience, fold=fold, seed=SEED)
 
 
-def build_xgboost(task="classification", name="xgboost", **p):
-    """M6 preset: depth-wise boosting; column sampling per node, not per tree."""
-    return _gbt(task, name, p.get("n_estimators", 100), p.get("learning_rate", 0.3), p.get("max_depth", 6),
-                p.get("subsample", 1.0), 1, _fraction(p.get("colsample_bytree")))
+class HistogramBooster:
+    """An estimator of one preset."""
 
+    def __init__(self, key: str, task: str, name: str, params: dict):
+        self.key, self.task, self.name, self.params = key, task, name, params
 
-def build_lightgbm(task="classification", name="lightgbm", **p):
-    """M6 preset: ``num_leaves`` mapped to depth ceil(log2(leaves))."""
-    depth = math.ceil(math.log2(p.get("num_leaves", 31)))
-    return _gbt(task, name, p.get("n_estimators", 100), p.get("learning_rate", 0.1), depth, 1.0, 1,
-                _fraction(p.get("feature_fraction")))
+    def fit(self, df: DataFrame):
+        return fit_many(df, [booster(self.key, self.params)], self.task, TREE_FEATURES, name=self.name)[0]
 
 
-def build_catboost(task="classification", name="catboost", **p):
-    """M6 preset: symmetric depth; ``l2_leaf_reg`` has no Spark twin (dropped)."""
-    return _gbt(task, name, p.get("iterations", 100), p.get("learning_rate", 0.03), p.get("depth", 6),
-                1.0, 1, "all")
+def _preset(key: str) -> Callable:
+    def make(task="classification", name=key, **p):
+        return HistogramBooster(key, task, name, p)
+    make.__doc__ = f"M6 preset {key}."
+    return make
 
 
 BUILDERS: dict[str, Callable] = {
@@ -178,9 +191,7 @@ BUILDERS: dict[str, Callable] = {
     "random_forest": build_random_forest,
     "adaboost": build_adaboost,
     "gradient_boosting": build_gradient_boosting,
-    "xgboost": build_xgboost,
-    "lightgbm": build_lightgbm,
-    "catboost": build_catboost,
+    **{key: _preset(key) for key in PRESET_KEYS},
 }
 
 
@@ -223,8 +234,11 @@ def first_rounds(model, n: int):
 
 
 def fit_booster(key: str, params: dict, train: DataFrame, val: DataFrame | None, task: str = "classification", name: str | None = None):
-    """M7: all rounds asked for; the families in ``PATIENCE_KEYS`` then keep the rounds that patience on the
-    validation loss would have trained to, up to the best."""
+    """M7: all rounds asked for; the families in ``PATIENCE_KEYS`` end their training when patience on the
+    validation loss is out, and keep the rounds up to the best."""
+    if key in PRESET_KEYS:
+        judged = val if key in PATIENCE_KEYS and val is not None and val.head(1) else None
+        return fit_many(train, [booster(key, params, patience=PATIENCE if judged is not None else None)], task, TREE_FEATURES, val=judged, name=name or key)[0]
     model = build(key, task, name=name or key, **params).fit(train)
     if key not in PATIENCE_KEYS or val is None or not val.head(1):
         return model

@@ -586,12 +586,15 @@ def q_booster_rounds(spark, sf_dir):
 
 @register("booster_presets")
 def q_booster_presets(spark, sf_dir):
+    """M6, M7: the three presets with their own growth and parameters, trained in the same passes."""
+    from ..operators.boosting import fit_many
+    from ..operators.models import PATIENCE, PATIENCE_KEYS, PRESET_KEYS, booster
     fs = feature_set(spark, sf_dir)
-    val = fs.df.filter(F.col("split") == "val")
+    train, val = (fs.df.filter(F.col("split") == s) for s in ("train", "val"))
+    models = fit_many(train, [booster(k, DEFAULT_PARAMS[k], patience=PATIENCE if k in PATIENCE_KEYS else None) for k in PRESET_KEYS], val=val)
     out = None
-    for key in ("xgboost", "lightgbm", "catboost"):
-        m = XP.train_model(key, DEFAULT_PARAMS[key], fs)
-        p = XP.evaluate_model(m, val, key)
+    for key, m in zip(PRESET_KEYS, models):
+        p = XP.evaluate_model(m.named(key), val, key)
         out = p if out is None else out.unionByName(p)
     return out
 

@@ -60,6 +60,7 @@ def save_model(model, path: str) -> str:
     each base model, the meta model and a manifest.
     """
     from ..operators.adaboost import AdaBoostModel
+    from ..operators.boosting import BoostedTrees
     from ..operators.ensemble import BlendingModel
     spark = SparkSession.getActiveSession()
     if isinstance(model, AdaBoostModel):
@@ -68,6 +69,11 @@ def save_model(model, path: str) -> str:
                "importances": [list(map(float, i)) for i in model.importances]}
         spark.createDataFrame([(json.dumps(doc),)], "doc string").coalesce(1).write.mode("overwrite").text(path)
         return path
+    if isinstance(model, BoostedTrees):
+        doc = {"kind": "boosted", "tables": model.tables, "base": model.base, "task": model.task, "featuresCol": model.featuresCol, "name": model.name,
+               "n_features": model.n_features, "trained": model.trained_rounds}
+        spark.createDataFrame([(json.dumps(doc),)], "doc string").coalesce(1).write.mode("overwrite").text(path)
+        return path
     if isinstance(model, BlendingModel):
         names = list(model.bases)
         for n in names:
@@ -84,8 +90,11 @@ def save_model(model, path: str) -> str:
 
 def _kind(model) -> str:
     from ..operators.adaboost import AdaBoostModel
+    from ..operators.boosting import BoostedTrees
     if isinstance(model, AdaBoostModel):
         return "adaboost"
+    if isinstance(model, BoostedTrees):
+        return "boosted"
     return f"{type(model).__module__}.{type(model).__name__}"
 
 
@@ -111,9 +120,13 @@ def load_model(path: str, kind: str | None = None):
         doc = json.loads(spark.read.text(path).first()[0])
         trees = [[tuple(n) for n in t] for t in doc["trees"]]
         return AdaBoostModel(trees, doc["alphas"], doc["task"], doc["featuresCol"], doc["name"], doc["importances"], doc.get("n_classes", 2))
+    if kind == "boosted":
+        from ..operators.boosting import BoostedTrees
+        doc = json.loads(spark.read.text(path).first()[0])
+        return BoostedTrees([[tuple(n) for n in t] for t in doc["tables"]], doc["base"], doc["task"], doc["featuresCol"], doc["name"], doc["n_features"], doc["trained"])
     if kind == "ensemble":
         doc = json.loads(spark.read.text(f"{path}/manifest").first()[0])
-        bases = {n: load_model(f"{path}/base_{n}", "adaboost" if doc["base_kinds"][n] == "adaboost" else None)
+        bases = {n: load_model(f"{path}/base_{n}", doc["base_kinds"][n] if doc["base_kinds"][n] in ("adaboost", "boosted") else None)
                  for n in doc["bases"]}
         meta = _MetaModel(LogisticRegressionModel.load(f"{path}/meta"), doc["meta_cols"])
         return BlendingModel(bases, meta, doc["name"])
