@@ -177,7 +177,7 @@ def run_experiment(prep: DataFrame, cfg: PrepConfig | None = None, tree_keys=EXP
     refits fresh estimators.
     """
     from ..operators.ensemble import Blending, Stacking
-    from ..operators.explain import feature_importance
+    from ..operators.explain import feature_importance, shapley, shapley_summary
     from ..operators.profile import mutual_info
     from ..operators.tuning import n_estimators_curve
     cfg = cfg or PrepConfig()
@@ -212,6 +212,8 @@ def run_experiment(prep: DataFrame, cfg: PrepConfig | None = None, tree_keys=EXP
     board = val_board if choose_on == "val" else test_board
     best = board.filter(F.col("rank") == 1).first()["model"]
     out["winner"] = best
+    if "lightgbm" in exps:  # the model that the reference explains
+        out["shapley"] = shapley_summary(shapley(fs.df.filter(F.col("split") == "test"), exps["lightgbm"]["model"], fs.tree_names, kind="sum"), fs.tree_names)
     if deep:
         best_exp = exps[best]
         if best in exps and "search" in best_exp:

@@ -660,6 +660,20 @@ def q_attribution(spark, sf_dir):
     return X.attribution(fs.df.filter(F.col("split") == "val"), m, fs.tree_names, kind="mean").limit(10)
 
 
+@register("shapley_additivity", "WITH " + S.WIDE + f"""
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_off FROM wide WHERE {S.split_sql('row_id')} = 'val'""")
+def q_shapley_additivity(spark, sf_dir):
+    """Base plus exact Shapley values is the tree's probability on every validation row."""
+    from pyspark.ml.functions import vector_to_array
+    fs = feature_set(spark, sf_dir)
+    m = XP.train_model("decision_tree", {"max_depth": 10, "min_samples_leaf": 2}, fs)
+    val = fs.df.filter(F.col("split") == "val")
+    values = X.shapley(val, m, fs.tree_names)
+    total = F.col("base") + F.aggregate("contributions", F.lit(0.0), lambda a, v: a + v)
+    p = m.transform(val).select("row_id", vector_to_array("prob_decision_tree")[1].alias("p"))
+    return values.join(p, "row_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum((F.abs(total - F.col("p")) > 1e-9).cast("long")).alias("n_off"))
+
+
 @register("experiment_run")
 def q_experiment_run(spark, sf_dir):
     """§3.1 end to end on the whole `wide` table with the whole grids: the
