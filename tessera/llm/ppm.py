@@ -14,7 +14,8 @@ longer contexts of a byte together; the counts of shorter contexts are at most 2
 258 numbers, the only thing that goes to every task. Each gram that occurs in any
 document is priced once. Documents are scored in chunks: a chunk asks for its distinct
 grams and words, and gets their prices and counts by a join, so no task holds the model
-and what is moved follows the input.
+and what is moved follows the input; answers arrive ahead of the texts, which are then scored
+batch by batch.
 
 Defined results: a null or empty text is scored as its end alone; a null id trains (it
 has no remainder); without training documents all bytes are equally likely and the base
@@ -29,11 +30,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import chunk_count, chunk_of, cut_lineage, python_tasks, stored, table
+from tessera.llm.common import chunk_count, chunk_of, python_tasks, stored, table
 
 ORDER = 5
 #: Bytes of text in one chunk: larger chunks ask for fewer prices in all.
@@ -48,6 +48,8 @@ _RUN = 1 << _RUN_BITS
 _SYMBOLS = 258
 #: The end of a text, in a table of words: no word is empty.
 END_WORD = b""
+#: Texts move twice by chunk, so they move compressed.
+CODEC = pa.Codec("zstd", 3)
 
 
 def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,12 +79,28 @@ def _slices(texts: list[bytes]) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
-def _folded_slices(column) -> Iterator[list[bytes]]:
-    """Folded texts of an Arrow column, slice by slice: a chunk's texts are never all Python objects at once."""
-    for start in range(0, len(column), _RUN // 2):
-        texts = [_folded(t) for t in column.slice(start, _RUN // 2).to_pylist()]
-        for part in _slices(texts):
-            yield texts[part]
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Folded texts of a chunk as compressed blobs of about ``SLICE_BYTES``, with the lengths and the rows they belong to."""
+    for batch in batches:
+        chunk = batch.column("_chunk").to_numpy()
+        order = np.argsort(chunk, kind="stable")
+        texts = batch.column("_text")
+        out: tuple[list, ...] = ([], [], [], [], [0])
+        for run in np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1) if len(order) else ():
+            folded = [_folded(texts[i].as_py()) for i in run.tolist()]
+            for part in _slices(folded):
+                for values, value in zip(out, (int(chunk[run[0]]), CODEC.compress(b"".join(folded[part]), asbytes=True), [len(t) for t in folded[part]], run[part], out[4][-1] + len(folded[part]))):
+                    values.append(value)
+        rows = np.concatenate([np.zeros(0, np.int64), *out[3]])
+        lists = [pa.ListArray.from_arrays(pa.array(out[4], pa.int32()), batch.column(c).take(pa.array(rows))) for c in ("_out", "_row")]
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.list_(pa.int64())), *lists],
+                                         names=["_chunk", "_blob", "_sizes", "_out", "_row"])
+
+
+def _unpacked(blob: bytes, sizes: list[int]) -> list[bytes]:
+    data = CODEC.decompress(blob, decompressed_size=sum(sizes), asbytes=True) if sum(sizes) else b""
+    ends = np.cumsum(sizes).tolist()
+    return [data[e - n:e] for e, n in zip(ends, sizes)]
 
 
 def _firsts(ordered: np.ndarray) -> np.ndarray:
@@ -206,7 +224,8 @@ def _asked(order: int):
     def ask(chunk: pa.Table) -> pa.Table:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         words: set[bytes] = {END_WORD}
-        for texts in _folded_slices(chunk.column("_text")):
+        for blob, sizes in zip(chunk.column("_blob"), chunk.column("_sizes")):
+            texts = _unpacked(blob.as_py(), sizes.as_py())
             held.append(_tally(grams_of(texts, order)[0]))
             if sum(len(g) for g, _ in held) > HELD_GRAMS:
                 held = [_merged(held)]
@@ -219,16 +238,35 @@ def _asked(order: int):
     return ask
 
 
+class _Prices:
+    """What the answers to a chunk say: prices by gram, log counts by word."""
+
+    def __init__(self):
+        self.grams, self.prices, self.counts, self.ready = [], [], {}, False
+
+    def add(self, answers: pa.RecordBatch) -> None:
+        gram, value = (answers.column(c).to_numpy(zero_copy_only=False) for c in ("gram", "value"))
+        word = gram < 0
+        self.counts.update(zip(answers.column("word").filter(pa.array(word)).to_pylist(), np.log10(value[word] + 1).tolist()))
+        self.grams.append(gram[~word].astype(np.int64))
+        self.prices.append(value[~word])
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        """Grams, ascending, and their prices."""
+        if not self.ready:
+            grams, prices = np.concatenate([np.zeros(0, np.int64), *self.grams]), np.concatenate([np.zeros(0), *self.prices])
+            by = np.argsort(grams)
+            self.grams, self.prices, self.ready = [grams[by]], [prices[by]], True
+        return self.grams[0], self.prices[0]
+
+
 def _score(order: int, tokens: int, distinct: int):
-    def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        of_grams = answers.filter(pc.is_valid(answers.column("gram"))).select(["gram", "value"])
-        of_words = answers.filter(pc.is_null(answers.column("gram")))
-        grams, prices = (of_grams.column(c).to_numpy() for c in ("gram", "value"))
-        ascending = np.argsort(grams)
-        grams, prices = grams[ascending], prices[ascending]
-        counts = dict(zip(of_words.column("word").to_pylist(), np.log10(of_words.column("value").to_numpy() + 1).tolist()))
+    def scored(column: pa.StructArray, known: _Prices) -> pa.RecordBatch:
+        docs = pa.RecordBatch.from_arrays(column.flatten(), names=[f.name for f in column.type])
+        grams, prices = known.arrays()
         scores, symbols, n_tokens, n_known, base = [], [], [], [], []
-        for texts in _folded_slices(docs.column("_text")):
+        for blob, lengths in zip(docs.column("_blob"), docs.column("_sizes")):
+            texts = _unpacked(blob.as_py(), lengths.as_py())
             own, sizes = grams_of(texts, order)
             symbols += sizes.tolist()
             # sorted by gram, each with the document it came from in its low bits
@@ -239,12 +277,30 @@ def _score(order: int, tokens: int, distinct: int):
             scores.append(np.bincount((keyed & np.uint64(_RUN - 1)).astype(np.int64), priced, len(sizes)))
             for t in texts:
                 words = [*t.split(), END_WORD]
-                got = [c for c in map(counts.get, words) if c is not None]
+                got = [c for c in map(known.counts.get, words) if c is not None]
                 n_tokens.append(len(words))
                 n_known.append(len(got))
                 base.append(sum(got) - len(words) * float(np.log10(tokens + distinct + 1)))
-        return pa.table({"_row": docs.column("_row"), "_out": docs.column("_out"), "_tokens": pa.array(n_tokens, pa.int64()), "_known": pa.array(n_known, pa.int64()), "_base": pa.array(base, pa.float64()),
-                         "_score": pa.array(np.concatenate(scores) if scores else np.zeros(0)), "_symbols": pa.array(symbols, pa.int64())})
+        return pa.RecordBatch.from_arrays([docs.column("_row").flatten(), docs.column("_out").flatten(), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()),
+                                           pa.array(np.concatenate(scores)), pa.array(symbols, pa.int64())],
+                                          names=["_row", "_out", "_tokens", "_known", "_base", "_score", "_symbols"])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows in order: a chunk's answers, then its texts. Only the answers are held, as two arrays and a dictionary."""
+        now, known = None, _Prices()
+        for batch in batches:
+            chunk, kind = batch.column("_chunk").to_numpy(), batch.column("_doc").is_valid().to_numpy(zero_copy_only=False).astype(np.int8)
+            cuts = np.r_[0, np.flatnonzero((np.diff(chunk) != 0) | (np.diff(kind) != 0)) + 1, batch.num_rows]
+            for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if start == end:
+                    continue
+                if chunk[start] != now:
+                    now, known = chunk[start], _Prices()
+                part = batch.slice(start, end - start)
+                if kind[start] == 0:
+                    known.add(part)
+                else:
+                    yield scored(part.column("_doc"), known)
     return score
 
 
@@ -255,19 +311,27 @@ def ppm_scores(docs: DataFrame, held_out, text: str = "text", key: str = "doc_id
         raise ValueError("a gram of an order from 3 to 5 fits a long beside its text's number")
     python_tasks(docs.sparkSession)
     columns = docs.columns if columns is None else columns
-    rows = docs.select(F.col(text).alias("_text"), held_out.alias("_out"), F.struct(*columns).alias("_row"), chunk_of(F.col(key), chunk_count(docs, text, CHUNK_BYTES)).alias("_chunk"))
+    rows = docs.select(F.col(text).alias("_text"), held_out.alias("_out"), F.struct(*columns).alias("_row"),
+                       chunk_of(F.xxhash64(key, text), chunk_count(docs, text, CHUNK_BYTES)).alias("_chunk"))  # also by text: many rows may share a null or repeated id
     counted = stored(rows.select("_text", "_out").mapInArrow(_count(order), "gram bigint, word binary, n bigint").groupBy("gram", "word").agg(F.sum("n").alias("n")))
     words = counted.filter("gram IS NULL").select("word", "n")
     tokens, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).head()
-    prices = cut_lineage(gram_prices(counted.filter("gram IS NOT NULL").select("gram", "n"), order))
-
-    chunks = rows.select("_chunk", "_text", "_out", "_row")
-    asked = chunks.groupBy("_chunk").applyInArrow(_asked(order), "_chunk int, gram bigint, word binary")
-    answers = (asked.filter("gram IS NOT NULL").select("_chunk", "gram").join(prices, "gram").select("_chunk", "gram", F.lit(None).cast("binary").alias("word"), F.col("price").alias("value"))
-               .union(asked.filter("gram IS NULL").select("_chunk", "word").join(words, "word").select("_chunk", F.lit(None).cast("bigint").alias("gram"), "word", F.col("n").cast("double").alias("value"))))
+    prices = gram_prices(counted.filter("gram IS NOT NULL").select("gram", "n"), order)
+    # one table of answers: a price by gram, a count by word
+    values = stored(prices.select("gram", F.lit(None).cast("binary").alias("word"), F.col("price").alias("value"))
+                    .unionByName(words.select(F.lit(None).cast("bigint").alias("gram"), "word", F.col("n").cast("double").alias("value"))))
     row = docs.select(*columns).schema.simpleString()[len("struct<"):-1]
-    return (chunks.groupBy("_chunk").cogroup(answers.groupBy("_chunk"))
-            .applyInArrow(_score(order, tokens, distinct), f"_row struct<{row}>, _out boolean, _tokens bigint, _known bigint, _base double, _score double, _symbols bigint")
+    chunks = rows.mapInArrow(_packed, f"_chunk int, _blob binary, _sizes array<bigint>, _out array<boolean>, _row array<struct<{row}>>")
+    asked = chunks.groupBy("_chunk").applyInArrow(_asked(order), "_chunk int, gram bigint, word binary")
+    key = [F.coalesce("gram", F.lit(-1)).alias("_g"), F.coalesce("word", F.lit(b"")).alias("_w")]  # a gram is above 0; the end's word has none
+    answers = asked.select("_chunk", *key).join(values.select(*key, "value"), ["_w", "_g"])
+    # a chunk's answers, then its texts: the task that scores it reads them as a stream
+    doc = F.struct("_blob", "_sizes", "_out", "_row").alias("_doc")
+    texts = chunks.select("_chunk", F.lit(None).cast("bigint").alias("gram"), F.lit(None).cast("binary").alias("word"), F.lit(None).cast("double").alias("value"), doc)
+    both = answers.select("_chunk", F.col("_g").alias("gram"), F.col("_w").alias("word"), "value", F.lit(None).cast(texts.schema["_doc"].dataType).alias("_doc")).unionByName(texts)
+    order_by = F.col("_chunk").cast("bigint") * 2 + F.col("_doc").isNotNull().cast("int")  # one number sorts fast
+    return (both.repartition("_chunk").sortWithinPartitions(order_by)
+            .mapInArrow(_score(order, tokens, distinct), f"_row struct<{row}>, _out boolean, _tokens bigint, _known bigint, _base double, _score double, _symbols bigint")
             .withColumn("_train_tokens", F.lit(tokens).cast("bigint")))
 
 
