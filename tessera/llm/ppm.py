@@ -49,7 +49,7 @@ _SYMBOLS = 258
 #: The end of a text, in a table of words: no word is empty.
 END_WORD = b""
 #: Texts move twice by chunk, so they move compressed.
-CODEC = pa.Codec("zstd", 3)
+CODEC = "zstd"
 
 
 def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,27 +80,28 @@ def _slices(texts: list[bytes]) -> Iterator[slice]:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Folded texts of a chunk as compressed blobs of about ``SLICE_BYTES``, with the lengths and the rows they belong to."""
+    """Folded texts of a chunk with their rows, about ``SLICE_BYTES`` to a compressed message: one flat column moves them."""
     for batch in batches:
         chunk = batch.column("_chunk").to_numpy()
         order = np.argsort(chunk, kind="stable")
-        texts = batch.column("_text")
-        out: tuple[list, ...] = ([], [], [], [], [0])
+        chunks, messages = [], []
         for run in np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1) if len(order) else ():
-            folded = [_folded(texts[i].as_py()) for i in run.tolist()]
+            folded = [_folded(batch.column("_text")[i].as_py()) for i in run.tolist()]
             for part in _slices(folded):
-                for values, value in zip(out, (int(chunk[run[0]]), CODEC.compress(b"".join(folded[part]), asbytes=True), [len(t) for t in folded[part]], run[part], out[4][-1] + len(folded[part]))):
-                    values.append(value)
-        rows = np.concatenate([np.zeros(0, np.int64), *out[3]])
-        lists = [pa.ListArray.from_arrays(pa.array(out[4], pa.int32()), batch.column(c).take(pa.array(rows))) for c in ("_out", "_row")]
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.list_(pa.int64())), *lists],
-                                         names=["_chunk", "_blob", "_sizes", "_out", "_row"])
+                at = pa.array(run[part])
+                docs = pa.RecordBatch.from_arrays([pa.array(folded[part], pa.binary()), batch.column("_out").take(at), batch.column("_row").take(at)], names=["_text", "_out", "_row"])
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression=CODEC)) as out:
+                    out.write_batch(docs)
+                chunks.append(int(chunk[run[0]]))
+                messages.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(messages, pa.binary())], names=["_chunk", "_doc"])
 
 
-def _unpacked(blob: bytes, sizes: list[int]) -> list[bytes]:
-    data = CODEC.decompress(blob, decompressed_size=sum(sizes), asbytes=True) if sum(sizes) else b""
-    ends = np.cumsum(sizes).tolist()
-    return [data[e - n:e] for e, n in zip(ends, sizes)]
+def _unpacked(messages: pa.Array) -> Iterator[pa.RecordBatch]:
+    for message in messages:
+        with pa.ipc.open_stream(message.as_buffer()) as docs:
+            yield from docs
 
 
 def _firsts(ordered: np.ndarray) -> np.ndarray:
@@ -224,8 +225,8 @@ def _asked(order: int):
     def ask(chunk: pa.Table) -> pa.Table:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         words: set[bytes] = {END_WORD}
-        for blob, sizes in zip(chunk.column("_blob"), chunk.column("_sizes")):
-            texts = _unpacked(blob.as_py(), sizes.as_py())
+        for docs in _unpacked(chunk.column("_doc")):
+            texts = docs.column("_text").to_pylist()
             held.append(_tally(grams_of(texts, order)[0]))
             if sum(len(g) for g, _ in held) > HELD_GRAMS:
                 held = [_merged(held)]
@@ -261,27 +262,25 @@ class _Prices:
 
 
 def _score(order: int, tokens: int, distinct: int):
-    def scored(column: pa.StructArray, known: _Prices) -> pa.RecordBatch:
-        docs = pa.RecordBatch.from_arrays(column.flatten(), names=[f.name for f in column.type])
+    def scored(docs: pa.RecordBatch, known: _Prices) -> pa.RecordBatch:
         grams, prices = known.arrays()
         scores, symbols, n_tokens, n_known, base = [], [], [], [], []
-        for blob, lengths in zip(docs.column("_blob"), docs.column("_sizes")):
-            texts = _unpacked(blob.as_py(), lengths.as_py())
-            own, sizes = grams_of(texts, order)
-            symbols += sizes.tolist()
-            # sorted by gram, each with the document it came from in its low bits
-            keyed = np.sort(own.astype(np.uint64) << np.uint64(_RUN_BITS) | np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes))
-            own = (keyed >> np.uint64(_RUN_BITS)).astype(np.int64)
-            at = _firsts(own)
-            priced = np.repeat(prices[np.searchsorted(grams, own[at])], np.diff(np.r_[at, len(own)]))
-            scores.append(np.bincount((keyed & np.uint64(_RUN - 1)).astype(np.int64), priced, len(sizes)))
-            for t in texts:
-                words = [*t.split(), END_WORD]
-                got = [c for c in map(known.counts.get, words) if c is not None]
-                n_tokens.append(len(words))
-                n_known.append(len(got))
-                base.append(sum(got) - len(words) * float(np.log10(tokens + distinct + 1)))
-        return pa.RecordBatch.from_arrays([docs.column("_row").flatten(), docs.column("_out").flatten(), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()),
+        texts = docs.column("_text").to_pylist()
+        own, sizes = grams_of(texts, order)
+        symbols += sizes.tolist()
+        # sorted by gram, each with the document it came from in its low bits
+        keyed = np.sort(own.astype(np.uint64) << np.uint64(_RUN_BITS) | np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes))
+        own = (keyed >> np.uint64(_RUN_BITS)).astype(np.int64)
+        at = _firsts(own)
+        priced = np.repeat(prices[np.searchsorted(grams, own[at])], np.diff(np.r_[at, len(own)]))
+        scores.append(np.bincount((keyed & np.uint64(_RUN - 1)).astype(np.int64), priced, len(sizes)))
+        for t in texts:
+            words = [*t.split(), END_WORD]
+            got = [c for c in map(known.counts.get, words) if c is not None]
+            n_tokens.append(len(words))
+            n_known.append(len(got))
+            base.append(sum(got) - len(words) * float(np.log10(tokens + distinct + 1)))
+        return pa.RecordBatch.from_arrays([docs.column("_row"), docs.column("_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()),
                                            pa.array(np.concatenate(scores)), pa.array(symbols, pa.int64())],
                                           names=["_row", "_out", "_tokens", "_known", "_base", "_score", "_symbols"])
 
@@ -300,7 +299,8 @@ def _score(order: int, tokens: int, distinct: int):
                 if kind[start] == 0:
                     known.add(part)
                 else:
-                    yield scored(part.column("_doc"), known)
+                    for docs in _unpacked(part.column("_doc")):
+                        yield scored(docs, known)
     return score
 
 
@@ -321,14 +321,13 @@ def ppm_scores(docs: DataFrame, held_out, text: str = "text", key: str = "doc_id
     values = stored(prices.select("gram", F.lit(None).cast("binary").alias("word"), F.col("price").alias("value"))
                     .unionByName(words.select(F.lit(None).cast("bigint").alias("gram"), "word", F.col("n").cast("double").alias("value"))))
     row = docs.select(*columns).schema.simpleString()[len("struct<"):-1]
-    chunks = rows.mapInArrow(_packed, f"_chunk int, _blob binary, _sizes array<bigint>, _out array<boolean>, _row array<struct<{row}>>")
+    chunks = rows.mapInArrow(_packed, "_chunk int, _doc binary")
     asked = chunks.groupBy("_chunk").applyInArrow(_asked(order), "_chunk int, gram bigint, word binary")
     key = [F.coalesce("gram", F.lit(-1)).alias("_g"), F.coalesce("word", F.lit(b"")).alias("_w")]  # a gram is above 0; the end's word has none
     answers = asked.select("_chunk", *key).join(values.select(*key, "value"), ["_w", "_g"])
     # a chunk's answers, then its texts: the task that scores it reads them as a stream
-    doc = F.struct("_blob", "_sizes", "_out", "_row").alias("_doc")
-    texts = chunks.select("_chunk", F.lit(None).cast("bigint").alias("gram"), F.lit(None).cast("binary").alias("word"), F.lit(None).cast("double").alias("value"), doc)
-    both = answers.select("_chunk", F.col("_g").alias("gram"), F.col("_w").alias("word"), "value", F.lit(None).cast(texts.schema["_doc"].dataType).alias("_doc")).unionByName(texts)
+    texts = chunks.select("_chunk", F.lit(None).cast("bigint").alias("gram"), F.lit(None).cast("binary").alias("word"), F.lit(None).cast("double").alias("value"), "_doc")
+    both = answers.select("_chunk", F.col("_g").alias("gram"), F.col("_w").alias("word"), "value", F.lit(None).cast("binary").alias("_doc")).unionByName(texts)
     order_by = F.col("_chunk").cast("bigint") * 2 + F.col("_doc").isNotNull().cast("int")  # one number sorts fast
     return (both.repartition("_chunk").sortWithinPartitions(order_by)
             .mapInArrow(_score(order, tokens, distinct), f"_row struct<{row}>, _out boolean, _tokens bigint, _known bigint, _base double, _score double, _symbols bigint")
