@@ -178,7 +178,8 @@ def run_experiment(prep: DataFrame, cfg: PrepConfig | None = None, tree_keys=EXP
     """
     from ..operators.ensemble import Blending, Stacking
     from ..operators.explain import feature_importance, shapley, shapley_summary
-    from ..operators.profile import mutual_info
+    from ..operators.mi_knn import mutual_info_knn
+    from ..operators.profile import ranked_information
     from ..operators.tuning import n_estimators_curve
     cfg = cfg or PrepConfig()
     fs = build_feature_set(prep, cfg)
@@ -187,9 +188,9 @@ def run_experiment(prep: DataFrame, cfg: PrepConfig | None = None, tree_keys=EXP
     # pre-flight leakage check on the label-encoded train rows
     from pyspark.ml.functions import vector_to_array
     arr = vector_to_array("features_tree")
-    tr = fs.df.filter(F.col("split") == "train").select("label", *[arr[i].alias(n) for i, n in
+    tr = fs.df.filter(F.col("split") == "train").select("row_id", "label", *[arr[i].alias(n) for i, n in
                                                                    enumerate(fs.tree_names)])
-    out["mutual_info"] = mutual_info(tr, fs.tree_names)
+    out["mutual_info"] = ranked_information(mutual_info_knn(tr, fs.tree_names))
     exps = {}
     exps.update(execute_phase(tree_keys, fs, n_iter, k, parallelism, grids=grids))
     exps.update(execute_phase(linear_keys, fs, n_iter, k, parallelism, grids=grids))

@@ -747,3 +747,14 @@ def q_mutual_info_knn(spark, sf_dir):
     from ..operators.mi_knn import mutual_info_knn
     t, num, cats = tree_frame(spark, sf_dir)
     return mutual_info_knn(t.filter(F.col("split") == "train"), num + cats, "label", k=3)
+
+
+@register("mutual_info_knn_regression")
+def q_mutual_info_knn_regression(spark, sf_dir):
+    """L2 with a continuous target: every other tree feature against the
+    weekly hours, over the whole train split (checked against brute force in
+    tests/test_mi_knn_regression.py)."""
+    from ..operators.mi_knn_regression import mutual_info_knn_regression
+    t, num, cats = tree_frame(spark, sf_dir)
+    feats = [c for c in num + cats if c != "hours_per_week"]
+    return mutual_info_knn_regression(t.filter(F.col("split") == "train"), feats, "hours_per_week", k=3)
