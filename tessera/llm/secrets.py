@@ -25,9 +25,11 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -48,15 +50,20 @@ _HEX_MARKS = bytes(120 if chr(b) in "0123456789abcdef" else 32 for b in range(25
 _PREFIX = r"""(?:(?i:[rbuf]|rb|br|fr|rf|u8)|(?:[A-Za-z]{1,2}|[@$]{1,2})(?=["'][^"'\s]*["'])|b?r\#+)"""
 #: A type between a name and its value: dotted names with arguments, optional marks and alternatives.
 _TYPE = r"""[&*?]?(?:'[a-z]+[ \t]+)?(?:mut[ \t]+)?[A-Za-z_](?:[A-Za-z0-9_.\-]|::)*(?:\[(?:[^\[\]\n=]|\[[^\[\]\n=]*\])*\]|<(?:[^<>\n=]|<[^<>\n=]*>)*>)*[?!]?"""
-_STATEMENT = re.compile(rf"""
-    (?:(?P<quote>["'])(?P<quoted>[A-Za-z_][A-Za-z0-9_.\-]*)(?P=quote)(?P<entry>[ \t]*\])?|(?P<plain>[A-Za-z_][A-Za-z0-9_.\-]*))[ \t]*
+_OPERATOR = rf"""[ \t]*
     (?::[ \t]*(?P<type>{_TYPE}(?:[ \t]*\|[ \t]*{_TYPE})*)[ \t]*=(?![=>])|:=|=>|(?P<colon>:)|=(?!=))
-    (?(entry)(?(colon)(?=[ \t]*{_PREFIX}?["'])))[ \t]*""", re.ASCII | re.VERBOSE)
-_PIECE = re.compile(rf"""
+    (?(entry)(?(colon)(?=[ \t]*{_PREFIX}?["'])))[ \t]*"""
+_QUOTED = r"""(?P<quote>["'])(?P<quoted>[A-Za-z_][A-Za-z0-9_.\-]*+)(?P=quote)(?P<entry>[ \t]*\])?"""
+_PLAIN = r"(?P<plain>[A-Za-z_][A-Za-z0-9_.\-]*+)"
+#: A statement at a given place.
+_STATEMENT = re.compile(rf"(?:{_QUOTED}|{_PLAIN}){_OPERATOR}", re.ASCII | re.VERBOSE)
+#: The next statement. A name is tried once per run of name characters, at its first letter, so a long run costs its length.
+_NEXT = re.compile(rf"(?:{_QUOTED}|(?<![A-Za-z0-9_.\-])[0-9.\-]*+{_PLAIN}){_OPERATOR}", re.ASCII | re.VERBOSE)
+_LITERAL = re.compile(rf"""
     (?P<prefix>{_PREFIX})?(?:
         "{{3}}(?P<triple>[^"\\]*(?:(?:\\.|"(?!""))[^"\\]*)*)"{{3}}|'{{3}}(?P<triple1>[^'\\]*(?:(?:\\.|'(?!''))[^'\\]*)*)'{{3}}|
-        "(?P<double>(?:[^"\\\n]|\\[^\n])*)"|'(?P<single>(?:[^'\\\n]|\\[^\n])*)')
-    |(?P<bare>[^\s"',;(){{}}\[\]+]+)""", re.DOTALL | re.VERBOSE)
+        "(?P<double>(?:[^"\\\n]|\\[^\n])*)"|'(?P<single>(?:[^'\\\n]|\\[^\n])*)')""", re.DOTALL | re.VERBOSE)
+_BARE = re.compile(r"""[^\s"',;(){}\[\]+]+""")
 #: What a value in quotes that is an annotation is followed by.
 _ANNOTATED = re.compile(r"[ \t]*=(?![=>])[ \t]*")
 _JOIN = re.compile(r"[ \t]*\+[ \t]*(?:\n[ \t]*)?")
@@ -164,18 +171,20 @@ class Constant:
 def _value(text: str, at: int, stop: int, known: dict[str, Constant]) -> tuple[Constant, list[tuple[int, int]], int]:
     """The value written at ``at``; the insides of its triple-quoted and prefixed literals, which may hold statements; its end."""
     constant, inside = Constant([]), []
-    while piece := _PIECE.match(text, at, stop):
-        bare = piece["bare"]
-        if bare is not None and _STATEMENT.match(text, at, stop) and constant.parts == []:
-            break  # the value is itself a statement, as in a nested mapping
-        at = piece.end()
-        if bare is not None and _NAME.fullmatch(bare.rstrip(".")) and bare.rstrip(".") in known:
-            constant.parts.append(known[bare.rstrip(".")])
-        else:
+    while True:
+        if piece := _LITERAL.match(text, at, stop):
             k = piece.lastgroup
-            constant.parts.append((*piece.span(k), piece[k], bare is None))
+            constant.parts.append((*piece.span(k), piece[k], True))
             if piece["prefix"] or k in ("triple", "triple1"):
                 inside.append(piece.span(k))
+        elif not constant.parts and _STATEMENT.match(text, at, stop):
+            break  # the value is itself a statement, as in a nested mapping; asked before the bare word is read, which may be long
+        elif piece := _BARE.match(text, at, stop):
+            name = piece[0].rstrip(".")
+            constant.parts.append(known[name] if name in known and _NAME.fullmatch(name) else (*piece.span(), piece[0], False))
+        else:
+            break
+        at = piece.end()
         if not (join := _JOIN.match(text, at, stop)):
             break
         at = join.end()
@@ -191,7 +200,7 @@ def literal_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, in
     ranges = [(0, len(text))]
     while ranges:
         at, stop = ranges.pop()
-        if not (statement := _STATEMENT.search(text, at, stop)):
+        if not (statement := _NEXT.search(text, at, stop)):
             continue
         names = [statement["quoted"] or statement["plain"]]
         if statement["type"] and _NAME.fullmatch(statement["type"]):
@@ -243,8 +252,12 @@ def secrets_of(text: str | None) -> list[dict]:
         return []
     base = base_spans(text)
     out = [{"kind": kind, "start": a, "end": b, "name": None, "score": None} for a, b, kind in base]
+    starts = sorted(base)
+    reach = list(accumulate((e for _, e, _ in starts), max))
+    starts = [s for s, _, _ in starts]
     for a, b, name, score in literal_spans(text):
-        if not any(s <= a and b <= e for s, e, _ in base):
+        before = bisect_right(starts, a)
+        if not before or reach[before - 1] < b:
             out.append({"kind": "literal", "start": a, "end": b, "name": name, "score": score})
     return sorted(out, key=lambda s: (s["start"], KINDS.index(s["kind"])))
 

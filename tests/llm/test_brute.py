@@ -1,6 +1,7 @@
 """Operators that SQL can't express, against plain Python over whole tables."""
 import hashlib
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -229,6 +230,20 @@ def test_secrets_in_source_forms(text, name):
     assert ("aB3dE5gH7", name) in [(text[a:b], n) for a, b, n, _ in secrets.literal_spans(text)]
 
 
+@pytest.mark.parametrize("unit", ["a", "a1", "a-", "1", "_", "a: ", "a:", "a=", "x:a[y ", "x: a|", "'a", "a ", "token = "])
+def test_secrets_of_long_runs(unit):
+    """Four times the text takes about four times the time, not sixteen."""
+    def seconds(n):
+        text = "x = 1\n" + unit * (n // len(unit)) + " pwd = 'aB3dE5gH7'"
+        start = time.perf_counter()
+        found = secrets.secrets_of(text)
+        return time.perf_counter() - start, found
+    small, large = seconds(1 << 15), seconds(1 << 17)
+    assert large[0] < max(10 * small[0], 1.0)
+    if unit not in ("'a", "token = "):
+        assert any(s["name"] == "pwd" for s in large[1])
+
+
 def test_secrets_not_in_source_forms():
     for text in ('if d["pwd"]: connect2Server(x)', 'color: str = b"aB3dE5gH7"', 'd["color"] = """aB3dE5gH7"""', 'pwd == "aB3dE5gH7"', "d['pwd'] == 'aB3dE5gH7'"):
         assert secrets.literal_spans(text) == []
