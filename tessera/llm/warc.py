@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -39,6 +40,8 @@ ARCHIVE_BYTES = 64 << 20
 #: Bytes between two wanted records that one read still spans, and the most that one read fetches beside a larger record.
 GAP_BYTES, READ_BYTES = 64 << 10, 4 << 20
 _END = b"\r\n\r\n"
+#: Compressed bytes that one read task gets on average.
+TASK_BYTES = 4 << 20
 #: Parts that a digest's pages are dealt over when its first page is joined back.
 SALTS = 16
 _DIGITS32, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -174,8 +177,12 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_records(selected: DataFrame, id_type: str = "bigint") -> DataFrame:
-    """Records of the selected index rows, read by coalesced byte ranges; ``payload`` is empty for revisits."""
-    ranges = selected.repartition("path").sortWithinPartitions("path", "offset").select("path", "offset", "length")
+    """Records of the selected index rows, read by coalesced byte ranges; ``payload`` is empty for revisits.
+    A task reads about ``TASK_BYTES``: neighbouring ranges of one archive, or of several."""
+    # the index is tiny beside the bodies, so tasks are dealt by the bytes they will read, not by the index's own size
+    tasks = max(1, math.ceil((selected.agg(F.sum("length")).head()[0] or 0) / TASK_BYTES))
+    ranges = (selected.select("path", "offset", "length").repartitionByRange(tasks, "path", "offset")
+              .sortWithinPartitions("path", "offset"))
     return (ranges.mapInArrow(_read, "page_id string, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, payload binary")
             .withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")}))
 

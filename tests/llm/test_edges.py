@@ -129,6 +129,17 @@ def test_warc(spark, tmp_path):
     assert warc.plan_records(pages, min_bytes=5).filter("refers_to IS NOT NULL").count() == 0
 
 
+def test_warc_reads_are_dealt_by_bytes(spark, tmp_path, monkeypatch):
+    """One archive, its index in one tiny file: the bytes to read decide the number of tasks."""
+    pages = spark.range(300).selectExpr("id AS page_id", "'u' AS url", "repeat(sha2(string(id), 256), 20) AS html").coalesce(1)
+    index = warc.write_archives(warc.plan_records(pages), f"file://{tmp_path}/a")
+    total = index.agg({"length": "sum"}).first()[0]
+    monkeypatch.setattr(warc, "TASK_BYTES", total // 6 + 1)
+    got = warc.read_records(index)
+    assert got.rdd.getNumPartitions() == 6
+    assert sorted((r.page_id, bytes(r.payload).decode()) for r in got.collect()) == sorted((r.page_id, r.html) for r in pages.collect())
+
+
 def test_coalesced_reads():
     assert warc.coalesced([(0, 10), (10, 5), (30, 5), (500, 5)], gap=20, most=100) == [(0, 35, [(0, 10), (10, 5), (30, 5)]), (500, 505, [(500, 5)])]
 
