@@ -7,8 +7,9 @@ back to code points of the original text.
 
 The benchmark side is a stated query set. It reaches the tasks in blocks of at most
 ``block_bytes`` of pattern text, so no broadcast grows with the benchmark: a larger one
-makes more blocks, and the texts pass through one automaton after the other in the
-same stage. Nothing is shuffled on the document side.
+makes more blocks, and the texts pass through one automaton after the other, each pass
+stored in the shared folder before the next, so that memory does not grow with the number
+of blocks. Nothing is shuffled on the document side.
 
 Defined results: a null or empty text has no words and no hits; an item without words
 gives no pattern; a null ``item_id`` counts as the id ``""``; repeated items and
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import python_tasks, table
+from tessera.llm.common import python_tasks, stored, table
 
 WINDOW = 10
 #: Pattern text in one automaton and one broadcast; its trie takes roughly fifty times that in a worker.
@@ -144,14 +145,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", col
     rows = docs.select(F.struct(*columns).alias("_row"), F.col(text).alias("_text"), F.lit(0).cast("bigint").alias("_words"),
                        F.lit(None).cast("array<struct<first: bigint, last: bigint>>").alias("_spans"),
                        F.lit(None).cast("array<string>").alias("_items"))
-    patterns = item_patterns(benchmark, window=window).withColumn("size", F.length("pattern") + F.length(F.array_join("items", ",")))
+    patterns = stored(item_patterns(benchmark, window=window).withColumn("size", F.length("pattern") + F.length(F.array_join("items", ","))))
     total = patterns.agg(F.sum("size")).head()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     schema = _SCHEMA.format(row=docs.select(*columns).schema.simpleString()[len("struct<"):-1])
     for b in range(blocks):
         part = patterns.filter(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == b)
-        block = spark.sparkContext.broadcast({"id": uuid.uuid4().hex, "patterns": [(r.pattern, r.words, list(r["items"])) for r in part.collect()]})
+        block = spark.sparkContext.broadcast({"id": uuid.uuid4().hex, "patterns": [(r.pattern, r.words, list(r["items"])) for r in part.toLocalIterator()]})
         rows = rows.mapInArrow(_scan(block), schema)
+        if b < blocks - 1:  # a stage, and a worker, holds one automaton at a time
+            rows = stored(rows)
+            block.destroy()
     return rows.mapInArrow(_offsets, schema + ", _offsets array<struct<start: bigint, end: bigint>>")
 
 

@@ -172,8 +172,10 @@ def test_decontaminate(odd, none, benchmark):
             assert r._spans == [] and r["_items"] == []
     assert decontaminate.decontaminate(none, benchmark).count() == 0
     assert all(r._spans == [] for r in decontaminate.decontaminate(odd, benchmark.limit(0)).collect())
-    blocks = decontaminate.decontaminate(odd, benchmark, block_bytes=200).collect()
-    assert sorted(map(str, blocks)) == sorted(map(str, rows))
+    blocks = decontaminate.decontaminate(odd, benchmark, block_bytes=200)
+    assert sorted(map(str, blocks.collect())) == sorted(map(str, rows))
+    # the last block's scan and the offsets: no stage holds the automata of two blocks
+    assert blocks._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
 
 
 def test_key_filter(spark):
