@@ -102,6 +102,29 @@ def roc_auc(df: DataFrame, group_cols: Sequence[str] = (), label_col: str = "lab
     return a.select(*g, rnd(F.try_divide(F.col("num"), F.col("P") * F.col("N")), digits).alias("roc_auc"))
 
 
+def roc_auc_ovr(df: DataFrame, classes: Sequence, score_cols: Sequence[str], group_cols: Sequence[str] = (),
+                label_col: str = "label", digits: int = 6) -> DataFrame:
+    """V3 over K classes: ``(group..., class, support, roc_auc)``, each class against the rest by its own score.
+
+    A class that no row of the group has, or that all have, gets NULL. Rows without a label are left out.
+    Every row gives K narrow rows, which collapse to one per class and distinct score before any shuffle."""
+    g = [*group_cols, "class"]
+    scores = F.array(*[F.struct(F.lit(c).alias("class"), F.col(s).cast("double").alias("score")) for c, s in zip(classes, score_cols)])
+    long = (df.filter(F.col(label_col).isNotNull()).select(*group_cols, F.col(label_col).alias("__label"), F.explode(scores).alias("__s"))
+              .select(*group_cols, "__s.class", "__s.score", (F.col("__label") == F.col("__s.class")).cast("int").alias("__is")))
+    t = score_table(long, g, "__is")
+    a = t.groupBy(*g).agg(F.sum(F.col("neg") * (F.col("before_pos") + F.col("pos") / 2.0)).alias("num"),
+                          F.sum("pos").alias("support"), F.sum("neg").alias("rest"))
+    return a.select(*g, "support", rnd(F.try_divide(F.col("num"), F.col("support") * F.col("rest")), digits).alias("roc_auc"))
+
+
+def roc_auc_average(per_class: DataFrame, group_cols: Sequence[str] = (), digits: int = 6) -> DataFrame:
+    """Macro and support-weighted means of ``roc_auc_ovr`` rows, over the classes that have an AUC."""
+    known = F.when(F.col("roc_auc").isNotNull(), F.col("support"))
+    a = per_class.groupBy(*group_cols).agg(F.avg("roc_auc").alias("m"), F.sum(known * F.col("roc_auc")).alias("s"), F.sum(known).alias("n"))
+    return a.select(*group_cols, rnd("m", digits).alias("macro_auc"), rnd(F.try_divide(F.col("s"), F.col("n")), digits).alias("weighted_auc"))
+
+
 def roc_points(df: DataFrame, group_cols: Sequence[str] = (), label_col: str = "label",
                score_col: str = "score", digits: int = 6) -> DataFrame:
     """V4: ``(threshold, fpr, tpr)`` at every distinct score, plus the origin

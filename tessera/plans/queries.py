@@ -758,3 +758,23 @@ def q_mutual_info_knn_regression(spark, sf_dir):
     t, num, cats = tree_frame(spark, sf_dir)
     feats = [c for c in num + cats if c != "hours_per_week"]
     return mutual_info_knn_regression(t.filter(F.col("split") == "train"), feats, "hours_per_week", k=3)
+
+
+#: One-vs-rest scorers of the weekly-hours band, as SQL that both engines read.
+_BANDS = {"short": "1 / (1 + exp(0.02 * coalesce(age, 40.0) + 0.1 * coalesce(education_num, 8.0) - 2))",
+          "usual": "1 / (1 + exp(0.1 * abs(coalesce(age, 40.0) - 42.0) - 1))",
+          "long": "1 / (1 + exp(4 - 0.04 * coalesce(age, 40.0) - 0.2 * coalesce(education_num, 8.0)))"}
+_BAND = "CASE WHEN hours_per_week < 40 THEN 'short' WHEN hours_per_week < 60 THEN 'usual' WHEN hours_per_week >= 60 THEN 'long' END"
+
+
+@register("roc_auc_ovr", "WITH " + S.WIDE + f",\nb AS (SELECT {S.split_sql('row_id')} AS split, {_BAND} AS label, "
+          + ", ".join(f"{S.rnd_sql(e, 4)} AS s_{c}" for c, e in _BANDS.items()) + " FROM wide),\nl AS ("
+          + _union_sql([f"SELECT split, '{c}' AS class, s_{c} AS score, CASE WHEN label = '{c}' THEN 1 ELSE 0 END AS label FROM b WHERE label IS NOT NULL"
+                        for c in _BANDS])
+          + "),\nn AS (SELECT split, class, CAST(sum(label) AS BIGINT) AS support FROM l GROUP BY ALL)\n"
+          + "SELECT n.split, n.class, n.support, a.roc_auc FROM n JOIN " + S.auc_sql("l", ["split", "class"]) + " a USING (split, class)")
+def q_roc_auc_ovr(spark, sf_dir):
+    """V3 over three classes: AUC of each class against the rest, by split."""
+    b = O.split_assign(wide(spark, sf_dir)).select(
+        "split", F.expr(_BAND).alias("label"), *[rnd(F.expr(e), 4).alias(f"s_{c}") for c, e in _BANDS.items()])
+    return M.roc_auc_ovr(b, list(_BANDS), [f"s_{c}" for c in _BANDS], ["split"])
