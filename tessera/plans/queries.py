@@ -21,7 +21,7 @@ from ..operators import metrics as M
 from ..operators import ordinal as O
 from ..operators import profile as P
 from ..operators.models import DEFAULT_PARAMS, LINEAR_KEYS
-from ..operators.outliers import dbscan_flags
+from ..operators.outliers import dbscan_clusters, dbscan_flags
 from ..sources.fixtures import WIDE_MARRIED, customer_wide, scored_models, wide
 from . import experiment as XP
 from . import sql as S
@@ -513,6 +513,27 @@ def q_outlier_noise(spark, sf_dir):
     return dbscan_flags(customer_wide(spark, sf_dir), list(_CW_NUM), eps=0.5, min_samples=3)
 
 
+def _clusters_sql(eps=0.5, m=3):
+    """Core rows reachable from each other by steps of at most eps, by recursion over all pairs of core rows."""
+    d2 = " + ".join(f"(a.z{i} - b.z{i}) * (a.z{i} - b.z{i})" for i in range(len(_CW_NUM)))
+    start = _dbscan_sql(eps, m)
+    flags = start[len("WITH "):start.rindex("SELECT z.row_id")].rstrip()
+    return "WITH RECURSIVE " + flags + f""",
+zc AS (SELECT z.* FROM z JOIN core USING (row_id)),
+step AS (SELECT a.row_id AS a, b.row_id AS b FROM zc a JOIN zc b ON {d2} <= {eps * eps!r}),
+reach AS (SELECT row_id, row_id AS root FROM core UNION SELECT s.b, r.root FROM reach r JOIN step s ON s.a = r.row_id WHERE r.root < s.b),
+named AS (SELECT row_id, min(root) AS cluster_id FROM reach GROUP BY row_id),
+edge AS (SELECT a.row_id, min(n.cluster_id) AS cluster_id FROM z a JOIN z b ON {d2} <= {eps * eps!r} JOIN named n ON n.row_id = b.row_id GROUP BY a.row_id)
+SELECT z.row_id, CAST(coalesce(n.cluster_id, e.cluster_id, -1) AS BIGINT) AS cluster_id
+FROM z LEFT JOIN named n ON n.row_id = z.row_id LEFT JOIN edge e ON e.row_id = z.row_id"""
+
+
+@register("dbscan_clusters", _clusters_sql())
+def q_dbscan_clusters(spark, sf_dir):
+    """O2: the cluster of every customer, -1 for noise."""
+    return dbscan_clusters(customer_wide(spark, sf_dir), list(_CW_NUM), eps=0.5, min_samples=3)
+
+
 # ---------------------------------------------------------------- model-based (rows-only: solver-dependent values)
 
 
