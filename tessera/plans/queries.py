@@ -432,6 +432,14 @@ def q_leaderboard(spark, sf_dir):
     return EV.leaderboard(_val(spark, sf_dir, "test"))
 
 
+@register("winner", SM + """,
+t AS (SELECT * FROM sm WHERE split = 'val')
+SELECT model AS winner FROM """ + S.cls_report_sql("t", ["model"]) + """ r ORDER BY f1 DESC NULLS LAST, model LIMIT 1""")
+def q_winner(spark, sf_dir):
+    """T5: the model with the best validation f1, one row."""
+    return EV.winner(M.classification_report(_val(spark, sf_dir), ["model"]))
+
+
 @register("metric_long_form", SM + "\nSELECT model, metric, score FROM (SELECT * FROM "
           + S.cls_report_sql("(SELECT * FROM sm WHERE split = 'val')", ["model"]) + """ r)
 UNPIVOT (score FOR metric IN (accuracy AS 'Accuracy', precision AS 'Precision', recall AS 'Recall', f1 AS 'F1'))""")
