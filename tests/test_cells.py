@@ -91,3 +91,15 @@ def test_edges_of_the_contract(spark):
     assert {r.cluster_id for r in dbscan_clusters(same, cols, 0.5, 8).collect()} == {-1}
     with pytest.raises(Exception, match="NULL coordinate"):
         dbscan_clusters(same.withColumn("c0", F.lit(None).cast("double")), cols).count()
+
+
+def test_cells_are_joined_by_shuffle(spark):
+    """Tables of cells and points grow with the rows: none is sent whole through the driver, however small it looks."""
+    x, eps, m = shapes("four axes, thin")
+    df, cols = table(spark, x)
+    d, side = len(cols), CE.cell_side(eps, len(cols))
+    points = df.select(F.array(*cols).alias("z"), F.lit(1).cast("bigint").alias("w")).withColumn("cell", F.expr(CE.cell_of(d, side)))
+    near = CE.near_cells(points, CE.boxes(points, d, side), d)
+    for plan in (near, dbscan_flags(df, cols, eps, m), dbscan_clusters(df, cols, eps, m)):
+        plan.collect()
+        assert "BroadcastHashJoin" not in plan._jdf.queryExecution().executedPlan().toString()
