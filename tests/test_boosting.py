@@ -136,3 +136,22 @@ def test_newton_equals_lbfgs(spark):
     acc = by_one._one_by_one(lr, f, jobs, len(y) * 2 / 3)
     assert [meta.cv_accuracy_[c] for c in (0, 5, 9)] == pytest.approx([sum(acc[c, k] for k in range(3)) / 3 for c in (0, 5, 9)], abs=1e-9)
     assert model.model.coefficients.size == 3
+
+
+def test_blocks_follow_the_rows():
+    """A pass costs a task for each block: few and large ones, but one for each of a dozen cores."""
+    from tessera.operators import boosting as B
+    assert [B._n_blocks(n) for n in (0, 1, 8_192, 20_000, 1_000_000, 5_400_000)] == [1, 1, 1, 3, 12, 42]
+
+
+def test_histogram_by_feature():
+    from tessera.operators import boosting as B
+    rng = np.random.default_rng(3)
+    bins, at, rows = rng.integers(0, 4, (50, 3)).astype(np.uint8), rng.integers(0, 2, 30), np.sort(rng.permutation(50)[:30])
+    g, h = rng.normal(size=30), rng.random(30)
+    got = B._sums(at, bins, rows, g, h, (2, 3, 4), np.array([False, True, False]))
+    want = np.zeros((2, 3, 4, 3))
+    for i, r in enumerate(rows):
+        for f in (0, 1):
+            want[at[i], f, bins[r, f]] += (g[i], h[i], 1)
+    assert np.allclose(got, want)
