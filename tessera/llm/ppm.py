@@ -38,8 +38,9 @@ from tessera.llm.common import chunk_count, chunk_of, python_tasks, stored, tabl
 ORDER = 5
 #: Bytes of text in one chunk: larger chunks ask for fewer prices in all.
 CHUNK_BYTES = 32 << 20
-#: Text bytes that a task turns into grams at once, and words it counts before it sends them on.
-SLICE_BYTES, HELD_WORDS, HELD_GRAMS = 2 << 20, 400_000, 3 << 19
+#: Text bytes of one message, and of which a counting task makes grams at once (these take about 50 times their bytes for a
+#: moment); grams and words that it holds before it sends them on.
+SLICE_BYTES, COUNT_BYTES, HELD_WORDS, HELD_GRAMS = 2 << 20, 1 << 19, 100_000, 1 << 19
 
 _BITS, _END = 9, 257
 #: Texts in one slice: a gram of up to 54 bits leaves 10 for the number of its text.
@@ -67,12 +68,12 @@ def _folded(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "replace").lower()
 
 
-def _slices(texts: list[bytes]) -> Iterator[slice]:
-    """Runs of texts of about ``SLICE_BYTES``, no more than ``_RUN`` of them."""
+def _slices(texts: list[bytes], most: int = SLICE_BYTES) -> Iterator[slice]:
+    """Runs of texts of about ``most`` bytes, no more than ``_RUN`` of them."""
     start = size = 0
     for i, t in enumerate(texts):
         size += len(t)
-        if size >= SLICE_BYTES or i + 1 - start == _RUN:
+        if size >= most or i + 1 - start == _RUN:
             yield slice(start, i + 1)
             start, size = i + 1, 0
     if start < len(texts):
@@ -139,7 +140,7 @@ def _count(order: int):
             texts, out = [_folded(t) for t in batch.column(0).to_pylist()], batch.column(1).to_pylist()
             for skip in (False, True):
                 own = [t for t, o in zip(texts, out) if o == skip]
-                for part in _slices(own):
+                for part in _slices(own, COUNT_BYTES):
                     grams, n = _tally(grams_of(own[part], order)[0])
                     held.append((grams, n * (not skip)))
                     if sum(len(g) for g, _ in held) > HELD_GRAMS:
@@ -150,9 +151,9 @@ def _count(order: int):
                 if not skip:
                     held_words.update(t.split())
                     held_words[END_WORD] += 1
-            if len(held_words) > HELD_WORDS:
-                yield words_batch(held_words)
-                held_words = Counter()
+                    if len(held_words) > HELD_WORDS:
+                        yield words_batch(held_words)
+                        held_words = Counter()
         if held:
             yield grams_batch(*_merged(held))
         yield words_batch(held_words)

@@ -195,3 +195,23 @@ def test_stages_keep_columns(spark, odd, none):
             if name != "source_mixing":
                 assert docs.columns == odd.columns
             assert docs.count() >= least, name
+
+
+def test_ppm_counts_in_little_memory():
+    """Counting 6 MB of text holds grams of a part of it and few words at a time; the counts are those of all of it."""
+    import tracemalloc
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    texts = [" ".join(map(str, rng.integers(0, 300_000, 6_000))) for _ in range(150)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([False] * len(texts))], names=["_text", "_out"])
+    grams = words = 0
+    tracemalloc.start()
+    for out in ppm._count(ppm.ORDER)(iter([batch])):
+        n = out.column("n").to_numpy()
+        is_word = out.column("gram").is_null().to_numpy(zero_copy_only=False)
+        grams, words = grams + n[~is_word].sum(), words + n[is_word].sum()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert grams == sum(len(t) + 1 for t in texts) and words == 150 * 6_001
+    assert peak < 100 << 20
