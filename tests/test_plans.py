@@ -69,3 +69,10 @@ def test_features_of_narrowed_columns(spark):
     df = spark.sql("SELECT 90Y AS age, 16Y AS education_num, 99Y AS hours_per_week, 32000S AS capital_gain, -32000S AS capital_loss, 'x' AS marital_status")
     r = add_custom_features(df).first()
     assert (r.edu_age_inter, r.work_hours_edu, r.net_capital) == (1440, 1584, 64000)
+
+
+def test_feature_table_partitions_follow_the_rows(spark):
+    """No partition of the table that the models read grows with the data, and a small one is spread too."""
+    from tessera.plans.experiment import PARTITION_ROWS, fit_partitions
+    assert [fit_partitions(n) for n in (0, 1, 4_097, 900_000)] == [1, 1, 2, 24]
+    assert all(n / fit_partitions(n) <= PARTITION_ROWS for n in (9_000_000, 54_000_000))
