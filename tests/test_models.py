@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -137,3 +137,23 @@ def test_adaboost_multiclass(spark):
     df = spark.createDataFrame([(r[0], r[1], Vectors.dense(r[2])) for r in rows], schema)
     m = AdaBoost(n_estimators=4).fit(df)
     assert len(m.alphas) >= 1 and all(a > 0 for a in m.alphas)
+
+
+def test_kmeans_restarts_share_their_passes(spark):
+    rows = [(i, [float(i % 40) * 5 + (i * 7 % 11) * 0.1, float(i * i % 23)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "row_id long, x array<double>").select("row_id", array_to_vector("x").alias("v")).repartition(3)
+    passes = []
+    whole = K._sums
+    K._sums = lambda blocks, centers: passes.append(len(centers)) or whole(blocks, centers)
+    try:
+        best = K.kmeans_best_of(df, "v", k=4, restarts=6)
+    finally:
+        K._sums = whole
+    assert passes[0] == 6 and passes == sorted(passes, reverse=True) and best.rounds <= len(passes)
+    x = np.array([r[1] for r in rows])
+    d2 = ((x[:, None] - best.centers) ** 2).sum(axis=2)
+    assert abs(best.cost - d2.min(axis=1).sum()) < 1e-6 * best.cost
+    near = df.select(vector_to_array("v").alias("x")).selectExpr("x[0] AS a", "x[1] AS b").select("a", "b", best.nearest(["a", "b"]).alias("c")).collect()
+    assert all(r.c == int(((np.array([r.a, r.b]) - best.centers) ** 2).sum(axis=1).argmin()) for r in near)
+    same = spark.createDataFrame([(1.0,)] * 5 + [(2.0,)], "a double").select(array_to_vector(F.array("a")).alias("v"))
+    assert sorted(c[0] for c in K.kmeans_best_of(same, "v", k=4, restarts=2).clusterCenters()) == [1.0, 2.0]
