@@ -124,6 +124,14 @@ def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return grams[order][at], np.add.reduceat(n[order], at) if len(at) else n
 
 
+def _union(grams: list[np.ndarray]) -> np.ndarray:
+    """Distinct values, ascending; sorted in place."""
+    every = np.concatenate(grams)
+    grams.clear()
+    every.sort()
+    return every[_firsts(every)]
+
+
 def _count(order: int):
     """(gram, word, n): counts in the training documents; grams of other documents come with 0."""
     def grams_batch(grams: np.ndarray, ns: np.ndarray) -> pa.RecordBatch:
@@ -224,16 +232,16 @@ def gram_prices(counted: DataFrame, order: int) -> DataFrame:
 def _asked(order: int):
     """(_chunk, gram, word): what a chunk needs to know."""
     def ask(chunk: pa.Table) -> pa.Table:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held, fresh = np.zeros(0, np.int64), []
         words: set[bytes] = {END_WORD}
         for docs in _unpacked(chunk.column("_doc")):
             texts = docs.column("_text").to_pylist()
-            held.append(_tally(grams_of(texts, order)[0]))
-            if sum(len(g) for g, _ in held) > HELD_GRAMS:
-                held = [_merged(held)]
+            fresh.append(_tally(grams_of(texts, order)[0])[0])
+            if sum(map(len, fresh)) > max(HELD_GRAMS, len(held) // 2):  # seldom: each union sorts all that is held
+                held, fresh = _union([held, *fresh]), []
             for t in texts:
                 words.update(t.split())
-        grams = _merged(held)[0]  # ascending: neighbours share their high bytes, which shuffles small
+        grams = _union([held, *fresh])  # ascending: neighbours share their high bytes, which shuffles small
         return pa.table({"_chunk": pa.repeat(pa.scalar(chunk.column("_chunk")[0].as_py(), pa.int32()), len(grams) + len(words)),
                          "gram": pa.concat_arrays([pa.array(grams), pa.nulls(len(words), pa.int64())]),
                          "word": pa.concat_arrays([pa.nulls(len(grams), pa.binary()), pa.array(words, pa.binary(), size=len(words))])})
@@ -245,20 +253,26 @@ class _Prices:
 
     def __init__(self):
         self.grams, self.prices, self.counts, self.ready = [], [], {}, False
+        self.logs: dict[float, float] = {}  # one object for each count: most words share a few
 
     def add(self, answers: pa.RecordBatch) -> None:
         gram, value = (answers.column(c).to_numpy(zero_copy_only=False) for c in ("gram", "value"))
         word = gram < 0
-        self.counts.update(zip(answers.column("word").filter(pa.array(word)).to_pylist(), np.log10(value[word] + 1).tolist()))
+        self.counts.update(zip(answers.column("word").filter(pa.array(word)).to_pylist(), (self.logs.setdefault(v, v) for v in np.log10(value[word] + 1).tolist())))
         self.grams.append(gram[~word].astype(np.int64))
         self.prices.append(value[~word])
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray]:
         """Grams, ascending, and their prices."""
         if not self.ready:
-            grams, prices = np.concatenate([np.zeros(0, np.int64), *self.grams]), np.concatenate([np.zeros(0), *self.prices])
+            # one column after the other: what is no longer needed goes before the next copy
+            grams, self.grams = np.concatenate([np.zeros(0, np.int64), *self.grams]), []
             by = np.argsort(grams)
-            self.grams, self.prices, self.ready = [grams[by]], [prices[by]], True
+            self.grams.append(grams[by])
+            del grams
+            prices, self.prices = np.concatenate([np.zeros(0), *self.prices]), []
+            self.prices.append(prices[by])
+            self.ready = True
         return self.grams[0], self.prices[0]
 
 

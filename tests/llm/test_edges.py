@@ -215,3 +215,25 @@ def test_ppm_counts_in_little_memory():
     tracemalloc.stop()
     assert grams == sum(len(t) + 1 for t in texts) and words == 150 * 6_001
     assert peak < 100 << 20
+
+
+def test_ppm_prices_in_little_memory():
+    """The answers to a chunk peak at about four columns of longs, not seven; the arrays are those of all answers, by gram."""
+    import tracemalloc
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    grams = rng.permutation(400_000).astype(np.int64)
+    batches = [pa.RecordBatch.from_arrays([pa.array(g), pa.nulls(len(g), pa.binary()), pa.array(g / 2.0)], names=["gram", "word", "value"]) for g in np.split(grams, 100)]
+    known = ppm._Prices()
+    tracemalloc.start()
+    for b in batches:
+        known.add(b)
+    got, prices = known.arrays()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got == np.arange(400_000)).all() and (prices == got / 2.0).all()
+    assert peak < 40 * len(grams)
+    known.add(pa.RecordBatch.from_arrays([pa.array([-1, -1]), pa.array([b"a", b"b"]), pa.array([2.0, 2.0])], names=["gram", "word", "value"]))
+    assert known.counts["a".encode()] is known.counts["b".encode()] and known.counts[b"a"] == float(np.log10(3.0))
+    assert ppm._union([np.zeros(0, np.int64), np.array([3, 1]), np.array([3])]).tolist() == [1, 3]
