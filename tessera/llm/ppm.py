@@ -38,7 +38,7 @@ from tessera.llm.common import chunk_count, chunk_of, python_tasks, stored, tabl
 ORDER = 5
 #: Bytes of text in one chunk: larger chunks ask for fewer prices in all.
 CHUNK_BYTES = 32 << 20
-#: Text bytes of one message, and of which a counting task makes grams at once (these take about 50 times their bytes for a
+#: Text bytes of one message, and of which a task makes grams at once (these take about 50 times their bytes for a
 #: moment); grams and words that it holds before it sends them on.
 SLICE_BYTES, COUNT_BYTES, HELD_WORDS, HELD_GRAMS = 2 << 20, 1 << 19, 100_000, 1 << 19
 
@@ -55,13 +55,21 @@ CODEC = "zstd"
 
 def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """Grams of all texts in a row, and how many each text has (its bytes and its end). Contexts begin with zeros."""
-    pad = np.zeros(order, np.int64)
-    parts = [x for t in texts for x in (pad, np.frombuffer(t, np.uint8).astype(np.int64) + 1, np.array([_END]))]
-    symbols = np.concatenate(parts) if parts else pad
-    grams = symbols.copy()
-    for k in range(1, order + 1):
-        grams[k:] |= symbols[:-k] << (_BITS * k)
-    return grams[symbols > 0], np.array([len(t) + 1 for t in texts], np.int64)
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    pad, first = bytes(order), np.cumsum(sizes + order) - sizes - order
+    grams = np.frombuffer(b"".join(x for t in texts for x in (pad, t, b"\0")), np.uint8).astype(np.int64)
+    grams += 1
+    begin = (first[:, None] + np.arange(order)).ravel()
+    grams[begin] = 0
+    grams[first + order + sizes - 1] = _END
+    span = 1
+    while span <= order:  # a gram beside the one ``step`` before it: symbols that both hold agree
+        step = min(span, order + 1 - span)
+        grams[step:] |= grams[:-step] << (_BITS * step)
+        span += step
+    own = np.ones(len(grams), bool)
+    own[begin] = False
+    return grams[own], sizes
 
 
 def _folded(text: str | None) -> bytes:
@@ -291,7 +299,7 @@ def _score(order: int, tokens: int, distinct: int):
         scores.append(np.bincount((keyed & np.uint64(_RUN - 1)).astype(np.int64), priced, len(sizes)))
         for t in texts:
             words = [*t.split(), END_WORD]
-            got = [c for c in map(known.counts.get, words) if c is not None]
+            got = list(filter(None, map(known.counts.get, words)))  # a word that has an answer was counted: its log is above 0
             n_tokens.append(len(words))
             n_known.append(len(got))
             base.append(sum(got) - len(words) * float(np.log10(tokens + distinct + 1)))
@@ -315,7 +323,8 @@ def _score(order: int, tokens: int, distinct: int):
                     known.add(part)
                 else:
                     for docs in _unpacked(part.column("_doc")):
-                        yield scored(docs, known)
+                        for some in _slices(docs.column("_text").to_pylist(), COUNT_BYTES):  # grams of a whole message would take 100 MB
+                            yield scored(docs.slice(some.start, some.stop - some.start), known)
     return score
 
 

@@ -322,3 +322,23 @@ def test_main_text_of_one_page_in_roles():
     assert main_text("<article class='post no-sidebar'><p>Text.</p><div class='share'>Share</div></article>") == "Text."
     assert main_text("<article><p>Text.</p></article><div class='related'><article><p>Other.</p></article></div>") == "Text."
     assert main_text("<div class=sidebar><article><p>Text.</p></article></div><p>Tag line</p>") == "Text."
+
+
+def test_grams_of_follows_its_definition_and_holds_few_copies():
+    import tracemalloc
+    rng = np.random.default_rng(5)
+    texts = [b"", b"a", bytes(rng.integers(0, 256, 300).astype(np.uint8)), b"", b"\x00\xff"]
+    for order in (3, 4, 5):
+        want = []
+        for t in texts:
+            symbols = [0] * order + [b + 1 for b in t] + [257]
+            want += [sum(s << (9 * k) for k, s in enumerate(reversed(symbols[i - order:i + 1]))) for i in range(order, len(symbols))]
+        grams, sizes = ppm.grams_of(texts, order)
+        assert grams.tolist() == want and sizes.tolist() == [len(t) + 1 for t in texts]
+    assert len(ppm.grams_of([], 5)[0]) == 0
+    whole = [bytes(1000)] * 1000
+    tracemalloc.start()
+    ppm.grams_of(whole, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * 1_001_000  # an array, and one more for a moment; 33 bytes a symbol before
