@@ -37,14 +37,23 @@ MAX_COPIES = 2
 #: Documents of one cell that one window task ranks, on average.
 RANKED_ROWS = 1000
 NEWTON_STEPS, GAP = 60, 1e-8
+#: ``monotonically_increasing_id`` holds the partition above these bits, the row's place in it below.
+PARTITION_BITS = 33
 
 
 def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MAX_COPIES) -> DataFrame:
     """(source, source_size, target): shares by weight, stopped at ``most`` times the source's size, the excess shared again."""
-    spark = sized.sparkSession
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    ranked = sizes.orderBy(F.col("source").asc_nulls_last()).rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], float(weights[x[1] % len(weights)])))
-    sources = stored(spark.createDataFrame(ranked, "source string, source_size bigint, weight double"))
+    # numbered by column expressions: a Python RDD would start a second set of Python workers beside the SQL ones
+    ordered = stored(sizes.orderBy(F.col("source").asc_nulls_last()).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", PARTITION_BITS)
+    before, offsets = 0, []
+    for p, n in sorted(ordered.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()):
+        offsets += [F.lit(p), F.lit(before % len(weights))]
+        before += n
+    at = F.col("_at").bitwiseAND((1 << PARTITION_BITS) - 1) + (F.element_at(F.create_map(*offsets), part) if offsets else F.lit(0))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (at % len(weights) + 1).cast("int"))
+    sources = stored(ordered.select("source", "source_size", weight.alias("weight")))
     stop = most * F.col("source_size")
     total, level, last = sources.agg(F.sum("source_size")).head()[0] or 0, 0.0, None
     while True:

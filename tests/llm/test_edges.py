@@ -89,6 +89,20 @@ def test_html_copies_are_no_template(spark):
     assert {r._main for r in html_text.extract(pages).collect()} == {"The same story everywhere."}
 
 
+def test_mixing_numbers_sources_without_python_rdds(spark, monkeypatch):
+    """A Python RDD starts workers of its own, beside those of the SQL functions, and they stay."""
+    names = [f"s{k:03d}" for k in range(50)] + [None]
+    sized = spark.createDataFrame([(n, 100) for n in names], "source string, size bigint").repartition(7)
+
+    def refused(self):
+        raise AssertionError("a Python RDD")
+    with monkeypatch.context() as m:
+        m.setattr(type(sized), "rdd", property(refused))
+        targets = {r.source: r.target for r in mixing.source_targets(sized, weights=(3, 2, 1), share=0.5).collect()}
+    level = targets["s002"]
+    assert [round(targets[n] / level, 6) for n in names] == [(3, 2, 1)[k % 3] for k in range(51)]
+
+
 def test_mixing(odd, none, docs_of):
     rows = mixing.mix(odd).collect()
     assert len(rows) == 10 and all(0 <= r._copies <= 2 for r in rows)
