@@ -128,6 +128,24 @@ def test_dbscan_equals_brute_force(spark, eps, min_samples):
     assert (got["is_noise"].to_numpy() == noise).all()
 
 
+def test_adaboost_rounds_read_persisted_weights(fs, monkeypatch):
+    """A fit scans its rows several times: none may repeat the weights of the rounds before."""
+    from tessera.operators import adaboost as A
+    tr, seen = fs.df.filter(F.col("split") == "train"), []
+
+    class Watched(A.DecisionTreeClassifier):
+        def fit(self, data):
+            plan = data._jdf.queryExecution().executedPlan().toString()
+            seen.append(("InMemoryTableScan" in plan or "InMemoryRelation" in plan, data.schema["y"].metadata))
+            return super().fit(data)
+    monkeypatch.setattr(A, "DecisionTreeClassifier", Watched)
+    longer = AdaBoost(n_estimators=12).fit(tr)
+    assert len(seen) == 12 and all(cached and meta["ml_attr"]["num_vals"] == 2 for cached, meta in seen)
+    shorter = AdaBoost(n_estimators=4).fit(tr)
+    cut = longer.first(4)
+    assert cut.trees == shorter.trees and cut.alphas == shorter.alphas
+
+
 def test_adaboost_multiclass(spark):
     rows = [(i, float(i % 3), [float(i % 3) + (i % 5) * 0.1, float(i % 7)]) for i in range(300)]
     from pyspark.ml.linalg import Vectors, VectorUDT
