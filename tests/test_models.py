@@ -146,6 +146,16 @@ def test_adaboost_rounds_read_persisted_weights(fs, monkeypatch):
     assert cut.trees == shorter.trees and cut.alphas == shorter.alphas
 
 
+def test_adaboost_search_fits_each_chain_once(fs, monkeypatch):
+    from tessera.operators import adaboost as A
+    from tessera.operators.tuning import random_search
+    tr, fitted, fit = fs.df.filter(F.col("split") == "train"), [], A.AdaBoost.fit
+    monkeypatch.setattr(A.AdaBoost, "fit", lambda self, df: fitted.append(self.n) or fit(self, df))
+    s = random_search("adaboost", tr, grid={"n_estimators": [2, 4], "learning_rate": [0.1, 1.0]}, n_iter=4, k=2, refit=False)
+    assert fitted == [4] * 4
+    assert s.results.count() == 8 and s.predictions.count() == 4 * tr.count()
+
+
 def test_adaboost_multiclass(spark):
     rows = [(i, float(i % 3), [float(i % 3) + (i % 5) * 0.1, float(i % 7)]) for i in range(300)]
     from pyspark.ml.linalg import Vectors, VectorUDT
