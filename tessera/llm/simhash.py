@@ -152,7 +152,8 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, max_posting: int = M
             sizes = cut_lineage(sizes)
         short = sizes if last else sizes.filter(F.col("_n") <= max_posting)
         shared = postings.join(short, ["_mask", "_bits"]).select("_mask", "_bits", "_print")
-        links = (shared.repartition("_mask", "_bits").sortWithinPartitions("_mask", "_bits", "_print")
+        # not by the join's own keys: the planner drops such an exchange behind the join, and may then split a posting over tasks
+        links = (shared.repartition(F.xxhash64("_mask", "_bits")).sortWithinPartitions("_mask", "_bits", "_print")
                  .mapInArrow(_link(max_bits, 8 - max_bits), "u bigint, v bigint"))
         found = links if found is None else found.union(links)
         long = sizes.filter(F.col("_n") > max_posting)

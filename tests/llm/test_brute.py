@@ -165,6 +165,34 @@ def test_simhash_links_of_a_crowd(spark, max_posting):
     assert root == _reach(prints)
 
 
+def test_simhash_links_while_joins_are_split(spark):
+    """A posting stays in one task, however the join ahead of it deals its rows: here Spark takes every partition of the join for a skewed one."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "4", "spark.sql.adaptive.enabled": "true",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64",
+            "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0.01"}
+    rng = np.random.default_rng(11)
+    prints = set()
+    for p in rng.integers(0, 1 << 62, 60):
+        prints |= {int(p), *(int(p) ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.choice(62, (5, 2)) if a != b)}
+    prints = sorted(prints)
+    rows = [(p,) for p in prints]
+    rng.shuffle(rows)
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        links = simhash.near_links(spark.createDataFrame([(int(p),) for p, in rows], "_print bigint").repartition(6)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    place = {p: k for k, p in enumerate(prints)}
+    root = list(range(len(prints)))
+    for a in links:
+        x, y = root[place[a.u]], root[place[a.v]]
+        root = [min(x, y) if r in (x, y) else r for r in root]
+    assert root == _reach(prints)
+
+
 def test_components_of_a_long_path(spark):
     from tessera.llm.components import components
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 140)] + [(500, 500)], "u bigint, v bigint")
