@@ -155,3 +155,31 @@ def test_histogram_by_feature():
         for f in (0, 1):
             want[at[i], f, bins[r, f]] += (g[i], h[i], 1)
     assert np.allclose(got, want)
+
+
+def test_a_table_that_a_task_holds_needs_no_job_for_a_pass(spark, monkeypatch):
+    """The rounds run inside a few jobs, over several blocks, and the trees are those of the passes over spread rows."""
+    monkeypatch.setattr(B, "BLOCK_ROWS", 100)
+    df, _, _ = table(spark)
+    val = df.filter("row_id % 4 = 0")
+    many = [B.Booster(12, 0.3, "depth", depth=3, l2=1.0, rows=0.7, columns=0.7), B.Booster(12, 0.2, "leaf", leaves=6, least_rows=5, patience=3, fold=1),
+            B.Booster(12, 0.2, "symmetric", depth=3, l2=3.0, least_hessian=0.0, least_rows=0, patience=4), B.Booster(0, 0.1)]
+
+    def fitted(group):
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            models = B.fit_many(df.filter("row_id % 4 <> 0"), many, val=val, fold_col="fold")
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return models, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    held, jobs = fitted("held")
+    assert jobs < 12  # a round takes several passes
+    monkeypatch.setattr(B, "TASK_CELLS", 0)
+    spread, more = fitted("spread")
+    assert more > 36
+    for a, b in zip(held, spread):
+        assert (a.base, a.trained_rounds, len(a.tables)) == (b.base, b.trained_rounds, len(b.tables))
+        for s, t in zip(a.tables, b.tables):
+            assert [n[:5] for n in s] == [n[:5] for n in t]
+            assert np.allclose([n[5:] for n in s], [n[5:] for n in t], atol=1e-12)
