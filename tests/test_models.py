@@ -185,3 +185,17 @@ def test_kmeans_restarts_share_their_passes(spark):
     assert all(r.c == int(((np.array([r.a, r.b]) - best.centers) ** 2).sum(axis=1).argmin()) for r in near)
     same = spark.createDataFrame([(1.0,)] * 5 + [(2.0,)], "a double").select(array_to_vector(F.array("a")).alias("v"))
     assert sorted(c[0] for c in K.kmeans_best_of(same, "v", k=4, restarts=2).clusterCenters()) == [1.0, 2.0]
+
+
+def test_bases_of_the_blender_train_together(monkeypatch):
+    import threading
+    met = threading.Barrier(3)
+
+    def train(key, params, fs, name=None):
+        met.wait(30)
+        return key, params, name
+
+    monkeypatch.setattr(XP, "train_model", train)
+    specs = {n: (f"key_{n}", {"p": n}) for n in "abc"}
+    got = XP.train_models(specs, None)
+    assert list(got.items()) == [(n, (f"key_{n}", {"p": n}, n)) for n in "abc"]
