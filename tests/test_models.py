@@ -199,3 +199,32 @@ def test_bases_of_the_blender_train_together(monkeypatch):
     specs = {n: (f"key_{n}", {"p": n}) for n in "abc"}
     got = XP.train_models(specs, None)
     assert list(got.items()) == [(n, (f"key_{n}", {"p": n}, n)) for n in "abc"]
+
+
+def test_stacking_boosts_beside_the_other_bases(fs, monkeypatch):
+    """Boosters of all folds and the fits of the other bases wait here for each other; a booster ends with the rounds asked for."""
+    import threading
+
+    from tessera.operators import ensemble
+    boosted, begun = threading.Event(), threading.Event()
+    fit_many, build = ensemble.fit_many, ensemble.build
+
+    def boosts(*a, **b):
+        assert begun.wait(30)
+        boosted.set()
+        return fit_many(*a, **b)
+
+    class Waits:
+        def __init__(self, *a, **b):
+            self.est = build(*a, **b)
+
+        def fit(self, df):
+            begun.set()
+            assert boosted.wait(30)
+            return self.est.fit(df)
+
+    monkeypatch.setattr(ensemble, "fit_many", boosts)
+    monkeypatch.setattr(ensemble, "build", Waits)
+    specs = {"decision_tree": ("decision_tree", {"max_depth": 3}), "xgboost": ("xgboost", {"n_estimators": 3, "max_depth": 2})}
+    st = ensemble.Stacking(specs, n_splits=2).fit(fs.df.filter(F.col("split") == "train"))
+    assert list(st.bases) == list(specs) and st.bases["xgboost"].getNumTrees == 3
