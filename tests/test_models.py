@@ -187,6 +187,27 @@ def test_kmeans_restarts_share_their_passes(spark):
     assert sorted(c[0] for c in K.kmeans_best_of(same, "v", k=4, restarts=2).clusterCenters()) == [1.0, 2.0]
 
 
+def test_folds_of_the_stability_check_fit_together(fs, monkeypatch):
+    """Fits that don't depend on each other are submitted together: each of two waits here for the other."""
+    import threading
+
+    from tessera.operators.models import build
+    met = threading.Barrier(2)
+
+    class Meets:
+        def __init__(self, *a, **b):
+            self.est = build(*a, **b)
+
+        def fit(self, df):
+            met.wait(30)
+            return self.est.fit(df)
+
+    want = {r.metric: tuple(r) for r in XP.cross_validation_stability("decision_tree", {"max_depth": 3}, fs, k=2, parallelism=1).collect()}
+    monkeypatch.setattr(XP, "build", Meets)
+    got = {r.metric: tuple(r) for r in XP.cross_validation_stability("decision_tree", {"max_depth": 3}, fs, k=2).collect()}
+    assert got == want
+
+
 def test_bases_of_the_blender_train_together(monkeypatch):
     import threading
     met = threading.Barrier(3)
